@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricestrata.session import TABLES, table
 
@@ -95,6 +96,15 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **inputs)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows rebuilt through a one-element ``inline``.
+
+    Stored evidence has plain columns. Here they are long CASE texts, and without this step
+    the optimizer would paste those texts into every filter it pushes below them.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def _closure(names: tuple[str, ...]) -> list[str]:
     ordered: list[str] = []
 

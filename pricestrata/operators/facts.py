@@ -111,39 +111,49 @@ def current_revision(facts: DataFrame) -> DataFrame:
     )
 
 
-def current_facts(facts: DataFrame) -> DataFrame:
-    """Accepted facts of the current revision that no later fact corrects."""
+def uncorrected(facts: DataFrame) -> DataFrame:
+    """Accepted facts that no later fact corrects; a correction shares its date with its target."""
     accepted = facts.where(F.col("quality_status") == "ACCEPTED")
-    chosen = current_revision(facts).where(~F.col("conflict")).select("listing_id", "revision_id")
-    live = accepted.join(chosen, ["listing_id", "revision_id"], "left_semi")
     if "supersedes_key" not in facts.columns:
-        return live
-    corrected = live.where(F.col("supersedes_key").isNotNull()).select(
+        return accepted
+    corrected = accepted.where(F.col("supersedes_key").isNotNull()).select(
         F.col("supersedes_key").alias("base_key"), "observed_date"
     )
-    return live.join(corrected, ["observed_date", "base_key"], "left_anti")
+    return accepted.join(corrected, ["observed_date", "base_key"], "left_anti")
+
+
+POINTER = [
+    *REGION, "revision_id", "observation_key", "current_price", "availability", "observed_at",
+    "ingest_seq",
+]
 
 
 def rebuild_current(facts: DataFrame) -> DataFrame:
-    """Latest-price pointer per listing and region, rebuilt from the facts alone."""
-    return newest(
-        current_facts(facts).select(
-            *REGION, "revision_id", "observation_key", "current_price", "availability",
-            "observed_at", "ingest_seq",
-        ),
-        REGION,
+    """Latest-price pointer per listing and region, rebuilt from the facts alone.
+
+    One pass: facts shrink to one row per (listing, region, revision) before the shuffle, and
+    the current revision is picked from those rows. A listing whose newest trusted time is
+    shared by two revisions has no current revision.
+    """
+    best = newest(
+        uncorrected(facts).select(*POINTER),
+        [*REGION, "revision_id"],
         [F.col("observed_at"), F.col("ingest_seq")],
     )
+    listing = Window.partitionBy("listing_id")
+    at_top = F.when(F.col("observed_at") == F.col("top"), F.col("revision_id"))
+    return (
+        best.withColumn("top", F.max("observed_at").over(listing))
+        .withColumns({"low": F.min(at_top).over(listing), "high": F.max(at_top).over(listing)})
+        .where((F.col("low") == F.col("high")) & (F.col("revision_id") == F.col("low")))
+        .select(*POINTER)
+    )
 
 
 def advance_current(pointers: DataFrame, accepted: DataFrame) -> DataFrame:
     """Move pointers with newly accepted facts; a late fact never moves one back."""
-    columns = [
-        *REGION, "revision_id", "observation_key", "current_price", "availability",
-        "observed_at", "ingest_seq",
-    ]
     return newest(
-        pointers.select(*columns).unionByName(accepted.select(*columns)),
+        pointers.select(*POINTER).unionByName(accepted.select(*POINTER)),
         REGION,
         [F.col("observed_at"), F.col("ingest_seq")],
     )
@@ -214,7 +224,6 @@ def match_intervals(matches: DataFrame, chunk: int = 1_000_000) -> DataFrame:
 
 
 __all__ = [
-    "PAYLOAD_FIELDS", "advance_current", "classify_append", "correction_chain", "current_facts",
-    "current_revision", "first_arrivals", "match_intervals", "new_facts", "rebuild_current",
-    "revision_numbers", "same_time_conflicts", "switch_revisions", "with_keys",
+    "PAYLOAD_FIELDS", "advance_current", "classify_append", "correction_chain", "current_revision", "first_arrivals", "match_intervals", "new_facts", "rebuild_current",
+    "revision_numbers", "same_time_conflicts", "switch_revisions", "uncorrected", "with_keys",
 ]

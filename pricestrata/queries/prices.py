@@ -14,7 +14,8 @@ from pricestrata.queries.sqltext import ADAPTER, facts, gated
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bind.frame(spark, sf_dir, "candidates").withColumn("observed_at", to_utc_millis(F.col("ts")))
+    rows = bind.frame(spark, sf_dir, "candidates")
+    return bind.settled(rows).withColumn("observed_at", to_utc_millis(F.col("ts")))
 
 
 def price_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
