@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricestrata.functions import vocab
 from pricestrata.session import TABLES, table
 
 VIEWS: dict[str, str] = {}
@@ -129,3 +130,80 @@ def ctes(*names: str, extra: str = "") -> str:
     if extra:
         parts.append(extra)
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def pick(expr: str, words: list[str | None]) -> str:
+    """CASE that walks through a list of texts."""
+    arms = " ".join(
+        f"WHEN {i} THEN " + ("CAST(NULL AS STRING)" if w is None else f"'{w}'")
+        for i, w in enumerate(words)
+    )
+    return f"CASE {expr} % {len(words)} {arms} END"
+
+
+# Line items as displayed price texts of every shape the money rules distinguish.
+VIEWS["money_texts"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, p,
+       CASE (l_partkey + l_linenumber) % 12
+         WHEN 0 THEN '¥' || p WHEN 1 THEN 'RMB ' || p WHEN 2 THEN p || '元'
+         WHEN 3 THEN p || '　元' WHEN 4 THEN p || ' 元 起' WHEN 5 THEN '到手价¥' || p
+         WHEN 6 THEN '¥' || p || ' ¥1' || p WHEN 7 THEN 'cny' || p || ' / ' || p || '元'
+         WHEN 8 THEN p WHEN 9 THEN 'call us' WHEN 10 THEN '  ' || p || ' '
+         ELSE '￥1,' || substring(CAST(1000 + l_partkey % 1000 AS STRING), 2, 3) || '.5' END AS text,
+       CASE l_orderkey % 7 WHEN 0 THEN '划线价' WHEN 1 THEN '建议零售价' WHEN 2 THEN '会员价'
+         WHEN 3 THEN '' ELSE '当前售价' END AS label,
+       CASE (l_orderkey + l_partkey) % 5 WHEN 0 THEN NULL WHEN 1 THEN '¥' || p
+         WHEN 2 THEN '¥9' || p WHEN 3 THEN '¥0.00' ELSE '9' || p || '元' END AS original_text
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS p
+      FROM {lineitem}) x
+"""
+# Line items as quantity texts: every unit, packs, ranges and refused shapes.
+VIEWS["quantity_texts"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE l_partkey % 20
+         WHEN 0 THEN q || 'kg' WHEN 1 THEN q || ' 公斤' WHEN 2 THEN q || '斤' WHEN 3 THEN q || '克'
+         WHEN 4 THEN q || 'ml' WHEN 5 THEN q || '升' WHEN 6 THEN q || '枚'
+         WHEN 7 THEN q || '盒×15枚' WHEN 8 THEN q || ' 袋 x ' || q || '个'
+         WHEN 9 THEN q || '-6' || q || 'g' WHEN 10 THEN '6' || q || '至' || q || '千克'
+         WHEN 11 THEN '约' || q || 'kg' WHEN 12 THEN q || '磅' WHEN 13 THEN q || '.5枚'
+         WHEN 14 THEN q || '.250 KG' WHEN 15 THEN q || '～9' || q || ' 个' WHEN 16 THEN '0kg'
+         WHEN 17 THEN '  ' WHEN 18 THEN q || 'PCS' ELSE q || '毫升' END AS text,
+       CASE l_linenumber % 4 WHEN 0 THEN 'COUNT' WHEN 1 THEN 'VOLUME' ELSE 'WEIGHT' END AS measure
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+             CAST(CAST(l_quantity AS INT) AS STRING) AS q FROM {lineitem}) x
+"""
+
+
+def _words(field: str) -> list[str | None]:
+    return [*vocab.ALIASES[field], "unknown word", None, "  ", *vocab.ALIASES[field]]
+
+
+_ATTRIBUTES = {
+    **{f: pick(f"(p_partkey + {i * 7})", _words(f)) for i, f in enumerate(vocab.ALIASES)},
+    "origin": pick("p_partkey", ["山东 烟台", "new zealand", " ", "陕西", "Chile", None, "陕西"]),
+    "fruit_diameter_mm": pick("p_size", ["80.0", "75", "abc", None, "0", "70.50", None, None, "90"]),
+    "shell_color": pick("p_size", ["light brown", None, "white", " "]),
+    "commodity_code": pick("p_partkey", ["cucumber", "napa cabbage", "1bad", "CARROT", "GINGER"]),
+    "commodity_name": "p_name",
+    "source_specification": pick("p_size", [" 新鲜　一级 ", "精瘦肉", "x  y", "新鲜 一级"]),
+    "quoted_unit": pick("p_partkey", ["元/500克", "元 / 公斤", "元/KG", "元/500G", "元/公斤", "元/吨"]),
+    "net_content": pick(
+        "p_partkey",
+        ["500克", "1公斤", "1kg", "0.5 kg", "30枚", "2盒×15枚", "1斤", "400-500g", "约5kg", None,
+         "1000g"],
+    ),
+}
+# Parts as fresh-food rows: category plus one column per source attribute.
+VIEWS["fresh_rows"] = (
+    "SELECT p_partkey, "
+    + pick(
+        "p_partkey",
+        ["FRESH_APPLE", "FRESH_EGG", "FRESH_PORK", "FRESH_MONITORED_COMMODITY",
+         "FRESH_MONITORED_COMMODITY", "FRESH_APPLE", "FRESH_FOOD", "NO_SUCH_CATEGORY", "PHONE"],
+    )
+    + " AS category_code, "
+    + ", ".join(f"{expr} AS {name}" for name, expr in _ATTRIBUTES.items())
+    + " FROM {part}"
+)
+ATTRIBUTE_NAMES = tuple(_ATTRIBUTES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricestrata.functions import vocab
@@ -16,8 +16,14 @@ from pricestrata.functions.identity import (
     sorted_map,
     spec_fingerprint,
 )
-from pricestrata.functions.money import resolve_pair
-from pricestrata.functions.text import WS, capacity, normalize_text, squeeze, strip
+from pricestrata.functions.money import with_pair
+from pricestrata.functions.text import (
+    WS,
+    capacity,
+    normalize_text,
+    squeeze,
+    strip,
+)
 
 SPEC_TYPE = "struct<" + ",".join(f"{n}:string" for n in vocab.SPEC_FIELDS) + (
     ",attributes:map<string,string>>"
@@ -122,19 +128,18 @@ def split_version(version: Column, brand: str = "XIAOMI") -> Column:
     )
 
 
-def specification(fields: dict[str, Column], attributes: Column) -> Column:
-    """struct(spec, error): only proven configuration identifies a device."""
+def specification(fields: dict[str, Column], normalized: Column) -> Column:
+    """struct(spec, error): only proven configuration identifies a device.
+
+    ``normalized`` comes from ``with_normalized_entries``.
+    """
     cleaned = []
     for name in vocab.SPEC_FIELDS:
         raw = fields.get(name, F.lit(None).cast("string"))
         text = capacity(raw) if name in ("capacity", "memory") else normalize_text(raw)
         cleaned.append(F.when(text != "", text).alias(name))
-    entries = F.transform(
-        F.coalesce(F.map_entries(attributes), F.array().cast("array<struct<key:string,value:string>>")),
-        lambda e: F.struct(
-            F.lower(normalize_text(e["key"])).alias("key"),
-            normalize_text(e["value"]).alias("value"),
-        ),
+    entries = F.coalesce(
+        normalized, F.array().cast("array<struct<key:string,value:string>>")
     )
     keys = F.transform(entries, lambda e: e["key"])
     blank = F.exists(
@@ -158,13 +163,11 @@ def specification(fields: dict[str, Column], attributes: Column) -> Column:
 
 def identity_json(spec: Column) -> Column:
     """Canonical JSON of the proven fields, keys in order, empty fields absent."""
-    return canonical_json(
-        F.struct(
-            sorted_map(spec["attributes"]).alias("attributes"),
-            *[spec[n].alias(n) for n in sorted(vocab.SPEC_FIELDS)],
-        ),
-        keep_nulls=False,
+    fields = F.struct(
+        sorted_map(spec["attributes"]).alias("attributes"),
+        *[spec[n].alias(n) for n in sorted(vocab.SPEC_FIELDS)],
     )
+    return F.when(spec.isNotNull(), canonical_json(fields, keep_nulls=False))
 
 
 def item_key(brand: Column, channel: Column, product: Column) -> Column:
@@ -177,13 +180,14 @@ def item_key(brand: Column, channel: Column, product: Column) -> Column:
 def listing_key(product: Column, sku: Column, spec: Column) -> Column:
     """JSON [product, "sku"|"spec", id]; the specification stands in when there is no SKU."""
     has_sku = sku.isNotNull()
-    return canonical_json(
+    key = canonical_json(
         F.array(
             strip(product),
             F.when(has_sku, F.lit("sku")).otherwise(F.lit("spec")),
             F.when(has_sku, strip(sku)).otherwise(sha256(identity_json(spec))),
         )
     )
+    return F.when(has_sku | spec.isNotNull(), key)
 
 
 def map_dimensions(brand: str, dimensions: Column) -> tuple[dict[str, Column], Column]:
@@ -204,19 +208,21 @@ def display_title(*parts: Column) -> Column:
     return F.array_join(F.array_distinct(kept), " ")
 
 
-def price_candidate(
+def with_price_candidate(
+    df: DataFrame,
+    out: str,
     current_text: Column,
     original_text: Column,
     original_label: Column,
     current_label: Column,
     availability: Column,
-) -> Column:
-    """Price terms of one SKU: a direct price, a stated non-selling state, or an error."""
-    pair = resolve_pair(original_text, original_label, current_text, current_label)
+) -> DataFrame:
+    """Adds the price terms of one SKU: a direct price, a stated non-selling state, or an error."""
+    pair = F.col("__pair")
     priced = current_text.isNotNull()
     silent = ~priced & availability.isin(*vocab.NON_SELLING)
     null_text = F.lit(None).cast("string")
-    return F.struct(
+    terms = F.struct(
         pair["current_price"].alias("current_price"),
         F.when(priced, pair["original_price"]).alias("original_price"),
         F.when(priced, pair["original_price_type"]).otherwise("NONE").alias("original_price_type"),
@@ -230,11 +236,16 @@ def price_candidate(
         .otherwise(null_text)
         .alias("error"),
     )
+    return (
+        with_pair(df, "__pair", original_text, original_label, current_text, current_label)
+        .withColumn(out, terms)
+        .drop("__pair")
+    )
 
 
 __all__ = [
     "SPEC_TYPE", "availability_by_brand", "availability_from_flags", "availability_from_inventory",
     "availability_from_text", "category_by_brand", "category_from_name", "display_title",
     "identity_json", "item_key", "listing_key", "map_dimensions", "ordered_case",
-    "price_candidate", "spec_fingerprint", "specification", "split_version",
+    "spec_fingerprint", "specification", "split_version", "with_price_candidate",
 ]

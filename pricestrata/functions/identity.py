@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricestrata.functions.text import decimal_token, normalize_text, strip
+from pricestrata.functions.text import decimal_token, strip
 
 # Control characters whose JSON escape has letters; canonical form is lower case.
 _UPPER_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
@@ -40,15 +40,8 @@ def sorted_map(col: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.map_entries(col)))
 
 
-def spec_fingerprint(attributes: Column) -> Column:
-    """sha256 of canonical JSON of a flat map: keys lower-cased, values normalised, last key wins."""
-    entries = F.transform(
-        F.map_entries(attributes),
-        lambda e: F.struct(
-            F.lower(normalize_text(e["key"])).alias("key"),
-            normalize_text(e["value"]).alias("value"),
-        ),
-    )
+def spec_fingerprint(entries: Column) -> Column:
+    """sha256 of canonical JSON of normalised entries; the last of equal keys wins."""
     return sha256(canonical_json(F.map_from_entries(F.array_sort(last_per_key(entries)))))
 
 

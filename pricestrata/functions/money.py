@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricestrata.functions import vocab
@@ -25,28 +25,55 @@ def is_conditional(text: Column, label: Column) -> Column:
     return _sentence(text, label).rlike(f"{_CONDITIONAL}|{_STARTING}")
 
 
-def parse_amount(text: Column, label: Column | None = None) -> Column:
-    """struct(amount, status): exactly one distinct positive amount, or a reason."""
+def with_amount(df: DataFrame, out: str, text: Column, label: Column | None = None) -> DataFrame:
+    """Adds struct(amount, status): exactly one distinct positive amount, or a reason.
+
+    Built in steps, so that each pattern runs once per row however often its result is used.
+    """
     label = F.lit("") if label is None else label
-    sentence = _sentence(text, label)
-    marked = F.regexp_extract_all(sentence, F.lit(f"({_AMOUNT})"), F.lit(1))
-    plain = strip(text)
-    found = F.when(F.size(marked) > 0, marked).when(
-        plain.rlike(rf"^{_NUMBER}\z"), F.array(plain)
-    )
-    amounts = F.array_distinct(
-        F.transform(found, lambda m: F.regexp_replace(m, "[^0-9.]", "").try_cast(MONEY))
-    )
-    one = F.get(amounts, F.lit(0))
-    status = (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(is_conditional(text, label), "CONDITIONAL")
-        .when(amounts.isNull(), "NO_AMOUNT")
-        .when(F.size(amounts) > 1, "AMBIGUOUS")
-        .when(one > 0, "OK")
-        .otherwise("NO_AMOUNT")
+    c = F.col
+    none = F.lit(None).cast("string")
+    return (
+        df.withColumns({"__text": text, "__said": _sentence(text, label), "__plain": strip(text)})
+        .withColumns(
+            {
+                "__hard": c("__said").rlike(f"{_CONDITIONAL}|{_STARTING}"),
+                "__marked": F.regexp_extract_all("__said", F.lit(f"({_AMOUNT})"), F.lit(1)),
+            }
+        )
+        .withColumn(
+            "__list",
+            F.when(F.size("__marked") > 0, c("__marked")).when(
+                c("__plain").rlike(rf"^{_NUMBER}\z"), F.array("__plain")
+            ),
+        )
+        .withColumn(
+            "__list",
+            F.array_distinct(
+                F.transform(
+                    "__list", lambda m: F.regexp_replace(m, "[^0-9.]", "").try_cast(MONEY)
+                )
+            ),
+        )
+        .withColumn("__one", F.get("__list", F.lit(0)))
+        .withColumn(
+            "__state",
+            F.when(c("__text").isNull(), none)
+            .when(c("__hard"), "CONDITIONAL")
+            .when(c("__list").isNull(), "NO_AMOUNT")
+            .when(F.size("__list") > 1, "AMBIGUOUS")
+            .when(c("__one") > 0, "OK")
+            .otherwise("NO_AMOUNT"),
+        )
+        .withColumn(
+            out,
+            F.struct(
+                F.when(c("__state") == "OK", c("__one")).alias("amount"),
+                c("__state").alias("status"),
+            ),
+        )
+        .drop("__text", "__said", "__plain", "__hard", "__marked", "__list", "__one", "__state")
     )
-    return F.struct(F.when(status == "OK", one).alias("amount"), status.alias("status"))
 
 
 def original_type(text: Column, label: Column) -> Column:
@@ -59,37 +86,56 @@ def original_type(text: Column, label: Column) -> Column:
     )
 
 
-def resolve_pair(
-    original: Column, original_label: Column, current: Column, current_label: Column
-) -> Column:
-    """struct(original_price, original_price_type, current_price, error).
+def with_pair(
+    df: DataFrame,
+    out: str,
+    original: Column,
+    original_label: Column,
+    current: Column,
+    current_label: Column,
+) -> DataFrame:
+    """Adds struct(original_price, original_price_type, current_price, error).
 
     An original equal to the current price carries no information and is dropped.
     """
-    o, c = parse_amount(original, original_label), parse_amount(current, current_label)
-    keep = original.isNotNull() & ~o["amount"].eqNullSafe(c["amount"])
-    error = F.when(o["status"] != "OK", o["status"]).when(c["status"] != "OK", c["status"])
-    return F.struct(
-        F.when(keep, o["amount"]).alias("original_price"),
-        F.when(keep, original_type(original, original_label))
-        .otherwise("NONE")
-        .alias("original_price_type"),
-        c["amount"].alias("current_price"),
-        error.alias("error"),
+    o, n = F.col("__o"), F.col("__n")
+    keep = original.isNotNull() & ~o["amount"].eqNullSafe(n["amount"])
+    error = F.when(o["status"] != "OK", o["status"]).when(n["status"] != "OK", n["status"])
+    both = with_amount(
+        with_amount(df, "__o", original, original_label), "__n", current, current_label
     )
-
-
-def agreeing_amount(raw: Column, display: Column) -> Column:
-    """struct(text, error): the raw and the displayed form of one amount must agree."""
-    r, d = parse_amount(raw), parse_amount(display)
+    return both.withColumn(
+        out,
+        F.struct(
+            F.when(keep, o["amount"]).alias("original_price"),
+            F.when(keep, original_type(original, original_label))
+            .otherwise("NONE")
+            .alias("original_price_type"),
+            n["amount"].alias("current_price"),
+            error.alias("error"),
+        ),
+    ).drop("__o", "__n")
+
+
+def with_agreement(df: DataFrame, out: str, raw: Column, display: Column) -> DataFrame:
+    """Adds struct(text, error): the raw and the displayed form of one amount must agree."""
+    r, d = F.col("__r"), F.col("__d")
     both = raw.isNotNull() & display.isNotNull()
     error = (
         F.when(both & (r["status"] != "OK"), r["status"])
         .when(both & (d["status"] != "OK"), d["status"])
         .when(both & (r["amount"] != d["amount"]), "AMOUNT_MISMATCH")
     )
-    return F.struct(
-        F.when(error.isNull(), F.coalesce(raw, display)).alias("text"), error.alias("error")
+    return (
+        with_amount(with_amount(df, "__r", raw), "__d", display)
+        .withColumn(
+            out,
+            F.struct(
+                F.when(error.isNull(), F.coalesce(raw, display)).alias("text"),
+                error.alias("error"),
+            ),
+        )
+        .drop("__r", "__d")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricestrata.functions import vocab
@@ -37,47 +37,79 @@ def to_base(value: Column, token: Column) -> Column:
     return (value.cast(QTY) * _lookup(token, 3).cast("decimal(4,3)")).cast(BASE)
 
 
-def parse_quantity(text: Column, measure: Column) -> Column:
-    """struct of the parsed quantity plus ``error`` (NULL when the text is unambiguous)."""
-    t = F.upper(compact(text))
-    packs, span, exact = t.rlike(_PACKS), t.rlike(_RANGE), t.rlike(_EXACT)
+def with_quantity(df: DataFrame, out: str, text: Column, measure: Column) -> DataFrame:
+    """Adds a struct of the parsed quantity plus ``error`` (NULL when it is unambiguous).
+
+    Built in steps, so that each pattern runs once per row.
+    """
+    c = F.col
+    packs, span, exact = (c("__shape") == s for s in ("PACKS", "RANGE", "EXACT"))
 
     def group(pattern: str, i: int) -> Column:
-        return F.regexp_extract(t, pattern, i)
+        return F.regexp_extract("__t", pattern, i)
 
     total = (
         group(_PACKS, 1).try_cast("decimal(10,0)") * group(_PACKS, 2).try_cast("decimal(9,0)")
     ).cast(QTY)
-    low, high = group(_RANGE, 1).try_cast(QTY), group(_RANGE, 2).try_cast(QTY)
-    value = F.when(packs, total).when(exact, group(_EXACT, 1).try_cast(QTY))
-    token = (
-        F.when(packs, "PIECE").when(span, group(_RANGE, 3)).when(exact, group(_EXACT, 2))
+    steps = (
+        df.withColumns({"__t": F.upper(compact(text)), "__m": measure})
+        .withColumn(
+            "__shape",
+            F.when(c("__t").rlike(_PACKS), "PACKS")
+            .when(c("__t").rlike(_RANGE), "RANGE")
+            .when(c("__t").rlike(_EXACT), "EXACT")
+            .otherwise("NONE"),
+        )
+        .withColumns(
+            {
+                "__low": F.when(span, group(_RANGE, 1).try_cast(QTY)),
+                "__high": F.when(span, group(_RANGE, 2).try_cast(QTY)),
+                "__v": F.when(packs, total).when(exact, group(_EXACT, 1).try_cast(QTY)),
+                "__u": F.when(packs, "PIECE")
+                .when(span, group(_RANGE, 3))
+                .when(exact, group(_EXACT, 2)),
+            }
+        )
+        .withColumns(
+            {"__kind": _lookup(c("__u"), 0), "__factor": _lookup(c("__u"), 3).cast("decimal(4,3)")}
+        )
     )
-    kind = unit_measure(token)
+    mismatch = "MEASURE_MISMATCH"
     error = (
-        F.when(t.isNull() | (t == ""), "BLANK")
-        .when(~(packs | span | exact), "UNSUPPORTED")
-        .when(packs & (measure != "COUNT"), "MEASURE_MISMATCH")
-        .when(span & ~((low > 0) & (high > 0)), "NOT_POSITIVE")
-        .when(span & (high < low), "RANGE_REVERSED")
-        .when(~span & ~F.coalesce(value > 0, F.lit(False)), "NOT_POSITIVE")
-        .when(exact & (measure == "COUNT") & (value != F.floor(value)), "NOT_WHOLE")
-        .when(kind.isNull(), "UNIT_UNKNOWN")
-        .when(kind != measure, "MEASURE_MISMATCH")
+        F.when(c("__t").isNull() | (c("__t") == ""), "BLANK")
+        .when(c("__shape") == "NONE", "UNSUPPORTED")
+        .when(packs & (c("__m") != "COUNT"), mismatch)
+        .when(span & ~((c("__low") > 0) & (c("__high") > 0)), "NOT_POSITIVE")
+        .when(span & (c("__high") < c("__low")), "RANGE_REVERSED")
+        .when(~span & ~F.coalesce(c("__v") > 0, F.lit(False)), "NOT_POSITIVE")
+        .when(exact & (c("__m") == "COUNT") & (c("__v") != F.floor(c("__v"))), "NOT_WHOLE")
+        .when(c("__kind").isNull(), "UNIT_UNKNOWN")
+        .when(c("__kind") != c("__m"), mismatch)
     )
-    ok = error.isNull()
-    counted = (packs | exact) & (measure == "COUNT")
-    return F.struct(
-        F.when(ok & ~span, value).alias("quantity_value"),
-        F.when(ok & span, low).alias("quantity_min"),
-        F.when(ok & span, high).alias("quantity_max"),
-        F.when(ok, _lookup(token, 1)).alias("quantity_unit"),
-        F.when(ok & ~span, to_base(value, token)).alias("base_quantity_value"),
-        F.when(ok & span, to_base(low, token)).alias("base_quantity_min"),
-        F.when(ok & span, to_base(high, token)).alias("base_quantity_max"),
-        F.when(ok, _lookup(token, 2)).alias("base_unit"),
-        F.when(ok & counted, value.cast("int")).alias("package_count"),
-        error.alias("error"),
+    ok = c("__error").isNull()
+    counted = (packs | exact) & (c("__m") == "COUNT")
+
+    def base(name: str) -> Column:
+        return F.when(ok, (c(name) * c("__factor")).cast(BASE))
+
+    return (
+        steps.withColumn("__error", error)
+        .withColumn(
+            out,
+            F.struct(
+                F.when(ok, c("__v")).alias("quantity_value"),
+                F.when(ok, c("__low")).alias("quantity_min"),
+                F.when(ok, c("__high")).alias("quantity_max"),
+                F.when(ok, _lookup(c("__u"), 1)).alias("quantity_unit"),
+                base("__v").alias("base_quantity_value"),
+                base("__low").alias("base_quantity_min"),
+                base("__high").alias("base_quantity_max"),
+                F.when(ok, _lookup(c("__u"), 2)).alias("base_unit"),
+                F.when(ok & counted, c("__v").cast("int")).alias("package_count"),
+                c("__error").alias("error"),
+            ),
+        )
+        .drop("__t", "__m", "__shape", "__low", "__high", "__v", "__u", "__kind", "__factor", "__error")
     )
 
 

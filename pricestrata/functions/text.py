@@ -5,9 +5,9 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Unicode white space plus the four ASCII separators.
 WS = r"(?U)[\s\x1c-\x1f]"
@@ -25,6 +25,40 @@ def nfkc(col: Column) -> Column:
     return F.when(needs_python, _nfkc_batch(F.when(needs_python, col))).otherwise(col)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _nfkc_lists(values: pd.Series) -> pd.Series:
+    def each(items: object) -> list[str | None]:
+        return [None if v is None else unicodedata.normalize("NFKC", v) for v in items]
+
+    return values.map(each, na_action="ignore")
+
+
+def nfkc_array(col: Column) -> Column:
+    """NFKC of every element; Python UDFs cannot run inside a lambda, so whole arrays go over."""
+    needs_python = F.exists(col, lambda v: F.coalesce(v.rlike(_NFKC_SENSITIVE), F.lit(False)))
+    return F.when(needs_python, _nfkc_lists(F.when(needs_python, col))).otherwise(col)
+
+
+def with_normalized_entries(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds the entries of a map with lower-cased normalised keys and normalised values.
+
+    A step of its own: the planner refuses a Python UDF in one expression with a lambda.
+    """
+    return (
+        df.withColumn("__k", nfkc_array(F.map_keys(column)))
+        .withColumn("__v", nfkc_array(F.map_values(column)))
+        .withColumn(
+            out,
+            F.zip_with(
+                "__k",
+                "__v",
+                lambda k, v: F.struct(F.lower(squeeze(k)).alias("key"), squeeze(v).alias("value")),
+            ),
+        )
+        .drop("__k", "__v")
+    )
+
+
 def squeeze(col: Column) -> Column:
     """Collapse white space to single spaces and trim."""
     return F.trim(F.regexp_replace(col, WS + "+", " "))
