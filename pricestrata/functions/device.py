@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from pricestrata.functions import vocab
 from pricestrata.functions.identity import (
     canonical_json,
-    last_per_key,
     sha256,
-    sorted_map,
     spec_fingerprint,
 )
 from pricestrata.functions.money import with_pair
@@ -128,46 +126,64 @@ def split_version(version: Column, brand: str = "XIAOMI") -> Column:
     )
 
 
-def specification(fields: dict[str, Column], normalized: Column) -> Column:
-    """struct(spec, error): only proven configuration identifies a device.
+def with_specification(
+    df: DataFrame, out: str, fields: dict[str, Column], normalized: Column
+) -> DataFrame:
+    """Adds struct(spec, json, error): only proven configuration identifies a device.
 
-    ``normalized`` comes from ``with_normalized_entries``.
+    ``normalized`` comes from ``with_normalized_entries``. ``json`` is the canonical text of the
+    proven fields, keys in order and empty fields absent; both are NULL on an error.
     """
-    cleaned = []
+    c = F.col
+    cleaned = {}
     for name in vocab.SPEC_FIELDS:
         raw = fields.get(name, F.lit(None).cast("string"))
         text = capacity(raw) if name in ("capacity", "memory") else normalize_text(raw)
-        cleaned.append(F.when(text != "", text).alias(name))
-    entries = F.coalesce(
-        normalized, F.array().cast("array<struct<key:string,value:string>>")
+        cleaned[f"__f_{name}"] = text
+    texts = df.withColumns(cleaned)
+    trimmed = texts.withColumns({n: F.when(c(n) != "", c(n)) for n in cleaned}).withColumn(
+        "__e", F.coalesce(normalized, F.array().cast("array<struct<key:string,value:string>>"))
     )
-    keys = F.transform(entries, lambda e: e["key"])
+    keyed = trimmed.withColumn("__keys", F.transform("__e", lambda e: e["key"]))
     blank = F.exists(
-        entries, lambda e: (e["key"] == "") | (F.coalesce(e["value"], F.lit("")) == "")
+        "__e", lambda e: (e["key"] == "") | (F.coalesce(e["value"], F.lit("")) == "")
     )
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    mutable = F.size(F.array_intersect(keys, F.array(*map(F.lit, vocab.MUTABLE_KEYS)))) > 0
-    kept = F.when(F.size(entries) > 0, F.map_from_entries(F.array_sort(last_per_key(entries))))
-    spec = F.struct(*cleaned, kept.alias("attributes"))
-    proven = kept.isNotNull()
-    for column in cleaned:
-        proven = proven | column.isNotNull()
-    error = (
+    proven = F.size("__e") > 0
+    for name in cleaned:
+        proven = proven | c(name).isNotNull()
+    judged = keyed.withColumn(
+        "__error",
         F.when(blank, "BLANK_DIMENSION")
-        .when(repeated, "REPEATED_DIMENSION")
-        .when(mutable, "MUTABLE_DIMENSION")
-        .when(~proven, "NOTHING_PROVEN")
+        .when(F.size(F.array_distinct("__keys")) < F.size("__keys"), "REPEATED_DIMENSION")
+        .when(
+            F.arrays_overlap("__keys", F.array(*map(F.lit, vocab.MUTABLE_KEYS))),
+            "MUTABLE_DIMENSION",
+        )
+        .when(~proven, "NOTHING_PROVEN"),
+    ).withColumn(
+        "__attributes",
+        F.when(
+            c("__error").isNull() & (F.size("__e") > 0), F.map_from_entries(F.array_sort("__e"))
+        ),
     )
-    return F.struct(F.when(error.isNull(), spec).alias("spec"), error.alias("error"))
-
-
-def identity_json(spec: Column) -> Column:
-    """Canonical JSON of the proven fields, keys in order, empty fields absent."""
-    fields = F.struct(
-        sorted_map(spec["attributes"]).alias("attributes"),
-        *[spec[n].alias(n) for n in sorted(vocab.SPEC_FIELDS)],
+    ok = c("__error").isNull()
+    values = {n: c(f"__f_{n}").alias(n) for n in vocab.SPEC_FIELDS}
+    in_order = F.struct(
+        c("__attributes").alias("attributes"), *[values[n] for n in sorted(vocab.SPEC_FIELDS)]
+    )
+    as_stored = F.struct(*values.values(), c("__attributes").alias("attributes"))
+    return (
+        judged.withColumn("__json", F.when(ok, canonical_json(in_order, keep_nulls=False)))
+        .withColumn(
+            out,
+            F.struct(
+                F.when(ok, as_stored).alias("spec"),
+                c("__json").alias("json"),
+                c("__error").alias("error"),
+            ),
+        )
+        .drop(*cleaned, "__e", "__keys", "__error", "__attributes", "__json")
     )
-    return F.when(spec.isNotNull(), canonical_json(fields, keep_nulls=False))
 
 
 def item_key(brand: Column, channel: Column, product: Column) -> Column:
@@ -177,17 +193,12 @@ def item_key(brand: Column, channel: Column, product: Column) -> Column:
     return F.when(full, sha256(canonical_json(F.array(*parts))))
 
 
-def listing_key(product: Column, sku: Column, spec: Column) -> Column:
+def listing_key(product: Column, sku: Column, spec_json: Column) -> Column:
     """JSON [product, "sku"|"spec", id]; the specification stands in when there is no SKU."""
-    has_sku = sku.isNotNull()
-    key = canonical_json(
-        F.array(
-            strip(product),
-            F.when(has_sku, F.lit("sku")).otherwise(F.lit("spec")),
-            F.when(has_sku, strip(sku)).otherwise(sha256(identity_json(spec))),
-        )
+    parts = F.when(sku.isNotNull(), F.array(strip(product), F.lit("sku"), strip(sku))).when(
+        spec_json.isNotNull(), F.array(strip(product), F.lit("spec"), sha256(spec_json))
     )
-    return F.when(has_sku | spec.isNotNull(), key)
+    return canonical_json(parts)
 
 
 def map_dimensions(brand: str, dimensions: Column) -> tuple[dict[str, Column], Column]:
@@ -246,6 +257,7 @@ def with_price_candidate(
 __all__ = [
     "SPEC_TYPE", "availability_by_brand", "availability_from_flags", "availability_from_inventory",
     "availability_from_text", "category_by_brand", "category_from_name", "display_title",
-    "identity_json", "item_key", "listing_key", "map_dimensions", "ordered_case",
-    "spec_fingerprint", "specification", "split_version", "with_price_candidate",
+    "item_key", "listing_key", "map_dimensions", "ordered_case",
+    "spec_fingerprint", "split_version",
+    "with_price_candidate", "with_specification",
 ]

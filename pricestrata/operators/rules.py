@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from pricestrata.functions import vocab
 from pricestrata.functions.device import (
-    identity_json,
     listing_key,
     ordered_case,
-    specification,
+    with_specification,
 )
 from pricestrata.functions.identity import listing_fingerprint
 from pricestrata.functions.quantity import BASE, QTY, with_quantity
@@ -241,8 +240,8 @@ def device_identity(df: DataFrame) -> DataFrame:
         & (c("price_nature") == "RETAIL_OFFER")
     )
     prepared = with_normalized_entries(df, "spec_attributes", "entries")
-    judged = prepared.withColumn("s", specification(fields, c("entries"))).withColumn(
-        "expected_key", listing_key(c("external_product_id"), c("external_sku_id"), c("s.spec"))
+    judged = with_specification(prepared, "s", fields, c("entries")).withColumn(
+        "expected_key", listing_key(c("external_product_id"), c("external_sku_id"), c("s.json"))
     )
     code = (
         F.when(~c("category_code").isin(*vocab.DEVICE_CATEGORIES), "DEVICE_CATEGORY_UNSUPPORTED")
@@ -250,16 +249,18 @@ def device_identity(df: DataFrame) -> DataFrame:
         .when(c("s.error").isNotNull(), "DEVICE_SPECIFICATION_UNPROVEN")
         .when(c("listing_key") != c("expected_key"), "DEVICE_LISTING_KEY_MISMATCH")
     )
-    return judged.select(
+    return judged.withColumn("identity_code", code).select(
         *df.columns,
         "expected_key",
-        identity_json(c("s.spec")).alias("identity_json"),
+        c("s.json").alias("identity_json"),
         F.lit("COUNT").alias("measure_type"),
         F.lit("PIECE").alias("base_unit"),
         F.lit("1").cast(QTY).alias("base_quantity_value"),
         F.lit(1).alias("package_count"),
-        code.alias("identity_code"),
-        F.when(code.isNull(), "ACCEPTED").otherwise("REVIEW_REQUIRED").alias("identity_status"),
+        "identity_code",
+        F.when(c("identity_code").isNull(), "ACCEPTED")
+        .otherwise("REVIEW_REQUIRED")
+        .alias("identity_status"),
     )
 
 

@@ -257,14 +257,10 @@ def _device_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def device_specifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {n: F.try_element_at(c("spec_fields"), F.lit(n)) for n in vocab.SPEC_FIELDS}
-    return (
-        _device_frame(spark, sf_dir)
-        .withColumn("s", device.specification(fields, c("entries")))
-        .withColumn("identity_json", device.identity_json(c("s.spec")))
-        .select(
-            "p_partkey", c("s.error").alias("spec_error"), "identity_json",
-            identity.sha256(c("identity_json")).alias("fingerprint"),
-        )
+    rows = device.with_specification(_device_frame(spark, sf_dir), "s", fields, c("entries"))
+    return rows.select(
+        "p_partkey", c("s.error").alias("spec_error"), c("s.json").alias("identity_json"),
+        identity.sha256(c("s.json")).alias("fingerprint"),
     )
 
 
@@ -296,10 +292,9 @@ def map_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def device_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {n: F.try_element_at(c("spec_fields"), F.lit(n)) for n in vocab.SPEC_FIELDS}
+    rows = device.with_specification(_device_frame(spark, sf_dir), "s", fields, c("entries"))
     return (
-        _device_frame(spark, sf_dir)
-        .withColumn("s", device.specification(fields, c("entries")))
-        .withColumn("listing_key", device.listing_key(c("product_id"), c("sku_id"), c("s.spec")))
+        rows.withColumn("listing_key", device.listing_key(c("product_id"), c("sku_id"), c("s.json")))
         .select(
             "p_partkey",
             device.item_key(c("brand"), F.lit(" huawei_cn_web "), c("product_id")).alias("item_key"),
@@ -328,14 +323,13 @@ m AS (SELECT *, CASE WHEN category_code NOT IN ('PHONE', 'TABLET', 'LAPTOP', 'DE
 def device_identity_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {n: F.try_element_at(c("spec_fields"), F.lit(n)) for n in vocab.SPEC_FIELDS}
     rows = (
-        _device_frame(spark, sf_dir)
-        .withColumn("s0", device.specification(fields, c("entries")))
-        .withColumn("k0", device.listing_key(c("product_id"), c("sku_id"), c("s0.spec")))
+        device.with_specification(_device_frame(spark, sf_dir), "s0", fields, c("entries"))
+        .withColumn("k0", device.listing_key(c("product_id"), c("sku_id"), c("s0.json")))
         .withColumn(
             "listing_key", F.when(c("p_partkey") % 17 == 0, F.concat("k0", F.lit("x"))).otherwise(c("k0"))
         )
         .withColumnsRenamed({"product_id": "external_product_id", "sku_id": "external_sku_id"})
-        .drop("s0", "k0")
+        .drop("s0", "k0", "entries")
     )
     return rules.device_identity(rows).select("p_partkey", "identity_code", "identity_status")
 
