@@ -207,3 +207,58 @@ VIEWS["fresh_rows"] = (
     + " FROM {part}"
 )
 ATTRIBUTE_NAMES = tuple(_ATTRIBUTES)
+
+
+# Events as already judged price points: the input of history, guard and join queries.
+VIEWS["points"] = """
+SELECT event_id AS ingest_seq, CAST(event_id AS STRING) AS record_id, k, user_id,
+       'C' || CAST(user_id % 3 AS STRING) AS channel,
+       'P' || CAST(user_id - user_id % 4 AS STRING) AS product_id,
+       'L' || CAST(user_id AS STRING) AS listing_id,
+       'L' || CAST(user_id AS STRING) || ':' || CAST(rev AS STRING) AS revision_id,
+       [[CAST(user_id AS STRING) || '/' || CAST(rev + k % 2 AS STRING)]] AS identity_fingerprint,
+       CASE WHEN event_type = 'view' THEN 'NATIONAL' ELSE 'PROVINCE' END AS region_scope,
+       CASE WHEN event_type = 'view' THEN 'CN' ELSE upper(event_type) END AS region_code,
+       CASE WHEN k % 19 <> 3 THEN CAST(20 + k % 30 + (event_id % 100) * 0.01 AS DECIMAL(18,2)) END AS current_price,
+       CASE WHEN k % 19 <> 3 AND k % 7 = 1 THEN CAST(60 + k % 30 AS DECIMAL(18,2)) END AS original_price,
+       CASE WHEN k % 19 = 3 THEN 'OFF_SHELF' WHEN k % 5 = 2 THEN 'OUT_OF_STOCK' ELSE 'ON_SALE' END
+         AS availability,
+       CASE WHEN k % 10 = 9 THEN 'REJECTED' WHEN k % 10 = 8 THEN 'REVIEW_REQUIRED' ELSE 'ACCEPTED' END
+         AS quality_status,
+       CASE WHEN k % 10 = 9 THEN 'CONDITIONAL_PRICE' WHEN k % 20 = 8 THEN 'PRICE_CHANGE_UNCONFIRMED'
+            WHEN k % 10 = 8 THEN 'PRODUCT_IDENTITY_UNTRUSTED' END AS rejection_code,
+       ts AS observed_at, CAST(ts AS DATE) AS observed_date,
+       [[CAST(event_id AS STRING) || '#' || CAST(k AS STRING)]] AS observation_key,
+       [[CAST(k AS STRING)]] AS source_hash
+FROM {numbered}
+"""
+# One publication per listing and day: repeated payloads, corrections and reverts.
+VIEWS["publications"] = """
+SELECT ingest_seq, listing_id, revision_id, 'PROVINCE' AS region_scope, 'ALL' AS region_code,
+       observed_date AS observed_at, observed_date, quality_status, current_price, availability,
+       [['page' || CAST(k % 3 AS STRING)]] AS source_hash,
+       [['payload' || CAST(k % 3 AS STRING)]] AS payload_hash,
+       [[listing_id || '|' || revision_id || '|' || CAST(observed_date AS STRING) || '|'
+         || CAST(k % 3 AS STRING)]] AS base_key
+FROM {points}
+WHERE quality_status = 'ACCEPTED'
+"""
+# Sightings of products in daily runs; some products are out of view on some days.
+VIEWS["sightings"] = """
+SELECT DISTINCT channel, product_id, observed_date AS run_at FROM {points} WHERE k % 4 = 1
+"""
+VIEWS["runs"] = """
+SELECT channel, observed_date AS run_at, EXTRACT(DAY FROM observed_date) % 10 <> 5 AS complete
+FROM (SELECT DISTINCT channel, observed_date FROM {points}) x
+"""
+# Product captures: rows are listings of a product on a day, candidates are the points.
+VIEWS["captured"] = """
+SELECT p.*, observed_date AS capture_day,
+       CASE WHEN (user_id + EXTRACT(DAY FROM observed_date)) % 11 = 0 THEN 'REVIEW_REQUIRED'
+            WHEN (user_id + EXTRACT(DAY FROM observed_date)) % 23 = 1 THEN 'REJECTED'
+            ELSE 'ACCEPTED' END AS identity_status,
+       CASE WHEN (user_id + EXTRACT(DAY FROM observed_date)) % 11 = 0 THEN 'IDENTITY_FIELDS_MISSING'
+            WHEN (user_id + EXTRACT(DAY FROM observed_date)) % 23 = 1 THEN 'QUANTITY_UNRESOLVED' END
+         AS identity_code
+FROM {points} p
+"""
