@@ -262,3 +262,162 @@ SELECT p.*, observed_date AS capture_day,
          AS identity_code
 FROM {points} p
 """
+
+
+# A stored database with known faults, for the audits. Listings are customers, facts are
+# events with day precision, channels are nations; remainders of ids inject the faults.
+VIEWS["store_channel"] = """
+SELECT n_nationkey AS channel_id, 'CH' || CAST(n_nationkey AS STRING) AS code,
+       CASE WHEN n_nationkey % 3 = 0 THEN 'PUBLIC_DATA' ELSE 'OFFICIAL_MALL' END AS source_type,
+       CASE WHEN n_nationkey % 3 = 0 THEN 'WHOLESALE' ELSE 'SELF_OPERATED' END AS business_mode,
+       CASE WHEN n_nationkey = 7 THEN 'REGIONAL' ELSE 'NATIONAL' END AS region_mode,
+       'CNY' AS currency, n_nationkey % 5 <> 4 AS enabled
+FROM {nation}
+"""
+VIEWS["store_merchant"] = """
+SELECT n_nationkey AS merchant_id, CASE WHEN n_nationkey = 11 THEN 12 ELSE n_nationkey END AS channel_id,
+       CASE WHEN n_nationkey % 3 = 0 THEN 'PUBLIC_MARKET' ELSE 'BRAND_OFFICIAL' END AS seller_type,
+       CASE WHEN n_nationkey = 13 THEN 'UNVERIFIED' ELSE 'VERIFIED' END AS verification_status
+FROM {nation}
+"""
+VIEWS["store_fact"] = """
+SELECT event_id AS observation_id, user_id AS listing_id, user_id * 10 + rev AS revision_id,
+       event_id AS record_id, k,
+       CASE WHEN event_type = 'view' THEN 'NATIONAL' WHEN k = 99 THEN 'UNKNOWN' ELSE 'PROVINCE' END
+         AS region_scope,
+       CASE WHEN event_type = 'view' THEN CASE WHEN k % 79 = 8 THEN 'US' ELSE 'CN' END
+            ELSE upper(event_type) END AS region_code,
+       CASE WHEN k % 73 = 7 THEN 'USD' ELSE 'CNY' END AS currency,
+       CASE WHEN k % 19 <> 3 THEN price END AS current_price,
+       CASE WHEN k % 19 <> 3 AND k % 7 = 1 THEN CAST(price + 9 AS DECIMAL(18,2))
+            WHEN k % 71 = 6 THEN CAST(0.01 AS DECIMAL(18,2)) END AS original_price,
+       CASE WHEN k % 19 <> 3 AND k % 7 = 1 THEN 'MSRP' WHEN k % 71 = 6 THEN 'CROSSED_OUT'
+            WHEN k = 51 THEN 'MSRP' ELSE 'NONE' END AS original_price_type,
+       CASE WHEN c_nationkey % 3 = 0 THEN 'WHOLESALE_AVERAGE' WHEN k = 77 THEN 'UNKNOWN'
+            ELSE 'RETAIL_OFFER' END AS price_nature,
+       CASE WHEN k % 19 = 3 THEN 'AVAILABILITY_ONLY' WHEN c_nationkey % 3 = 0 THEN 'PUBLISHED_VALUE'
+            ELSE 'DIRECT_UNCONDITIONAL' END AS price_type,
+       CASE WHEN k % 19 = 3 THEN 'UNKNOWN' WHEN k = 33 THEN CAST(NULL AS STRING)
+            ELSE 'PACKAGE_TOTAL' END AS pricing_basis,
+       CASE WHEN k % 19 = 3 THEN CASE WHEN k = 22 THEN 'ON_SALE' ELSE 'OFF_SHELF' END
+            ELSE 'ON_SALE' END AS availability,
+       CASE WHEN k % 19 = 3 OR c_nationkey % 3 = 0 THEN 'NOT_APPLICABLE' WHEN k % 67 = 5 THEN 'UNKNOWN'
+            ELSE 'ITEM_ONLY' END AS fee_status,
+       CAST(NULL AS DECIMAL(20,6)) AS unit_price, CAST(NULL AS STRING) AS unit_price_unit,
+       CAST(NULL AS STRING) AS promotion_label,
+       CASE WHEN k % 10 = 9 THEN 'REJECTED' WHEN k % 10 = 8 THEN 'REVIEW_REQUIRED' ELSE 'ACCEPTED' END
+         AS quality_status,
+       CASE WHEN k % 20 = 8 THEN 'PRICE_CHANGE_UNCONFIRMED' WHEN k % 10 >= 8 THEN 'CONDITIONAL_PRICE'
+            WHEN k = 44 THEN 'CONDITIONAL_PRICE' END AS rejection_code,
+       [[CAST(event_id AS STRING)]] AS source_hash, CAST(ts AS DATE) AS observed_at
+FROM {numbered} JOIN {customer} ON c_custkey = user_id
+"""
+VIEWS["store_observation"] = """
+SELECT f.*, CASE WHEN k % 17 = 0 THEN observation_id + 1 WHEN k % 13 = 0 THEN NULL
+                 WHEN quality_status = 'ACCEPTED' THEN prior_id END AS supersedes_id
+FROM (SELECT *, CASE WHEN quality_status = 'ACCEPTED' THEN lag(observation_id) OVER (
+          PARTITION BY listing_id, revision_id, region_scope, region_code, observed_at, quality_status
+          ORDER BY observation_id) END AS prior_id
+      FROM {store_fact}) f
+"""
+VIEWS["store_revision"] = """
+SELECT revision_id, CASE WHEN revision_id % 41 = 7 THEN listing_id + 1 ELSE listing_id END AS listing_id,
+       CASE WHEN revision_id % 43 = 9 THEN first_record + 900000000 ELSE first_record END AS first_record_id,
+       CASE WHEN revision_id % 37 = 5 THEN 'REVIEW_REQUIRED' ELSE 'ACCEPTED' END AS quality_status,
+       [['rev' || CAST(revision_id AS STRING)]] AS identity_fingerprint,
+       'attrs' || CAST(revision_id AS STRING) AS normalized_attributes,
+       first_observed_at, last_observed_at
+FROM (SELECT revision_id, listing_id, min(record_id) AS first_record, min(observed_at) AS first_observed_at,
+             max(observed_at) AS last_observed_at
+      FROM {store_fact} GROUP BY revision_id, listing_id) r
+"""
+VIEWS["store_listing"] = """
+SELECT c_custkey AS listing_id, c_nationkey AS channel_id, c_nationkey AS merchant_id,
+       CASE WHEN c_nationkey % 3 = 0 THEN 'WHOLESALE_AVERAGE' ELSE 'RETAIL_OFFER' END AS price_nature,
+       'P' || CAST(c_custkey AS STRING) AS external_product_id,
+       CASE WHEN c_custkey % 43 = 0 THEN 999999999 WHEN c_custkey % 47 = 1 THEN c_custkey * 10 + 1
+            WHEN c_custkey % 53 = 2 THEN NULL ELSE newest END AS current_revision_id,
+       CASE WHEN c_custkey % 7 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS lifecycle_status,
+       c_custkey % 4 AS consecutive_misses
+FROM {customer} LEFT JOIN (SELECT listing_id, max(revision_id) AS newest FROM {store_fact}
+                           WHERE quality_status = 'ACCEPTED' GROUP BY listing_id) n
+  ON n.listing_id = c_custkey
+"""
+VIEWS["store_run"] = """
+SELECT run_id, channel_id, CASE WHEN channel_id = 9 THEN 'NATIONAL' ELSE 'MULTI' END AS region_scope,
+       CASE WHEN channel_id = 9 THEN 'CN' ELSE '*' END AS region_code, started_at,
+       CASE run_id % 11 WHEN 0 THEN 'RUNNING' WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'FAILED'
+            ELSE 'SUCCEEDED' END AS status,
+       CASE WHEN run_id % 22 = 0 THEN started_at WHEN run_id % 11 = 0 OR run_id % 29 = 3 THEN NULL
+            ELSE started_at END AS finished_at,
+       CASE WHEN run_id % 31 = 4 OR channel_id = 17 THEN 0 ELSE accepted END AS accepted_count,
+       CASE WHEN run_id % 13 = 1 THEN 1 ELSE 0 END AS failed_count
+FROM (SELECT c_nationkey * 100 + EXTRACT(DAY FROM observed_at) AS run_id, c_nationkey AS channel_id,
+             observed_at AS started_at, sum(CASE WHEN quality_status = 'ACCEPTED' THEN 1 ELSE 0 END) AS accepted
+      FROM {store_fact} JOIN {customer} ON c_custkey = listing_id
+      GROUP BY c_nationkey, observed_at) r
+"""
+VIEWS["store_record"] = """
+SELECT record_id, c_nationkey * 100 + EXTRACT(DAY FROM observed_at)
+         + CASE WHEN k = 61 THEN 100 ELSE 0 END AS run_id,
+       CASE WHEN k % 31 = 5 THEN listing_id + 1 WHEN k % 3 = 0 THEN listing_id END AS listing_id,
+       CASE WHEN c_nationkey % 3 = 0 THEN 'PUBLIC_PRICE' ELSE 'PRODUCT' END AS entity_type,
+       'P' || CAST(listing_id AS STRING) AS entity_key,
+       CASE WHEN k % 43 = 9 THEN 'FAILED' ELSE 'SUCCEEDED' END AS fetch_status,
+       CASE WHEN k % 47 = 11 THEN 'SKIPPED' ELSE 'SUCCEEDED' END AS parse_status,
+       CASE WHEN k = 11 THEN 'OFF_SHELF_CONFIRMED' END AS error_code,
+       CASE WHEN k % 53 = 1 THEN CAST(NULL AS STRING) ELSE source_hash END AS raw_hash,
+       CASE WHEN k = 2 THEN '../up/' || source_hash WHEN k = 4 THEN '/root/' || source_hash
+            WHEN k = 6 THEN '' ELSE 'src/2024/' || source_hash || '.html.gz' END AS raw_path,
+       CASE WHEN k = 12 THEN 'not a hash' WHEN k = 14 THEN upper(source_hash) ELSE source_hash END
+         AS manifest_hash,
+       k = 16 AS manifest_other,
+       CASE WHEN k % 29 = 3 THEN CAST(observed_at + INTERVAL 1 DAY AS DATE) ELSE observed_at END AS fetched_at
+FROM {store_fact} JOIN {customer} ON c_custkey = listing_id
+"""
+VIEWS["store_current"] = """
+SELECT observation_id AS current_id, listing_id,
+       CASE WHEN observation_id % 89 = 0 THEN revision_id + 1 ELSE revision_id END AS revision_id,
+       region_scope, region_code,
+       CASE WHEN observation_id % 71 = 0 THEN observation_id + 900000000 ELSE observation_id END
+         AS observation_id,
+       CASE WHEN observation_id % 83 = 0 THEN CAST(observed_at - INTERVAL 3 DAY AS DATE) ELSE observed_at END
+         AS observed_at
+FROM (SELECT o.*, row_number() OVER (PARTITION BY o.listing_id, o.region_scope, o.region_code
+               ORDER BY o.observed_at DESC, o.observation_id DESC) AS position
+      FROM {store_observation} o JOIN {store_listing} l
+        ON l.listing_id = o.listing_id AND l.current_revision_id = o.revision_id
+      WHERE o.quality_status = 'ACCEPTED') x
+WHERE position = 1 AND observation_id % 97 <> 0
+"""
+VIEWS["store_match"] = """
+SELECT revision_id * 2 AS match_id, revision_id, revision_id AS variant_id, 'ACCEPTED' AS match_status,
+       first_observed_at AS effective_from, CAST(NULL AS DATE) AS effective_to
+FROM {store_revision} WHERE revision_id % 23 <> 4
+UNION ALL
+SELECT revision_id * 2 + 1, revision_id, revision_id, 'ACCEPTED', last_observed_at,
+       CASE WHEN revision_id % 2 = 0 THEN last_observed_at END
+FROM {store_revision} WHERE revision_id % 19 = 0
+UNION ALL
+SELECT revision_id * 2 + 1, revision_id, revision_id, 'SUPERSEDED', first_observed_at, last_observed_at
+FROM {store_revision} WHERE revision_id % 19 = 1
+"""
+VIEWS["store_variant"] = """
+SELECT revision_id AS variant_id, revision_id - revision_id % 10 AS item_no,
+       CASE WHEN revision_id % 31 = 3 THEN 'other' ELSE identity_fingerprint END AS identity_fingerprint,
+       CASE WHEN revision_id % 59 = 1 THEN 'other' ELSE normalized_attributes END AS attributes,
+       'COUNT' AS measure_type, CASE WHEN revision_id % 61 = 2 THEN 'KG' ELSE 'PIECE' END AS base_unit,
+       CASE WHEN revision_id % 29 = 4 THEN CAST(2 AS DECIMAL(20,6)) ELSE CAST(1 AS DECIMAL(20,6)) END
+         AS quantity_value
+FROM {store_revision}
+"""
+VIEWS["store_item"] = """
+SELECT c_custkey * 10 AS item_no, CASE WHEN c_custkey % 59 = 0 THEN NULL ELSE c_mktsegment END AS brand_id,
+       CASE WHEN c_custkey % 61 = 0 THEN 'wrong' ELSE
+         [['["' || c_mktsegment || '","CH' || CAST(c_nationkey AS STRING) || '","P' || CAST(c_custkey AS STRING) || '"]']]
+         END AS canonical_key,
+       CASE WHEN c_custkey % 67 = 0 THEN 'COMMODITY' ELSE 'MODEL' END AS item_type,
+       CASE WHEN c_custkey % 73 = 0 THEN 'FRESH_APPLE' ELSE 'PHONE' END AS category_code
+FROM {customer}
+"""
+VIEWS["store_brand"] = "SELECT DISTINCT c_mktsegment AS brand_id, c_mktsegment AS code FROM {customer}"

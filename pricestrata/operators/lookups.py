@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricestrata.operators.ordered import carry_forward, newest, running, time_bucket
@@ -139,3 +139,14 @@ def whitelist(rows: DataFrame, allowed: DataFrame, dims: list[str], doc: list[st
 def coverage_gap(known: DataFrame, captured: DataFrame, key: list[str]) -> DataFrame:
     """Known identities a capture did not return, kept as rows."""
     return known.select(*key).distinct().join(captured, key, "left_anti")
+
+
+def first_samples(rows: DataFrame, order: list[Column], size: int) -> DataFrame:
+    """The first ``size`` rows of a report and whether there are more; a bounded top-k."""
+    top = rows.orderBy(*order).limit(size + 1)
+    whole = Window.partitionBy(F.lit(0))
+    return (
+        top.withColumn("truncated", F.count(F.lit(1)).over(whole) > size)
+        .orderBy(*order)
+        .limit(size)
+    )

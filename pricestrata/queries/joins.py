@@ -195,14 +195,14 @@ def outdated_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctes("points")
     + """SELECT rejection_code, original_price, count(*) AS rows FROM (
            SELECT p.rejection_code, p.original_price FROM points p WHERE EXISTS (SELECT 1 FROM (
-             SELECT DISTINCT rejection_code, original_price FROM points WHERE k % 2 = 0) d
+             SELECT DISTINCT rejection_code, original_price FROM points WHERE quality_status != 'ACCEPTED') d
              WHERE d.rejection_code IS NOT DISTINCT FROM p.rejection_code
                AND d.original_price IS NOT DISTINCT FROM p.original_price)) GROUP BY ALL""",
 )
 def null_safe_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = bind.frame(spark, sf_dir, "points")
     left = points.groupBy("rejection_code", "original_price").agg(F.count(F.lit(1)).alias("rows"))
-    right = points.where("k % 2 = 0").select("rejection_code", "original_price").distinct()
+    right = points.where("quality_status != 'ACCEPTED'").select("rejection_code", "original_price").distinct()
     same = left["rejection_code"].eqNullSafe(right["rejection_code"]) & left[
         "original_price"
     ].eqNullSafe(right["original_price"])
@@ -246,11 +246,11 @@ def whitelist_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SET-01",
     ctes("points")
     + """SELECT product_id, listing_id FROM points WHERE quality_status = 'ACCEPTED'
-         EXCEPT SELECT product_id, listing_id FROM points WHERE observed_date >= DATE '2024-01-29' AND k % 2 = 0""",
+         EXCEPT SELECT product_id, listing_id FROM points WHERE observed_date >= DATE '2024-01-29' AND availability = 'ON_SALE'""",
 )
 def coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = bind.frame(spark, sf_dir, "points")
-    captured = points.where("observed_date >= DATE '2024-01-29' AND k % 2 = 0")
+    captured = points.where("observed_date >= DATE '2024-01-29' AND availability = 'ON_SALE'")
     return ops.coverage_gap(
         points.where("quality_status = 'ACCEPTED'"), captured, ["product_id", "listing_id"]
     )
@@ -317,12 +317,9 @@ def row_union(spark: SparkSession, sf_dir: str) -> DataFrame:
          FROM points ORDER BY observed_at, ingest_seq LIMIT 10""",
 )
 def price_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = bind.frame(spark, sf_dir, "points")
-    size = points.limit(11).agg((F.count(F.lit(1)) > 10).alias("truncated"))
-    first = points.orderBy("observed_at", "ingest_seq").limit(10)
-    return first.join(F.broadcast(size), F.lit(True)).select(
-        "listing_id", "region_code", "ingest_seq", "current_price", "truncated"
-    )
+    return ops.first_samples(
+        bind.frame(spark, sf_dir, "points"), [c("observed_at"), c("ingest_seq")], 10
+    ).select("listing_id", "region_code", "ingest_seq", "current_price", "truncated")
 
 
 @query(
