@@ -94,7 +94,8 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return table(spark, sf_dir, name)
     sql = re.sub(r"\[\[(.*?)\]\]", r"sha2(\1, 256)", VIEWS[name], flags=re.S)
     inputs = {dep: frame(spark, sf_dir, dep) for dep in _deps(sql)}
-    return spark.sql(sql, **inputs)
+    escaped = sql.replace("{", "{{").replace("}", "}}")
+    return spark.sql(re.sub(r"\{\{([a-z_]+)\}\}", r"{\1}", escaped), **inputs)
 
 
 def settled(df: DataFrame) -> DataFrame:
