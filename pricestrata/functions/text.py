@@ -74,8 +74,8 @@ def strip(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    stripped = strip(col)
-    return F.when(stripped != "", stripped)
+    """Trimmed text, NULL when nothing is left."""
+    return F.when(col.rlike(r"(?U)[^\s\x1c-\x1f]"), strip(col))
 
 
 def normalize_text(col: Column) -> Column:

@@ -27,11 +27,10 @@ def with_keys(df: DataFrame, adapter_version: str, supersedes: Column | None = N
 def first_arrivals(batch: DataFrame, key: list[str]) -> DataFrame:
     """Earliest arrival per key, reduced before the shuffle."""
     names = [c for c in batch.columns if c not in key]
-    packed = F.struct(F.col("ingest_seq").alias("o"), F.struct(*names).alias("row"))
     return (
         batch.groupBy(*key)
-        .agg(F.min(packed).alias("first"))
-        .select(*key, *[F.col("first.row")[n].alias(n) for n in names])
+        .agg(F.min_by(F.struct(*names), F.col("ingest_seq")).alias("first"))
+        .select(*key, *[F.col("first")[n].alias(n) for n in names])
         .select(*batch.columns)
     )
 
@@ -43,16 +42,15 @@ def classify_append(batch: DataFrame, store: DataFrame) -> DataFrame:
     """
     key = ["observed_date", "observation_key"]
     names = [c for c in batch.columns if c not in key]
-    packed = F.struct(F.col("ingest_seq").alias("o"), F.struct(*names).alias("row"))
     arrivals = batch.groupBy(*key).agg(
-        F.min(packed).alias("first"),
+        F.min_by(F.struct(*names), F.col("ingest_seq")).alias("first"),
         F.count(F.lit(1)).alias("deliveries"),
         (F.min("payload_hash") != F.max("payload_hash")).alias("torn"),
     )
     known = store.select(*key, F.col("payload_hash").alias("stored_payload"))
     outcome = (
         F.when(
-            F.col("torn") | (F.col("stored_payload") != F.col("first.row.payload_hash")),
+            F.col("torn") | (F.col("stored_payload") != F.col("first.payload_hash")),
             "CONFLICT",
         )
         .when(F.col("stored_payload").isNotNull(), "REPEAT")
@@ -60,7 +58,7 @@ def classify_append(batch: DataFrame, store: DataFrame) -> DataFrame:
     )
     return arrivals.join(known, key, "left").select(
         *key,
-        *[F.col("first.row")[n].alias(n) for n in names],
+        *[F.col("first")[n].alias(n) for n in names],
         "deliveries",
         outcome.alias("outcome"),
     )

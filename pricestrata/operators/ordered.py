@@ -25,12 +25,10 @@ def time_bucket(column: str, unit: str = "DAY") -> Column:
 def newest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the greatest by ``order``; combines before the shuffle."""
     names = [c for c in df.columns if c not in keys]
-    rank = [o.alias(f"o{i}") for i, o in enumerate(order)]
-    packed = F.struct(F.struct(*rank).alias("rank"), F.struct(*names).alias("row"))
     return (
         df.groupBy(*keys)
-        .agg(F.max(packed).alias("best"))
-        .select(*keys, *[F.col("best.row")[n].alias(n) for n in names])
+        .agg(F.max_by(F.struct(*names), F.struct(*order)).alias("best"))
+        .select(*keys, *[F.col("best")[n].alias(n) for n in names])
         .select(*df.columns)
     )
 

@@ -129,27 +129,54 @@ QUOTED_PROFILE = "government-fresh"
 DEVICE_PROFILE = "electronic-device"
 
 
-def _reading(rule: IdentityRule, source: Column) -> Column:
-    """struct(attributes, unsupported, missing) of one rule over a source attribute map."""
+def _attributes(rule: IdentityRule) -> tuple[Column, Column, Column]:
+    """(attributes, unsupported, missing) of one rule over the read fields.
+
+    Attributes read before the first unsupported value stay, later ones are dropped.
+    """
     entries = [
         F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in rule.fixed.items()
     ]
     failed = F.lit(False)
     missing = F.lit(False)
-    for name, normalizer in {**rule.required, **rule.optional}.items():
-        raw = blank_to_null(F.try_element_at(source, F.lit(name)))
-        value = normalizer(raw)
-        failed = failed | (raw.isNotNull() & value.isNull())
+    for name in (*rule.required, *rule.optional):
+        failed = failed | F.col(f"__x_{name}")
         if name in rule.required:
-            missing = missing | raw.isNull()
+            missing = missing | F.col(f"__r_{name}").isNull()
         entries.append(
-            F.struct(F.lit(name).alias("key"), F.when(~failed, value).alias("value"))
+            F.struct(F.lit(name).alias("key"), F.when(~failed, F.col(f"__v_{name}")).alias("value"))
         )
     known = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    return F.struct(
-        F.map_from_entries(F.array_sort(known)).alias("attributes"),
-        failed.alias("unsupported"),
-        missing.alias("missing"),
+    return F.map_from_entries(F.array_sort(known)), failed, missing
+
+
+def _with_readings(df: DataFrame, profile: Column, rules: list[IdentityRule]) -> DataFrame:
+    """Read every field once, then judge it by the rule of the row's profile."""
+    readers = {n: f for r in rules for n, f in {**r.required, **r.optional}.items()}
+    source = F.col("source_attributes")
+    raw = {f"__r_{n}": blank_to_null(F.try_element_at(source, F.lit(n))) for n in readers}
+    raw["__net"] = blank_to_null(F.try_element_at(source, F.lit("net_content")))
+    values = {
+        f"__v_{n}": F.when(F.col(f"__r_{n}").isNotNull(), f(F.col(f"__r_{n}")))
+        for n, f in readers.items()
+    }
+    flags = {
+        f"__x_{n}": F.col(f"__r_{n}").isNotNull() & F.col(f"__v_{n}").isNull() for n in readers
+    }
+    parts = {r.profile: _attributes(r) for r in rules}
+
+    def chosen(i: int) -> Column:
+        first, *rest = parts.items()
+        start = F.when(profile == first[0], first[1][i])
+        return reduce(lambda acc, kv: acc.when(profile == kv[0], kv[1][i]), rest, start)
+
+    return (
+        df.withColumns(raw)
+        .withColumns(values)
+        .withColumns(flags)
+        .withColumns(
+            {"__attributes": chosen(0), "__unsupported": chosen(1), "__missing": chosen(2)}
+        )
     )
 
 
@@ -160,39 +187,32 @@ def fresh_identity(df: DataFrame, profile: Column) -> DataFrame:
     quantity is kept on a row under review whenever its text can be read.
     """
     fresh = [r for r in RULES.values() if r.profile != DEVICE_PROFILE]
-    source = F.col("source_attributes")
-    reading = reduce(
-        lambda acc, r: acc.when(profile == r.profile, _reading(r, source)),
-        fresh[1:],
-        F.when(profile == fresh[0].profile, _reading(fresh[0], source)),
-    )
     measure = ordered_case(
         [(profile == r.profile, F.lit(r.measure)) for r in fresh], F.lit(None).cast("string")
     )
-    net = blank_to_null(F.try_element_at(source, F.lit("net_content")))
     c = F.col
-    quoted = F.try_element_at(c("reading.attributes"), F.lit("quoted_unit"))
+    quoted = c("__v_quoted_unit")
     fits = F.lit(False)
     for unit, base in vocab.QUOTED_BASE.items():
         fits = fits | ((quoted == unit) & (c("q.base_quantity_value") == F.lit(base).cast(BASE)))
     code = (
-        F.when(c("reading").isNull(), "RULE_UNKNOWN")
-        .when(c("reading.unsupported"), "IDENTITY_VALUE_UNSUPPORTED")
-        .when(c("reading.missing"), "IDENTITY_FIELDS_MISSING")
-        .when(c("net").isNull() | c("q.error").isNotNull(), "QUANTITY_UNRESOLVED")
+        F.when(c("__missing").isNull(), "RULE_UNKNOWN")
+        .when(c("__unsupported"), "IDENTITY_VALUE_UNSUPPORTED")
+        .when(c("__missing"), "IDENTITY_FIELDS_MISSING")
+        .when(c("__net").isNull() | c("q.error").isNotNull(), "QUANTITY_UNRESOLVED")
         .when(
             (profile == QUOTED_PROFILE)
             & ~F.coalesce(fits & (c("q.base_unit") == "KG"), F.lit(False)),
             "QUOTED_UNIT_MISMATCH",
         )
     )
-    read = df.withColumns({"reading": reading, "measure_type": measure, "net": net})
-    judged = with_quantity(read, "q", c("net"), c("measure_type")).withColumn(
+    read = _with_readings(df, profile, fresh).withColumn("measure_type", measure)
+    judged = with_quantity(read, "q", c("__net"), c("measure_type")).withColumn(
         "identity_code", code
     )
     return judged.select(
         *df.columns,
-        c("reading.attributes").alias("normalized_attributes"),
+        c("__attributes").alias("normalized_attributes"),
         F.lit("NEW").alias("condition_code"),
         "measure_type",
         *[
