@@ -88,12 +88,16 @@ def _deps(sql: str) -> list[str]:
     return sorted(set(re.findall(r"\{([a-z_]+)\}", sql)))
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or a derived view as a DataFrame."""
+def frame(
+    spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A base table or a derived view as a DataFrame; ``given`` replaces tables or views."""
+    if given and name in given:
+        return given[name]
     if name in TABLES:
         return table(spark, sf_dir, name)
     sql = re.sub(r"\[\[(.*?)\]\]", r"sha2(\1, 256)", VIEWS[name], flags=re.S)
-    inputs = {dep: frame(spark, sf_dir, dep) for dep in _deps(sql)}
+    inputs = {dep: frame(spark, sf_dir, dep, given) for dep in _deps(sql)}
     escaped = sql.replace("{", "{{").replace("}", "}}")
     return spark.sql(re.sub(r"\{\{([a-z_]+)\}\}", r"{\1}", escaped), **inputs)
 
