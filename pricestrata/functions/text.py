@@ -11,6 +11,11 @@ from pyspark.sql.types import ArrayType, StringType
 
 # Unicode white space plus the four ASCII separators.
 WS = r"(?U)[\s\x1c-\x1f]"
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(n) for n in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # Characters NFKC leaves alone, so rows made only of them never leave the JVM.
 _NFKC_SENSITIVE = r"[^\x00-\x7fÀ-ı、。一-鿿]"
 
@@ -21,7 +26,8 @@ def _nfkc_batch(values: pd.Series) -> pd.Series:
 
 
 def nfkc(col: Column) -> Column:
-    needs_python = col.rlike(_NFKC_SENSITIVE)
+    # Byte and character counts agree for ASCII, which settles most rows without a pattern.
+    needs_python = (F.octet_length(col) > F.length(col)) & col.rlike(_NFKC_SENSITIVE)
     return F.when(needs_python, _nfkc_batch(F.when(needs_python, col))).otherwise(col)
 
 
@@ -70,7 +76,8 @@ def compact(col: Column) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"^{WS}+|{WS}+\z", "")
+    """Trim every kind of white space, not only the space character."""
+    return F.btrim(col, F.lit(WS_CHARS))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -16,6 +16,7 @@ from pricestrata.queries.captures import _UNITS, UNIT
 from pricestrata.queries.evidence import _MARKET_ROWS
 from pricestrata.queries.prices import candidates, price_facts
 from pricestrata.queries.sqltext import facts, gated
+from pricestrata.session import spread
 
 c = F.col
 
@@ -104,7 +105,7 @@ linked AS (SELECT *, lag(source_hash) OVER (PARTITION BY listing_key, region_cod
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = bind.settled(bind.frame(spark, sf_dir, "market_pages"))
+    docs = spread(bind.settled(bind.frame(spark, sf_dir, "market_pages")))
     judged = batch.judge_documents(batch.parse(batch.MARKET_CHANNEL, docs))
     return batch.settle(judged, "market-batch")
 

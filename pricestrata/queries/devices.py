@@ -11,6 +11,7 @@ from pricestrata.functions import device, identity, vocab
 from pricestrata.functions.text import normalize_text, with_normalized_entries
 from pricestrata.operators import rules
 from pricestrata.queries import query
+from pricestrata.session import spread
 from pricestrata.queries.scalars import (
     WS,
     sql_amount,
@@ -226,7 +227,7 @@ l AS (SELECT *, '["' || product_id || '","' || CASE WHEN sku_id IS NULL THEN 'sp
 
 
 def _device_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = bind.settled(bind.frame(spark, sf_dir, "device_rows"))
+    df = spread(bind.settled(bind.frame(spark, sf_dir, "device_rows")))
     pairs = F.filter(
         F.array(
             F.struct(c("extra_key").alias("key"), c("extra_value").alias("value")),
@@ -418,7 +419,7 @@ _IDENTITY_SQL = (
 def _fresh_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = bind.ATTRIBUTE_NAMES
     pairs = [x for n in names for x in (F.lit(n), c(n))]
-    rows = bind.settled(bind.frame(spark, sf_dir, "fresh_rows"))
+    rows = spread(bind.settled(bind.frame(spark, sf_dir, "fresh_rows")))
     return rows.select("p_partkey", "category_code", F.create_map(*pairs).alias("source_attributes"))
 
 
@@ -516,7 +517,7 @@ def rule_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.when(c("l_partkey") % 5 > 0, c("text"))
     state = F.expr(pick("l_linenumber", ["ON_SALE", "OFF_SHELF", "COMING_SOON", "UNKNOWN"]))
-    rows = bind.frame(spark, sf_dir, "money_texts").withColumns({"shown": shown, "state": state})
+    rows = spread(bind.frame(spark, sf_dir, "money_texts")).withColumns({"shown": shown, "state": state})
     return (
         device.with_price_candidate(
             rows, "p", c("shown"), c("original_text"), F.lit("划线原价"), F.lit("当前售价"),

@@ -16,6 +16,7 @@ from pricestrata.functions.identity import canonical_json, sorted_map
 from pricestrata.queries import query
 from pricestrata.queries.devices import BRANDS4, _sql_category
 from pricestrata.queries.scalars import sql_map, sql_squeeze
+from pricestrata.session import spread
 from pricestrata.sources import envelopes, evidence, pages, sheets
 
 c = F.col
@@ -67,7 +68,7 @@ b AS (SELECT page_id, CAST(position AS INTEGER) AS position, href,
     "WITH " + _ANCHORS + " SELECT page_id, position, href, url FROM b",
 )
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind.frame(spark, sf_dir, "pages")
+    rows = spread(bind.frame(spark, sf_dir, "pages"))
     return (
         pages.links(rows, "page_id", "html", c("url"))
         .where(c("href").startswith("/"))
@@ -82,7 +83,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM b WHERE regexp_full_match(product_id, '[a-z]+') GROUP BY 1, 2""",
 )
 def first_page_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pages.links(bind.frame(spark, sf_dir, "pages"), "page_id", "html", c("url"))
+    found = pages.links(spread(bind.frame(spark, sf_dir, "pages")), "page_id", "html", c("url"))
     product = F.lower(F.substring("href", 2, 10_000))
     approved = c("href").startswith("/") & product.rlike(r"^[a-z]+\z")
     return pages.first_links(found, ["page_id"], product, approved).select(
@@ -120,7 +121,7 @@ judged AS (SELECT *, CASE WHEN doc_id % 31 = 4 THEN 'DATASET_STRUCTURE_CHANGED'
 
 
 def market_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.market_rows(bind.settled(bind.frame(spark, sf_dir, "market_pages")))
+    return pages.market_rows(spread(bind.settled(bind.frame(spark, sf_dir, "market_pages"))))
 
 
 @query(
@@ -180,7 +181,7 @@ FROM (SELECT *, replace(p_name, ' ', '-') AS slug FROM {part}) x
            CASE WHEN p_partkey % 11 = 3 THEN 'SKU_INCOMPLETE' END AS error FROM product_pages""",
 )
 def priced_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pages.priced_anchors(bind.settled(bind.frame(spark, sf_dir, "product_pages")))
+    rows = pages.priced_anchors(spread(bind.settled(bind.frame(spark, sf_dir, "product_pages"))))
     return rows.drop("url").withColumn("dimensions", canonical_json(c("dimensions")))
 
 

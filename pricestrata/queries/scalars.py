@@ -11,6 +11,7 @@ from pricestrata.functions import identity, money, text, urls, vocab
 from pricestrata.functions.quantity import quantity_group_ok, to_base, unit_measure, with_quantity
 from pricestrata.operators import rules
 from pricestrata.queries import query
+from pricestrata.session import spread
 
 c = F.col
 
@@ -49,7 +50,7 @@ def sql_token(e: str) -> str:
           sha256(nullif({sql_strip('text')}, '')) AS stripped_hash FROM documents""",
 )
 def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bind.frame(spark, sf_dir, "documents").select(
+    return spread(bind.frame(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
         identity.sha256(text.normalize_text(c("text"))).alias("normalized_hash"),
         F.length(text.compact(c("text"))).cast("bigint").alias("compact_length"),
@@ -126,11 +127,11 @@ def sql_otype(txt: str, label: str) -> str:
             a_status = 'CONDITIONAL' AS conditional FROM a2""",
 )
 def money_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind.frame(spark, sf_dir, "money_texts")
+    rows = spread(bind.frame(spark, sf_dir, "money_texts"))
     return money.with_amount(rows, "m", c("text"), c("label")).select(
         "l_orderkey", "l_linenumber", "text", "label", "m.status", "m.amount",
         money.original_type(c("text"), c("label")).alias("original_type"),
-        money.is_conditional(c("text"), c("label")).alias("conditional"),
+        (c("m.status") == "CONDITIONAL").alias("conditional"),
     )
 
 
@@ -154,7 +155,7 @@ def money_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                   CASE WHEN b_status = 'OK' THEN b_l[1] END AS keep FROM b2)""",
 )
 def price_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind.frame(spark, sf_dir, "money_texts")
+    rows = spread(bind.frame(spark, sf_dir, "money_texts"))
     return money.with_pair(
         rows, "pair", c("original_text"), c("label"), c("text"), F.lit("现价")
     ).select("l_orderkey", "l_linenumber", "text", "original_text", "pair.*")
@@ -182,7 +183,7 @@ def agreeing_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(c("l_partkey") % 4 == 3, F.concat(F.lit("8"), c("p")))
         .otherwise(c("p"))
     )
-    rows = bind.frame(spark, sf_dir, "money_texts").withColumn("raw", raw)
+    rows = spread(bind.frame(spark, sf_dir, "money_texts")).withColumn("raw", raw)
     return money.with_agreement(rows, "a", c("raw"), c("original_text")).select(
         "l_orderkey", "l_linenumber", "raw", "original_text", "a.*"
     )
@@ -242,7 +243,7 @@ _Q = (
     + f"SELECT l_orderkey, l_linenumber, text, measure, {_Q}, q_error AS error FROM q9",
 )
 def quantity_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind.frame(spark, sf_dir, "quantity_texts")
+    rows = spread(bind.frame(spark, sf_dir, "quantity_texts"))
     return with_quantity(rows, "q", c("text"), c("measure")).select(
         "l_orderkey", "l_linenumber", "text", "measure", "q.*"
     )

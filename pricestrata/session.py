@@ -35,6 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the scan has fewer splits than cores.
+
+    For CPU-heavy row work over a small or badly split input; an input with enough splits, as
+    on a cluster, is left alone and pays no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {name: table(spark, sf_dir, name) for name in names}
 
