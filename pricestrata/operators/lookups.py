@@ -79,7 +79,7 @@ def overlap_counts(
 ) -> DataFrame:
     """Per interval, how many earlier intervals of its key it overlaps; no pair is emitted.
 
-    Starts and ends become one event stream. Ends come before starts at the same instant, and
+    ``bucket`` must not decrease with ``__at``. Starts and ends become one event stream. Ends come before starts at the same instant, and
     an empty interval only looks at what is strictly open around it, so the sum over a key is
     the number of pairs with a.start < b.end and b.start < a.end.
     """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 _AUDIT = "created_at timestamp_ntz"
@@ -80,4 +82,10 @@ _DDL = {
         ingest_seq bigint""",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+NAMES = tuple(_DDL)
+
+
+@cache
+def schema(name: str) -> StructType:
+    """Schema of a stored table; needs a running session to read the declaration."""
+    return StructType.fromDDL(_DDL[name])

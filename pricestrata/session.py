@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,21 +15,28 @@ TABLES = (
 )
 
 
-def build(master: str = "local[8]", app: str = "pricestrata", partitions: int = 8) -> SparkSession:
+def build(
+    master: str = "local[8]",
+    app: str = "pricestrata",
+    partitions: int = 8,
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
     """Local session for tests and bench; a cluster brings its own session and settings."""
-    return (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "8g"),
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        **(extra or {}),
+    }
+    builder = SparkSession.builder.master(master).appName(app)
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,13 +57,16 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
     return {name: table(spark, sf_dir, name) for name in names}
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="pricestrata-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's spark.checkpoint.dir; a local one only where unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="pricestrata-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricestrata.schemas import SCHEMAS
+from pricestrata.schemas import schema
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+    return spark.read.schema(schema(name)).parquet(f"{root}/{name}")
 
 
 def read_jdbc(spark: SparkSession, name: str, options: dict[str, str]) -> DataFrame:
     """The same table from a database; give partitionColumn and bounds for a parallel read."""
-    columns = ", ".join(f.simpleString().replace(":", " ") for f in SCHEMAS[name])
+    columns = ", ".join(f.simpleString().replace(":", " ") for f in schema(name))
     return spark.read.format("jdbc").options(**{"customSchema": columns, **options}).load()
 
 
