@@ -18,6 +18,8 @@ from pricestrata.functions.money import with_pair
 from pricestrata.functions.text import (
     WS,
     capacity,
+    capacity_token,
+    nfkc_array,
     normalize_text,
     squeeze,
     strip,
@@ -74,11 +76,9 @@ def availability_from_inventory(coming_soon: Column, inventory: Column) -> Colum
     )
 
 
-def category_from_name(brand: str, name: Column) -> Column:
-    """Approved category of a product name, NULL when excluded or unknown."""
+def _category(brand: str, text: Column, upper: Column) -> Column:
+    """Approved category of a normalised name, NULL when excluded or unknown."""
     rules = vocab.NAME_RULES[brand]
-    text = normalize_text(name)
-    upper = F.upper(text)
     cased = vocab.CASED_EXCLUSIONS.get(brand, ())
     words = tuple(w for w in rules["exclude"] if w not in cased)
     excluded = upper.rlike(_any_of(words))
@@ -96,9 +96,16 @@ def category_from_name(brand: str, name: Column) -> Column:
     return F.when(~excluded, picked)
 
 
-def category_by_brand(brand: Column, name: Column) -> Column:
-    rules = [(brand == b, category_from_name(b, name)) for b in vocab.NAME_RULES]
-    return ordered_case(rules, F.lit(None).cast("string"))
+def with_category(df: DataFrame, out: str, brand: Column, name: Column) -> DataFrame:
+    """Adds the category a brand's name rules give; the name is normalised once."""
+    text, upper = F.col("__name"), F.col("__upper")
+    rules = [(brand == b, _category(b, text, upper)) for b in vocab.NAME_RULES]
+    return (
+        df.withColumn("__name", normalize_text(name))
+        .withColumn("__upper", F.upper("__name"))
+        .withColumn(out, ordered_case(rules, F.lit(None).cast("string")))
+        .drop("__name", "__upper")
+    )
 
 
 _MEMORY = rf"(?i)([0-9]+{WS}*GB){WS}*(?:\+|/){WS}*([0-9]+{WS}*(?:GB|TB))"
@@ -136,11 +143,19 @@ def with_specification(
     """
     c = F.col
     cleaned = {}
-    for name in vocab.SPEC_FIELDS:
-        raw = fields.get(name, F.lit(None).cast("string"))
-        text = capacity(raw) if name in ("capacity", "memory") else normalize_text(raw)
-        cleaned[f"__f_{name}"] = text
-    texts = df.withColumns(cleaned)
+    for i, name in enumerate(vocab.SPEC_FIELDS):
+        text = squeeze(F.get("__nfkc", F.lit(i)))
+        cleaned[f"__f_{name}"] = (
+            capacity_token(text) if name in ("capacity", "memory") else text
+        )
+    none = F.lit(None).cast("string")
+    # All fields go through NFKC together: one Arrow exchange instead of one per field.
+    texts = (
+        df.withColumn("__raw", F.array(*[fields.get(n, none) for n in vocab.SPEC_FIELDS]))
+        .withColumn("__nfkc", nfkc_array(c("__raw")))
+        .withColumns(cleaned)
+        .drop("__raw", "__nfkc")
+    )
     trimmed = texts.withColumns({n: F.when(c(n) != "", c(n)) for n in cleaned}).withColumn(
         "__e", F.coalesce(normalized, F.array().cast("array<struct<key:string,value:string>>"))
     )
@@ -256,8 +271,8 @@ def with_price_candidate(
 
 __all__ = [
     "SPEC_TYPE", "availability_by_brand", "availability_from_flags", "availability_from_inventory",
-    "availability_from_text", "category_by_brand", "category_from_name", "display_title",
+    "availability_from_text", "display_title",
     "item_key", "listing_key", "map_dimensions", "ordered_case",
     "spec_fingerprint", "split_version",
-    "with_price_candidate", "with_specification",
+    "with_category", "with_price_candidate", "with_specification",
 ]

@@ -12,15 +12,17 @@ _UPPER_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
 
 
 def canonical_json(value: Column, keep_nulls: bool = True) -> Column:
-    """Compact JSON with lower-case control escapes; struct fields must be in key order."""
-    options = {"ignoreNullFields": "false" if keep_nulls else "true"}
-    text = F.to_json(value, options)
-    fixed = text
+    """Compact JSON with lower-case control escapes; struct fields must be in key order.
+
+    The value appears once in the expression: a guard that tests it first would triple every
+    key that is nested in another key.
+    """
+    text = F.to_json(value, {"ignoreNullFields": "false" if keep_nulls else "true"})
     for code in _UPPER_ESCAPES:
-        fixed = F.regexp_replace(
-            fixed, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
+        text = F.regexp_replace(
+            text, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
         )
-    return F.when(text.rlike(r"\\u00[01][A-F]"), fixed).otherwise(text)
+    return text
 
 
 def sha256(col: Column) -> Column:

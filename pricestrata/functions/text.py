@@ -91,7 +91,11 @@ def normalize_text(col: Column) -> Column:
 
 def capacity(col: Column) -> Column:
     """``1 tb`` becomes ``1TB``; anything else stays normalised text."""
-    text = normalize_text(col)
+    return capacity_token(normalize_text(col))
+
+
+def capacity_token(text: Column) -> Column:
+    """The same for text that is already normalised."""
     token = F.replace(F.upper(text), F.lit(" "), F.lit(""))
     return F.when(token.rlike(r"^[0-9]+(\.[0-9]+)?(GB|TB)\z"), token).otherwise(text)
 

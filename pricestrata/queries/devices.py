@@ -86,9 +86,9 @@ def _sql_category(brand: str) -> str:
     + " END AS category_code FROM n",
 )
 def name_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bind.frame(spark, sf_dir, "device_names").select(
-        "p_partkey", "brand", "name",
-        device.category_by_brand(c("brand"), c("name")).alias("category_code"),
+    rows = bind.settled(bind.frame(spark, sf_dir, "device_names"))
+    return device.with_category(rows, "category_code", c("brand"), c("name")).select(
+        "p_partkey", "brand", "name", "category_code"
     )
 
 

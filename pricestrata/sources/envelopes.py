@@ -15,6 +15,7 @@ from pricestrata.functions.device import (
     availability_by_brand,
     availability_from_flags,
     availability_from_inventory,
+    with_category,
 )
 from pricestrata.functions.text import nfkc, normalize_text, squeeze
 from pricestrata.sources.pages import read_nodes
@@ -380,14 +381,23 @@ def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFra
                 elif isinstance(node, list):
                     stack.extend(reversed(node))
 
+        def table(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=[key, "position", "object"])
+
         for frame in frames:
+            rows: list[tuple] = []
             for name, text in zip(frame[key], frame[body], strict=True):
                 found: list[str] = []
                 try:
                     visit(json.loads(text), found)
                 except (TypeError, ValueError):
                     continue
-                yield pd.DataFrame({key: name, "position": range(len(found)), "object": found})
+                rows.extend((name, i, item) for i, item in enumerate(found))
+                if len(rows) >= 20_000:
+                    yield table(rows)
+                    rows = []
+            if rows:
+                yield table(rows)
 
     return docs.select(key, body).mapInPandas(run, f"{key} {key_type}, position int, object string")
 
@@ -396,16 +406,15 @@ def discovered_products(
     objects: DataFrame, brand: Column, id_field: str, name_fields: list[str], key: str = "doc_id"
 ) -> DataFrame:
     """Approved products of walked objects; the first object of every product wins."""
-    from pricestrata.functions.device import category_by_brand
-
     names = [F.get_json_object("object", f"$.{f}") for f in name_fields]
     named = F.coalesce(*[F.when(n != "", n) for n in names])
     rows = objects.select(
         key, "position", brand.alias("brand"),
         squeeze(F.get_json_object("object", f"$.{id_field}")).alias("product_id"),
         nfkc(named).alias("name"),
-    ).withColumn("category_code", category_by_brand(c("brand"), c("name")))
-    kept = rows.where(sku_ok(c("product_id")) & c("category_code").isNotNull())
+    )
+    judged = with_category(rows, "category_code", c("brand"), c("name"))
+    kept = judged.where(sku_ok(c("product_id")) & c("category_code").isNotNull())
     return (
         kept.groupBy(key, "product_id")
         .agg(F.min(F.struct("position", "name", "category_code")).alias("first"))
