@@ -15,14 +15,15 @@ def canonical_json(value: Column, keep_nulls: bool = True) -> Column:
     """Compact JSON with lower-case control escapes; struct fields must be in key order.
 
     The value appears once in the expression: a guard that tests it first would triple every
-    key that is nested in another key.
+    key that is nested in another key. Escaped backslashes are set aside as a raw control
+    character, which JSON text cannot hold, so that what is left of a control escape is one.
     """
     text = F.to_json(value, {"ignoreNullFields": "false" if keep_nulls else "true"})
+    backslashes, aside = F.lit("\\\\"), F.lit("\x01")
+    text = F.replace(text, backslashes, aside)
     for code in _UPPER_ESCAPES:
-        text = F.regexp_replace(
-            text, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
-        )
-    return text
+        text = F.replace(text, F.lit(f"\\u00{code}"), F.lit(f"\\u00{code.lower()}"))
+    return F.replace(text, aside, backslashes)
 
 
 def sha256(col: Column) -> Column:
