@@ -261,9 +261,8 @@ def detail_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SRC-04 SET-02",
     ctes("batch_docs")
     + """SELECT doc_id, CASE WHEN p_partkey % 7 = 2 THEN 1 ELSE 2 END AS skus, 0 AS repeated,
-           CASE WHEN p_partkey % 7 = 2 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 23 = 4 THEN extra ELSE 0 END AS omitted,
-           CASE WHEN p_partkey % 7 = 2 OR (p_partkey % 23 = 4 AND extra > 0) THEN 'SKU_COVERAGE_INCOMPLETE' END AS error
-         FROM (SELECT *, CASE WHEN p_partkey % 7 = 2 THEN 1 ELSE 1 END AS extra FROM batch_docs)""",
+           CASE WHEN p_partkey % 7 = 2 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 23 = 4 THEN 1 ELSE 0 END AS omitted,
+           CASE WHEN p_partkey % 7 = 2 OR p_partkey % 23 = 4 THEN 'SKU_COVERAGE_INCOMPLETE' END AS error FROM batch_docs""",
 )
 def batch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = bind.settled(bind.frame(spark, sf_dir, "batch_docs"))
@@ -414,11 +413,12 @@ def sheet_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     "evidence_manifest",
     "SRC-14",
     """SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN 2 ELSE 1 END + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS parts,
-         '[{"role":"discovery_context","source_hash":null},' ||
+         '[{"role":"discovery_context","source_hash":null}' ||
+         CASE WHEN o_custkey % 4 = 0 OR o_orderstatus = 'F' THEN ',' ELSE '' END ||
          CASE WHEN o_custkey % 4 = 0 THEN '{"role":"source_page","source_hash":"' || sha256('p' || o_orderkey) || '"}' ELSE '' END ||
          CASE WHEN o_custkey % 4 = 0 AND o_orderstatus = 'F' THEN ',' ELSE '' END ||
          CASE WHEN o_orderstatus = 'F' THEN '{"role":"response","source_hash":"' || sha256('r' || o_orderkey) || '"}' ELSE '' END || ']' AS raw
-       FROM orders""".replace("'[{\"role\":\"discovery_context\",\"source_hash\":null},' ||", "'[{\"role\":\"discovery_context\",\"source_hash\":null}' || CASE WHEN o_custkey % 4 = 0 OR o_orderstatus = 'F' THEN ',' ELSE '' END ||"),
+       FROM orders""",
 )
 def evidence_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def part(role: str, digest: F.Column) -> F.Column:
