@@ -31,7 +31,7 @@ from pricestrata.llm import texts
 BITS = 14
 DIM = 1 << BITS
 KINDS = ("word", 2, 3, 4)
-MAX_ROWS = 3_000
+MAX_ROWS = 5_000
 THRESHOLD = 0.5
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -167,7 +167,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, words) -> dict[str, np.nd
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = 60
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = 100
 ) -> Model | None:
     """Fit on a bounded set of labelled rows; None if both classes are not there."""
     chosen = (
