@@ -31,7 +31,9 @@ from pricestrata.llm import texts
 BITS = 14
 DIM = 1 << BITS
 KINDS = ("word", 2, 3, 4)
-MAX_ROWS = 5_000
+MAX_ROWS = 6_000
+MAX_PARTS = 12
+ROWS_PER_PART = 400
 THRESHOLD = 0.5
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -167,9 +169,14 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, words) -> dict[str, np.nd
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = 100
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = 4
 ) -> Model | None:
-    """Fit on a bounded set of labelled rows; None if both classes are not there."""
+    """Fit on a bounded set of labelled rows; None if both classes are not there.
+
+    The rows stay in Spark: in each round every part of them takes gradient steps from the
+    common weights, and the driver averages what the parts return (parameter mixing). The driver
+    holds one weight vector per part, never rows or features.
+    """
     chosen = (
         labels.where("doc_id is not null and quality in (0, 1)")
         .select("doc_id", "quality")
@@ -178,49 +185,81 @@ def train(
     )
     # At most max_rows rows of two numbers: a proven bound for the broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 4
+    rows = rows.select(F.col("quality").cast("int").alias("quality"), held.alias("held"), "text")
+    rows = texts.stored(rows, "quality-train")
+    classes = {
+        (r["quality"], r["held"]): r["count"] for r in rows.groupBy("quality", "held").count().collect()
+    }
+    if not all(any(q == k for q, _ in classes) for k in (0, 1)):
+        return None
+    if not all((q, h) in classes for q in (0, 1) for h in (True, False)):
+        fit, check = rows, rows  # too few rows to hold some out
+    else:
+        fit, check = rows.where("not held"), rows.where("held")
+    n = {q: max(sum(c for (k, _), c in classes.items() if k == q), 1) for q in (0, 1)}
+    parts = max(1, min(MAX_PARTS, sum(n.values()) // ROWS_PER_PART))
+    fit = fit.select("quality", "text").repartition(parts, F.xxhash64("text"))
+    context = docs.sparkSession.sparkContext
+    weights, bias = np.zeros(len(KINDS) * DIM, np.float32), 0.0
+    for _ in range(rounds):
+        shared = context.broadcast((weights, bias))
+
+        def step(batches, shared=shared):
+            y, index, value = [], [], []
+            for batch in texts.slices(batches):
+                data, offsets = texts.utf8(batch.column("text"))
+                y.extend(batch.column("quality").to_pylist())
+                for i, v in vectors(data, offsets, split_words(data, offsets)):
+                    index.append(i.astype(np.int32))
+                    value.append(v.astype(np.float32))
+            if not y:
+                return
+            w, b = _fit(
+                np.concatenate(index), np.concatenate(value),
+                np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in index]),
+                np.array(y, np.float64), n, *shared.value,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(y)], pa.int64()), pa.array([w.tobytes()], pa.binary()),
+                 pa.array([b], pa.float64())],
+                names=["n", "w", "b"],
+            )
+
+        made = fit.mapInArrow(step, "n bigint, w binary, b double").collect()
+        total = sum(r["n"] for r in made)
+        made.sort(key=lambda r: (r["n"], r["b"]))
+        weights = sum(np.frombuffer(r["w"], np.float32) * (r["n"] / total) for r in made).astype(
+            np.float32
+        )
+        bias = float(sum(r["b"] * r["n"] for r in made) / total)
+    model = Model(weights, bias, 1.0, 0.0)
+    found = _margins(check, model).toArrow()  # at most max_rows pairs of numbers
+    margin, label = found.column("margin").to_numpy(), found.column("quality").to_numpy()
+    slope, shift = _platt(margin, label)
+    return Model(weights, bias, slope, shift)
+
 
-    def featurise(batches):
+def _margins(rows: DataFrame, model: Model) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
         for batch in texts.slices(batches):
             data, offsets = texts.utf8(batch.column("text"))
-            made = vectors(data, offsets, split_words(data, offsets))
+            z = margins(shared.value, data, offsets, split_words(data, offsets)) + shared.value.bias
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("quality").cast(pa.int32()),
-                    pa.array([np.asarray(i, np.int32).tobytes() for i, _ in made], pa.binary()),
-                    pa.array([np.asarray(v, np.float32).tobytes() for _, v in made], pa.binary()),
-                ],
-                names=["doc_id", "quality", "idx", "val"],
+                [batch.column("quality"), pa.array(z)], names=["quality", "margin"]
             )
 
-    table = rows.mapInArrow(
-        featurise, "doc_id bigint, quality int, idx binary, val binary"
-    ).limit(max_rows).toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
-    label = table.column("quality").to_numpy().astype(np.float64)
-    if len(set(label.tolist())) < 2:
-        return None
-    index = [np.frombuffer(x, np.int32) for x in table.column("idx").to_pylist()]
-    value = [np.frombuffer(x, np.float32) for x in table.column("val").to_pylist()]
-    held = np.arange(len(label)) % 5 == 4
-    if len(set(label[held].tolist())) < 2 or len(set(label[~held].tolist())) < 2:
-        held = np.zeros(len(label), bool)
-    fit_on = np.flatnonzero(~held)
-    flat = np.concatenate([index[i] for i in fit_on])
-    vals = np.concatenate([value[i] for i in fit_on])
-    row = np.repeat(np.arange(len(fit_on), dtype=np.int32), [len(index[i]) for i in fit_on])
-    weights, bias = _fit(flat, vals, row, label[fit_on], rounds)
-    check = np.flatnonzero(held) if held.any() else fit_on
-    margin = np.array([float(value[i] @ weights[index[i]]) + bias for i in check])
-    slope, shift = _platt(margin, label[check])
-    return Model(weights, bias, slope, shift)
+    return rows.select("quality", "text").mapInArrow(run, "quality int, margin double")
 
 
-def _fit(flat, vals, row, y, rounds: int, l2: float = 1e-7):
-    """Logistic regression by Adagrad steps on the full gradient, classes weighted equally."""
-    weights, bias = np.zeros(len(KINDS) * DIM, np.float32), 0.0
-    weight = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1))
+def _fit(flat, vals, row, y, classes, weights, bias, steps: int = 40, l2: float = 1e-7):
+    """Logistic regression by Adagrad steps on the gradient of one part, classes weighted equally."""
+    weights = weights.copy()
+    weight = np.where(y == 1, 0.5 / classes[1], 0.5 / classes[0]) * (sum(classes.values()) / len(y))
     seen, seen_bias = np.full(len(weights), 1e-12), 1e-12
-    for _ in range(rounds):
+    for _ in range(steps):
         z = np.bincount(row, vals * weights[flat], len(y)) + bias
         error = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - y) * weight
         grad = np.bincount(flat, vals * error.astype(np.float32)[row], len(weights)) + l2 * weights
@@ -228,7 +267,7 @@ def _fit(flat, vals, row, y, rounds: int, l2: float = 1e-7):
         weights -= (2.0 * grad / np.sqrt(seen)).astype(np.float32)
         seen_bias += error.sum() ** 2
         bias -= 0.2 * error.sum() / np.sqrt(seen_bias)
-    return weights, bias
+    return weights, float(bias)
 
 
 def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
