@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricestrata.llm import quality
+from pricestrata.llm import language, licences, quality, rollup, sharding, sqltext, texts
 from pricestrata.session import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,35 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
+@query("op1_license_scan", sqltext.licences())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op2_quality_rules")
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_feistel_shards", sqltext.shards())
+def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_counts", sqltext.token_counts())
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, are revised to a new version, then lose their exact copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    root = texts.shared_path(spark, "token-counts")
+    old, new = (rollup.counted(docs, version) for version in rollup.VERSIONS)
+    rollup.commit(root, "load", old)
+    rollup.commit(root, "revise", rollup.revised(old, new))
+    rollup.commit(root, "load", old)  # a batch that comes again changes nothing
+    kept = rollup.first_copies(docs, "words/2")
+    rollup.commit(root, "drop-copies", rollup.revised(new, kept))
+    return rollup.totals(spark, root)
