@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricestrata.llm import language, licences, quality, rollup, sharding, sqltext, texts
+from pricestrata.llm import (
+    bpe,
+    language,
+    licences,
+    quality,
+    rollup,
+    sharding,
+    spans,
+    sqltext,
+    texts,
+    tokenfiles,
+)
 from pricestrata.session import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +74,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = rollup.first_copies(docs, "words/2")
     rollup.commit(root, "drop-copies", rollup.revised(new, kept))
     return rollup.totals(spark, root)
+
+
+@query("op3_bpe_codec")
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+@query("op6_decontamination", sqltext.decontamination())
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    root = texts.shared_path(spark, "token-files")
+    manifest = tokenfiles.write(table(spark, sf_dir, "documents"), root, path)
+    return tokenfiles.read(spark, root, manifest, path)

@@ -119,3 +119,33 @@ with firsts as (
 select source, lang, 'words/2' as tokenizer_version, count(*) as n_docs,
   cast(sum(coalesce(len(regexp_extract_all(text, '{pattern}')), 0)) as bigint) as n_tokens
 from firsts where k = 1 group by source, lang"""
+
+
+def decontamination(window: int = 10) -> str:
+    """Windows by list slices, joined with the runs of each document of the same length."""
+    words = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+    return f"""
+with item_words as (
+  select coalesce(cast(item_id as varchar), '') as item, {words} as w from benchmark),
+item_windows as (
+  select distinct item, least(len(w), {window}) as n,
+    array_to_string(list_slice(w, i, i + least(len(w), {window}) - 1), ' ') as k
+  from (select item, w, unnest(range(1, greatest(len(w) - {window} + 2, 2))) as i
+    from item_words where len(w) > 0)),
+doc_words as (select row_number() over () as rid, doc_id, {words} as w from documents),
+runs as (
+  select rid, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as k
+  from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as i
+    from doc_words, (select distinct n from item_windows) where len(w) >= n)),
+found as (select rid, i, n, item from runs join item_windows using (n, k)),
+hit as (
+  select rid, count(distinct p) as n_hit
+  from (select rid, unnest(range(i, i + n)) as p from (select distinct rid, i, n from found))
+  group by rid),
+named as (
+  select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct rid, item from found) group by rid)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit using (rid) left join named using (rid)"""
