@@ -12,6 +12,7 @@ from pricestrata.llm import (
     bpe,
     language,
     licences,
+    nearcopies,
     quality,
     rollup,
     sharding,
@@ -96,3 +97,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = texts.shared_path(spark, "token-files")
     manifest = tokenfiles.write(table(spark, sf_dir, "documents"), root, path)
     return tokenfiles.read(spark, root, manifest, path)
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, sf_dir, "documents"))
