@@ -289,29 +289,42 @@ def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(shift)
 
 
+def _judged(fitted: Model | None, column: pa.Array, threshold: float):
+    """(counts, verdicts, probabilities) of one slice of texts."""
+    data, offsets = texts.utf8(column)
+    words = split_words(data, offsets)
+    out = base_counts(data, offsets, words)
+    if fitted is None:
+        return out, ~out["base_failed"], pa.nulls(len(column), pa.float64())
+    p = fitted.probability(margins(fitted, data, offsets, words))
+    return out, ~out["base_failed"] & (p >= threshold), pa.array(p)
+
+
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """Counts, calibrated probability of good quality and verdict of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        fitted = shared.value
         for batch in texts.slices(batches):
-            data, offsets = texts.utf8(batch.column("text"))
-            words = split_words(data, offsets)
-            out = base_counts(data, offsets, words)
-            if fitted is None:
-                prob = pa.nulls(batch.num_rows, pa.float64())
-                good = np.ones(batch.num_rows, bool)
-            else:
-                p = fitted.probability(margins(fitted, data, offsets, words))
-                prob, good = pa.array(p), p >= threshold
-            columns = [batch.column("doc_id")] + [pa.array(out[c]) for c in list(out)]
-            columns += [pa.array(~out["base_failed"] & good), prob]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["doc_id", *out, "kept", "score"]
-            )
+            out, good, prob = _judged(shared.value, batch.column("text"), threshold)
+            columns = [batch.column("doc_id"), *(pa.array(x) for x in out.values())]
+            columns += [pa.array(good), prob]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *out, "kept", "score"])
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, OUT)
+
+
+def kept(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the rules keep, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in texts.slices(batches):
+            _, good, _ = _judged(shared.value, batch.column(at), threshold)
+            yield batch.filter(pa.array(good))
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, OUT)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

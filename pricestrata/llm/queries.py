@@ -14,6 +14,7 @@ from pricestrata.llm import (
     licences,
     nearcopies,
     quality,
+    repeats,
     rollup,
     sharding,
     spans,
@@ -102,3 +103,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"))
