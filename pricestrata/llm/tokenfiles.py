@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from pricestrata.llm import texts
 
 END_ID = 0
-TABLE_PIECES = 400_000
+TABLE_PIECES = 800_000
+#: Pieces that go to the library as one text.
+JOINED = 2_000
 #: How the byte-level pre-tokenizer splits a text (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 MANIFEST = "part int, n_docs bigint, n_tokens bigint"
@@ -55,6 +57,10 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(PATTERN).findall
         self.table: dict[str, bytes] = {}
+        # Bytes of each token: its letters, as each stands for one byte.
+        self.width = np.zeros(vocabulary, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.width[i] = len(token)
 
     def raw(self, ids: Iterable[int]) -> bytes:
         return np.asarray(ids, self.type).tobytes()
@@ -63,20 +69,46 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)
         return [self.raw(x.ids) for x in found]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces. Those of a space and something else are sent joined: the library cuts
+        them apart at the same places, which the byte widths of the tokens confirm."""
+        out = dict.fromkeys(pieces, b"")
+        alike = [p for p in pieces if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+        for at in range(0, len(alike), JOINED):
+            some = alike[at : at + JOINED]
+            ids = np.array(
+                self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+            )
+            ends = np.cumsum(self.width[ids])
+            want = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in some])
+            to = np.searchsorted(ends, want)
+            if to[-1] != len(ids) - 1 or (ends[to] != want).any():
+                out.update(zip(some, self._whole(some), strict=True))
+                continue
+            raw, n = self.raw(ids), self.type.itemsize
+            cuts = [0, *((to + 1) * n).tolist()]
+            out.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        rest = [p for p in pieces if not out[p]]
+        out.update(zip(rest, self._whole(rest), strict=True))
+        return [out[p] for p in pieces]
+
     def encode(self, rows: list[str]) -> list[bytes]:
         plain = [not any(s in x for s in self.special) for x in rows]
         pieces = [self.split(x) if ok else [] for x, ok in zip(rows, plain, strict=True)]
+        found = [list(map(self.table.get, p)) for p in pieces]
         fresh: set[str] = set()
-        for p in pieces:
-            fresh.update(p)
+        for p, f in zip(pieces, found, strict=True):
+            if None in f:
+                fresh.update(x for x, y in zip(p, f, strict=True) if y is None)
         if len(self.table) + len(fresh) > TABLE_PIECES:
             self.table.clear()
-        missing = [p for p in fresh if p not in self.table]
-        self.table.update(zip(missing, self._whole(missing), strict=True))
+            fresh = {x for p in pieces for x in p}
+        missing = list(fresh)
+        self.table.update(zip(missing, self._pieces(missing), strict=True))
         known = self.table.__getitem__
         return [
-            b"".join(map(known, p)) if ok else self._whole([x])[0]
-            for x, ok, p in zip(rows, plain, pieces, strict=True)
+            (b"".join(map(known, p)) if None in f else b"".join(f)) if ok else self._whole([x])[0]
+            for x, ok, p, f in zip(rows, plain, pieces, found, strict=True)
         ]
 
 
