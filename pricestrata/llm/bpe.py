@@ -35,7 +35,7 @@ from pricestrata.llm import texts
 
 END = "</w>"
 #: Words kept encoded per Python worker.
-TABLE_WORDS = 400_000
+TABLE_WORDS = 1_000_000
 #: Token pairs whose fit is kept per Python worker.
 TABLE_PAIRS = 1_000_000
 _NEVER = 1 << 60
@@ -67,10 +67,11 @@ class Merges:
             pair = vocab[a], vocab[b]
             self.rule.setdefault(pair, rank)
             self.made.setdefault(vocab[a + b], (rank, *pair))
-        self.longest = max(map(len, vocab))
+        #: Every string that some token ends with.
+        self.tails = {t[i:] for t in vocab for i in range(len(t))}
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     def _edge(self, token: int, side: int, kept: dict) -> list[tuple[int, int]]:
         """(token, rank that made it) along one edge, smallest first, closed by a sentinel."""
@@ -87,11 +88,12 @@ class Merges:
         return found
 
     def fits(self, first: int, second: int) -> bool:
-        known = self._fits.get((first, second))
+        key = first << 32 | second
+        known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= TABLE_PAIRS:
                 self._fits.clear()
-            known = self._fits[first, second] = self._apart(first, second)
+            known = self._fits[key] = self._apart(first, second)
         return known
 
     def _apart(self, first: int, second: int) -> bool:
@@ -138,14 +140,23 @@ class Trie:
         ``last[d]`` is (token, its letters) of the prefix of d letters on the current path; a
         node is visited right after its ancestors, so the states above it are its own.
         """
-        vocab, fits, longest = self.merges.id.get, self.merges.fits, self.merges.longest
+        vocab, fits, tails = self.merges.id.get, self.merges.fits, self.merges.tails
         out: dict[str, list[int]] = {}
         last: list = [(0, 0)]
 
         def state(prefix: str, depth: int, suffix: str) -> tuple[int, int]:
-            for at in range(max(depth - longest, 0), depth):
-                token = vocab(prefix[at:] + suffix)
-                if token is not None and (not at or fits(last[at][0], token)):
+            whole = prefix + suffix
+            fit: list[tuple[int, int]] = []
+            for at in range(depth - 1, -1, -1):
+                tail = whole[at:]
+                if tail not in tails:
+                    break
+                token = vocab(tail)
+                if token is not None:
+                    fit.append((token, at))
+            # Long tokens fit more often; exactly one does.
+            for token, at in reversed(fit):
+                if not at or fits(last[at][0], token):
                     return token, depth - at
             raise ValueError(f"no token ends {prefix!r}")
 
@@ -188,8 +199,8 @@ class Coder:
         self.words = regex.compile(pattern).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.letters = byte_letters()
-        self.ids: dict[str, str] = {}
-        self.names_of: dict[str, str] = {}
+        #: Word to (ids joined by spaces, names of the tokens joined by spaces).
+        self.table: dict[str, tuple[str, str]] = {}
 
     def normal(self, text: str) -> str:
         """NFC, then lower case letter by letter: a capital sigma has one lower form."""
@@ -200,24 +211,20 @@ class Coder:
         return text.lower()
 
     def learn(self, words: set[str]) -> None:
-        """Encode the words that the table lacks, through one trie."""
-        if len(self.ids) + len(words) > TABLE_WORDS:
-            self.ids.clear()
-            self.names_of.clear()
-        missing = [w for w in words if w not in self.ids]
-        if not missing:
-            return
-        letters = self.letters
-        spelled = {
-            w: w if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()])
-            for w in missing
-        }
+        """Encode words that the table lacks, through one trie, and add them to it."""
+        letters, token = self.letters, self.merges.token
+        spelled = {}
+        for w in words:
+            if w[0] == " ":
+                self.table[w] = str(self.special[w[1:]]), w[1:]
+            elif w.isascii() and w.isprintable():
+                spelled[w] = w
+            else:
+                spelled[w] = "".join([letters[b] for b in w.encode()])
         found = Trie(self.merges, spelled.values()).encode()
-        token = self.merges.token
         for word, spelling in spelled.items():
             ids = found[spelling]
-            self.ids[word] = " ".join(map(str, ids))
-            self.names_of[word] = " ".join([token[i] for i in ids])
+            self.table[word] = " ".join(map(str, ids)), " ".join([token[i] for i in ids])
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text; a special token is a piece of its own, marked by a leading space."""
@@ -234,15 +241,21 @@ class Coder:
     def code(self, rows: list[str]) -> list[tuple[str, str]]:
         """(ids joined by spaces, decoded text) of each text."""
         split = [self.pieces(x) for x in rows]
+        found = [list(map(self.table.get, p)) for p in split]
         fresh: set[str] = set()
-        for p in split:
-            fresh.update(p)
-        special = [w for w in fresh if w[0] == " "]
-        self.learn({w for w in fresh if w[0] != " "})
-        for w in special:
-            self.ids[w], self.names_of[w] = str(self.special[w[1:]]), w[1:]
-        ids, names = self.ids.__getitem__, self.names_of.__getitem__
-        return [(" ".join(map(ids, p)), " ".join(map(names, p))) for p in split]
+        for p, f in zip(split, found, strict=True):
+            if None in f:
+                fresh.update(x for x, y in zip(p, f, strict=True) if y is None)
+        if len(self.table) + len(fresh) > TABLE_WORDS:
+            self.table.clear()
+            fresh = {x for p in split for x in p}
+        self.learn(fresh)
+        known, out = self.table.__getitem__, []
+        for p, f in zip(split, found, strict=True):
+            if None in f:
+                f = list(map(known, p))
+            out.append((" ".join([x[0] for x in f]), " ".join([x[1] for x in f])))
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         return " ".join([self.names[i] for i in ids])
