@@ -6,7 +6,7 @@ identifiers found, in text order, are matched against ordered rules: a rule name
 a sequence of identifiers that must stand next to each other in that order. An earlier rule
 takes its identifiers, so a later and shorter rule does not report them again.
 
-A line end closes a sentence, unless reading line ends as spaces finds more known sentences
+A line end closes a sentence, unless reading single line ends as spaces finds more known sentences
 (hard-wrapped licence texts). Built-in functions only; no shuffle.
 
 Defined results
@@ -80,7 +80,7 @@ def known() -> dict[str, str]:
 
 def identifiers(text: Column, lines_end: bool) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)" + (r"|\n" if lines_end else "")
+    stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)" + (r"|\n" if lines_end else r"|\n[ \t\r]*\n")
     cut = F.regexp_replace(F.lower(text), stop, "\x01")
     flat = F.regexp_replace(cut, r"[^a-z0-9\x01]+", " ")
     table = F.create_map(*(F.lit(x) for pair in known().items() for x in pair))

@@ -307,6 +307,7 @@ def near_copies(docs: DataFrame, **options) -> DataFrame:
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents without the later members of each class, all columns kept."""
-    later = classed(docs, **options).where("rid <> first").select(F.col("rid").alias("_rid"))
-    rows = texts.with_row_id(docs)
-    return rows.join(later, "_rid", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    rid = texts.free_name(docs, "_rid")
+    later = classed(docs, **options).where("rid <> first").select(F.col("rid").alias(rid))
+    rows = texts.with_row_id(docs, rid).join(later, rid, "left_anti")
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

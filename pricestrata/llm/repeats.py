@@ -544,20 +544,18 @@ def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character that a removal cut in two is dropped with it, so that texts stay valid.
     """
-    changed = removals(docs, length).select(F.col("rid").alias("_rid"), "kept")
+    rid, new = texts.free_name(docs, "_rid"), texts.free_name(docs, "_new")
 
     def valid(batches):
         for batch in batches:
             text = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_rid"), pa.array(text, pa.string())], names=["_rid", "_new"]
+                [batch.column("rid"), pa.array(text, pa.string())], names=[rid, new]
             )
 
-    changed = changed.mapInArrow(valid, "_rid bigint, _new string")
-    rows = texts.with_row_id(docs).join(changed, "_rid", "left")
+    changed = removals(docs, length).select("rid", "kept")
+    changed = changed.mapInArrow(valid, f"`{rid}` bigint, `{new}` string")
+    rows = texts.with_row_id(docs, rid).join(changed, rid, "left")
     return rows.select(
-        *(
-            F.coalesce("_new", "text").alias("text") if c == "text" else F.col(f"`{c}`")
-            for c in docs.columns
-        )
+        *(F.coalesce(new, c).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns)
     )

@@ -41,7 +41,7 @@ def licences() -> str:
         f"case when m{k} > 0 then '{name}' end" for k, (name, _) in enumerate(licence_rules.RULES)
     )
     return f"""
-with cuts as (select doc_id, {ids(stop + "|" + chr(92) + "n")} as a, {ids(stop)} as b from documents),
+with cuts as (select doc_id, {ids(stop + "|" + chr(92) + "n")} as a, {ids(stop + "|" + chr(92) + "n[ " + chr(92) + "t" + chr(92) + "r]*" + chr(92) + "n")} as b from documents),
 chosen as (select doc_id, case when len(b) > len(a) then b else a end as ids from cuts),
 start as (select doc_id, len(ids) as n_sentences, coalesce(array_to_string(ids, ','), '') as sentence_ids,
   coalesce(array_to_string(list_transform(ids, lambda x: '|' || x || '|'), ''), '') as rest from chosen),

@@ -134,6 +134,14 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A new path in the folder that driver and executors share: spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
