@@ -271,22 +271,32 @@ def _fit(flat, vals, row, y, classes, weights, bias, steps: int = 40, l2: float
 
 
 def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Newton steps for P(1) = sigmoid(slope * margin + shift) with smoothed targets."""
+    """P(1) = sigmoid(slope * margin + shift) with smoothed targets, by damped Newton steps.
+
+    The margins are brought to mean 0 and deviation 1 first, and a step is halved until the
+    loss falls, so margins of any size and separable classes do not upset it.
+    """
     pos, neg = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    slope, shift = 1.0, 0.0
-    for _ in range(50):
-        p = 1.0 / (1.0 + np.exp(-np.clip(slope * margin + shift, -60, 60)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - target) * margin).sum(), (p - target).sum()])
-        h = np.array(
-            [[(w * margin * margin).sum() + 1e-6, (w * margin).sum()],
-             [(w * margin).sum(), w.sum() + 1e-6]]
-        )
-        step = np.linalg.solve(h, g)
-        scale = min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-        slope, shift = slope - scale * step[0], shift - scale * step[1]
-    return float(slope), float(shift)
+    mean, width = float(margin.mean()), float(margin.std()) or 1.0
+    x = np.stack([(margin - mean) / width, np.ones(len(margin))])
+
+    def loss(c: np.ndarray) -> float:
+        z = c @ x
+        return float((np.logaddexp(0, z) - target * z).sum() + 1e-6 * c @ c)
+
+    at = np.array([0.0, np.log((pos + 1) / (neg + 1))])
+    for _ in range(100):
+        p = 1.0 / (1.0 + np.exp(-np.clip(at @ x, -60, 60)))
+        g = x @ (p - target) + 2e-6 * at
+        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 2e-6 * np.eye(2), g)
+        now, part = loss(at), 1.0
+        while part > 1e-8 and loss(at - part * step) > now - 1e-4 * part * (g @ step):
+            part /= 2
+        if part <= 1e-8:
+            break
+        at = at - part * step
+    return float(at[0] / width), float(at[1] - at[0] * mean / width)
 
 
 def _judged(fitted: Model | None, column: pa.Array, threshold: float):

@@ -67,7 +67,7 @@ def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts", sqltext.token_counts())
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in, are revised to a new version, then lose their exact copies."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = rollup.measured(table(spark, sf_dir, "documents"))
     root = texts.shared_path(spark, "token-counts")
     old, new = (rollup.counted(docs, version) for version in rollup.VERSIONS)
     rollup.commit(root, "load", old)

@@ -23,6 +23,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricestrata.llm import texts
+
 KEYS = ("source", "lang", "tokenizer_version")
 
 #: The tokenizer versions that the query counts with: patterns of one token (fixed values).
@@ -32,12 +34,29 @@ VERSIONS = {
 }
 
 
-def counted(docs: DataFrame, version: str) -> DataFrame:
-    """One row per document with its tokens under a version."""
-    tokens = F.coalesce(F.regexp_count("text", F.lit(VERSIONS[version])), F.lit(0))
-    return docs.select(
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, source, lang, a digest of the text, and its tokens under each version, stored.
+
+    Every text is read and counted once, whatever the number of batches made from it.
+    """
+    text = F.col("text").cast("string")
+    counts = [F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0)).cast("bigint") for p in VERSIONS.values()]
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang",
+        F.sha2(text.cast("binary"), 256).alias("digest"), F.array(*counts).alias("tokens"),
+    )
+    return texts.stored(rows, "token-counts")
+
+
+def _tokens(version: str):
+    return F.col("tokens")[list(VERSIONS).index(version)]
+
+
+def counted(rows: DataFrame, version: str) -> DataFrame:
+    """One insert per measured document under a version."""
+    return rows.select(
         "source", "lang", F.lit(version).alias("tokenizer_version"),
-        F.lit(1).cast("bigint").alias("n_docs"), tokens.cast("bigint").alias("n_tokens"),
+        F.lit(1).cast("bigint").alias("n_docs"), _tokens(version).alias("n_tokens"),
     )
 
 
@@ -82,15 +101,14 @@ def totals(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def first_copies(docs: DataFrame, version: str) -> DataFrame:
-    """Counts of one row per distinct text: the copy with the least (doc_id, source, lang).
+def first_copies(rows: DataFrame, version: str) -> DataFrame:
+    """Inserts of one measured row per distinct text: the least (doc_id, source, lang).
 
-    Only a digest of the text is shuffled, and copies are combined before that: a text that a
-    third of the rows share costs one row a task.
+    Copies are combined before the shuffle: a text that a third of the rows share costs one
+    row a task.
     """
-    tokens = F.coalesce(F.regexp_count("text", F.lit(VERSIONS[version])), F.lit(0)).cast("bigint")
-    kept = docs.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("_text")).agg(
-        F.min(F.struct("doc_id", "source", "lang", tokens.alias("n_tokens"))).alias("_first")
+    kept = rows.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "source", "lang", _tokens(version).alias("n_tokens"))).alias("_first")
     )
     return kept.select(
         "_first.source", "_first.lang", F.lit(version).alias("tokenizer_version"),
