@@ -78,6 +78,16 @@ def known() -> dict[str, str]:
     return found
 
 
+def telling_words() -> list[str]:
+    """A few long words of which every known sentence holds at least one."""
+    left, out = [set(s.split()) for s in known()], []
+    while left:
+        every = sorted({w for s in left for w in s if len(w) > 6})
+        out.append(max(every, key=lambda w: (sum(w in s for s in left), len(w), w)))
+        left = [s for s in left if out[-1] not in s]
+    return out
+
+
 def identifiers(text: Column, lines_end: bool) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)" + (r"|\n" if lines_end else r"|\n[ \t\r]*\n")
@@ -91,9 +101,15 @@ def identifiers(text: Column, lines_end: bool) -> Column:
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     """doc_id, n_sentences, n_matches, sentence_ids and licences of every document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # A text without any of these words holds no known sentence and is not cut up.
+    low, some = F.lower(text), F.lit(False)
+    for word in telling_words():
+        some = some | F.contains(low, F.lit(word))
+    none = F.array().cast("array<string>")
     both = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        identifiers(text, True).alias("_by_line"), identifiers(text, False).alias("_wrapped"),
+        F.when(some, identifiers(text, True)).otherwise(none).alias("_by_line"),
+        F.when(some, identifiers(text, False)).otherwise(none).alias("_wrapped"),
     )
     ids = F.when(F.size("_wrapped") > F.size("_by_line"), F.col("_wrapped")).otherwise(
         F.col("_by_line")
