@@ -108,8 +108,29 @@ def same_url(left: Column, right: Column) -> Column:
     return (path(left) == path(right)) & (query_pairs(left) == query_pairs(right))
 
 
+def without_dots(link: Column) -> Column:
+    """A link's path with its ``.`` and ``..`` segments resolved; the rest stays as written.
+
+    Only links that have such a segment are cut up; the root is never left.
+    """
+    tail = F.regexp_extract(link, r"[?#].*\z", 0)
+    way = F.regexp_replace(link, r"[?#].*\z", "")
+    parts = F.split(way, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done)
+        .when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.array_append(done, x)),
+    )
+    closing = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    closed = F.when(joined.endswith("/"), joined).otherwise(F.concat(joined, closing))
+    return F.when(way.rlike(r"(^|/)\.\.?(/|\z)"), F.concat(closed, tail)).otherwise(link)
+
+
 def absolute(base: Column, href: Column) -> Column:
-    """Join a link to the page it was found on (dot segments stay as written)."""
+    """Join a link to the page it was found on."""
     href = strip(href)
     origin = F.concat(scheme(base), F.lit("://"), authority(base))
     folder = F.regexp_replace(path(base), r"[^/]*\z", "")
@@ -117,8 +138,8 @@ def absolute(base: Column, href: Column) -> Column:
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("/"), F.concat(origin, without_dots(href)))
         .when(href.startswith("?"), F.concat(origin, path(base), href))
         .when((href == "") | href.startswith("#"), F.regexp_replace(base, r"#.*\z", ""))
-        .otherwise(F.concat(origin, folder, href))
+        .otherwise(F.concat(origin, without_dots(F.concat(folder, href))))
     )

@@ -72,7 +72,8 @@ def evidence_reason(kind: str, top_status: int = 399) -> Column:
     checks = F.when(~c("http_status").between(200, top_status), "HTTP_STATUS")
     if kind == "WORKBOOK":
         checks = checks.when(
-            F.upper(c("head_hex")).startswith(WORKBOOK_MAGIC) == F.lit(False), "ATTACHMENT_INVALID"
+            ~F.coalesce(F.upper(c("head_hex")).startswith(WORKBOOK_MAGIC), F.lit(False)),
+            "ATTACHMENT_INVALID",
         ).when(wrong_type, "ATTACHMENT_INVALID")
     else:
         checks = checks.when(wrong_type, "CONTENT_TYPE")

@@ -149,9 +149,17 @@ def absence_facts(absences: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def recover_stale_runs(
-    runs: DataFrame, now: Column, minutes: int, channel: Column, scope: list[str]
+    runs: DataFrame,
+    now: Column,
+    minutes: int,
+    channel: Column,
+    scope: list[str],
+    region: tuple[str, str],
 ) -> DataFrame:
-    """RUNNING runs of one channel and category set older than the limit become FAILED."""
+    """RUNNING runs of one channel, region and category set older than the limit become FAILED.
+
+    All other runs keep their status, end and error code.
+    """
     same_scope = F.array_sort(F.array_distinct("category_scope")) == F.array(
         *[F.lit(s) for s in sorted(set(scope))]
     )
@@ -159,12 +167,14 @@ def recover_stale_runs(
         (F.col("status") == "RUNNING")
         & channel
         & same_scope
+        & (F.col("region_scope") == region[0])
+        & (F.col("region_code") == region[1])
         & (F.col("started_at") < now - F.expr(f"INTERVAL {minutes} MINUTE"))
     )
     return runs.withColumns(
         {
             "finished_at": F.when(stale, now).otherwise(F.col("finished_at")),
-            "error_code": F.when(stale, "STALE_RUNNING_RECOVERED"),
+            "error_code": F.when(stale, "STALE_RUNNING_RECOVERED").otherwise(F.col("error_code")),
             "status": F.when(stale, "FAILED").otherwise(F.col("status")),
         }
     )

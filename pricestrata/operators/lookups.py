@@ -126,14 +126,40 @@ def superseded_by_newer(facts: DataFrame, keys: list[str], time: str) -> DataFra
     return facts.join(top, keys).where(F.col("__top") > F.col(time)).drop("__top")
 
 
-def whitelist(rows: DataFrame, allowed: DataFrame, dims: list[str], doc: list[str]) -> DataFrame:
-    """Every whitelisted combination must match exactly one row of a document."""
-    hits = rows.join(F.broadcast(allowed), dims).groupBy(*doc, "commodity_code").agg(
+def whitelist(
+    rows: DataFrame, allowed: list[tuple], dims: list[str], doc: list[str]
+) -> DataFrame:
+    """One row per document and whitelisted combination, matched or not, with its matches.
+
+    ``allowed`` is a literal list of (code, values of ``dims``). A combination that does not
+    match exactly one row of the document is an error.
+    """
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("entry_no"), F.lit(entry[0]).alias("commodity_code"),
+                *[F.lit(v).alias(d) for d, v in zip(dims, entry[1:], strict=True)],
+            )
+            for i, entry in enumerate(allowed)
+        ]
+    )
+    wanted = rows.select(*doc).distinct().select(*doc, F.inline(entries))
+    hits = rows.groupBy(*doc, *dims).agg(
         F.count(F.lit(1)).alias("matches"), F.min("price").alias("price")
     )
-    return hits.withColumn(
-        "error_code", F.when(F.col("matches") != 1, "COMMODITY_MAPPING_MISSING")
+    found = wanted.join(hits, [*doc, *dims], "left").withColumn(
+        "matches", F.coalesce("matches", F.lit(0).cast("bigint"))
     )
+    return found.select(
+        *doc, "entry_no", "commodity_code", "matches", "price",
+        F.when(F.col("matches") != 1, "COMMODITY_MAPPING_MISSING").alias("error_code"),
+    )
+
+
+def first_fault(rows: DataFrame, doc: list[str], order: str, error: Column) -> Column:
+    """The first error of a document in entry order; documents have a fixed number of entries."""
+    whole = Window.partitionBy(*doc)
+    return F.min(F.when(error.isNotNull(), F.struct(F.col(order), error.alias("e")))).over(whole)["e"]
 
 
 def coverage_gap(known: DataFrame, captured: DataFrame, key: list[str]) -> DataFrame:

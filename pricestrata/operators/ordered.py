@@ -18,6 +18,17 @@ def _with_bucket(df: DataFrame, bucket: Column) -> DataFrame:
     return df.withColumn(_B, bucket)
 
 
+def _carried(base: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """Join bucket summaries back to their rows; a NULL key or bucket meets its own summary."""
+    named = carry.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate([*keys, _B])], "__carry"
+    )
+    same = F.lit(True)
+    for i, k in enumerate([*keys, _B]):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return base.join(named, same, "left")
+
+
 def time_bucket(column: str, unit: str = "DAY") -> Column:
     return F.date_trunc(unit, F.col(column)).cast("timestamp_ntz")
 
@@ -52,8 +63,7 @@ def with_previous(
         .drop("t")
     )
     return (
-        base.withColumn("__in", F.lag("__v").over(inside))
-        .join(tails, [*keys, _B], "left")
+        _carried(base.withColumn("__in", F.lag("__v").over(inside)), tails, keys)
         .select(*df.columns, F.coalesce(F.col("__in"), F.col("__carry")).alias(out))
     )
 
@@ -77,8 +87,7 @@ def with_next(
         .drop("t")
     )
     return (
-        base.withColumn("__in", F.lead("__v").over(inside))
-        .join(heads, [*keys, _B], "left")
+        _carried(base.withColumn("__in", F.lead("__v").over(inside)), heads, keys)
         .select(*df.columns, F.coalesce(F.col("__in"), F.col("__carry")).alias(out))
     )
 
@@ -111,8 +120,7 @@ def carry_forward(
         .drop("t")
     )
     return (
-        base.withColumn("__in", F.last("__v", ignorenulls=True).over(inside))
-        .join(tails, [*keys, _B], "left")
+        _carried(base.withColumn("__in", F.last("__v", ignorenulls=True).over(inside)), tails, keys)
         .select(*df.columns, F.coalesce(F.col("__in"), F.col("__carry")).alias(out))
     )
 
@@ -146,7 +154,6 @@ def running(
         zero = F.lit(0)
         merged = F.coalesce(both[0], zero) + F.coalesce(both[1], zero)
     return (
-        base.withColumn("__in", combine("__v").over(inside))
-        .join(totals, [*keys, _B], "left")
+        _carried(base.withColumn("__in", combine("__v").over(inside)), totals, keys)
         .select(*df.columns, merged.alias(out))
     )

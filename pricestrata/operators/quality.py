@@ -263,26 +263,22 @@ def price_signatures(accepted: DataFrame, capture: list[str], text: Column) -> D
     return accepted.groupBy(*capture).agg(*multiset_signature(text))
 
 
-def merge_captures(responses: DataFrame, capture: list[str], limit: int = 128) -> DataFrame:
-    """Several responses of one product become one capture.
+def merge_captures(responses: DataFrame, capture: list[str]) -> DataFrame:
+    """Several responses of one product become one capture, one row per request.
 
-    More than ``limit`` responses is an error of the source, so the request list is only built
-    for captures counted at or below it.
+    Each row carries the totals of its capture. Requests stay rows, however many there are.
     """
     totals = responses.groupBy(*capture).agg(
         F.count(F.lit(1)).alias("responses"),
         F.max("fetched_at").alias("fetched_at"),
         F.sum("duration_ms").alias("duration_ms"),
     )
-    within = totals.where(F.col("responses") <= limit).select(*capture)
-    lists = (
-        responses.join(within, capture, "left_semi")
-        .groupBy(*capture)
-        .agg(F.array_sort(F.collect_list(F.struct("request_no", "source_hash"))).alias("requests"))
-    )
-    return totals.join(lists, capture, "left").withColumn(
-        "error_code", F.when(F.col("responses") > limit, "SKU_LIMIT_EXCEEDED")
-    )
+    return responses.select(*capture, "request_no", "source_hash").join(totals, capture)
+
+
+def advertised_fault(advertised: Column, limit: int) -> Column:
+    """A product that advertises more SKUs than its source may is refused as a whole."""
+    return F.when(F.size(advertised) > limit, "SKU_LIMIT_EXCEEDED")
 
 
 def spread_distrust(rows: DataFrame, product: list[str]) -> DataFrame:

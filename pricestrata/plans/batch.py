@@ -7,7 +7,7 @@ and a lost executor recomputes a table read, not the parse.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricestrata.functions.identity import json_hash, sha256
@@ -34,6 +34,13 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrival(doc_id: Column, row_no: Column) -> Column:
+    """One number in the order (document, row). Rows of a page beyond 2**20 are an error."""
+    fits = (row_no >= 0) & (row_no < 1 << 20)
+    number = F.shiftleft(doc_id.cast("bigint"), 20) + row_no
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("row number out of range")).cast("bigint"))
+
+
 def market_listings(docs: DataFrame) -> DataFrame:
     """Wholesale pages as listing rows with identity, merchant and price evidence."""
     names = F.broadcast(commodities(docs.sparkSession))
@@ -58,7 +65,7 @@ def market_listings(docs: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     return rows.select(
         c("doc_id").alias("record_id"),
-        (c("doc_id").cast("bigint") * 1000 + c("row_no")).alias("ingest_seq"),
+        arrival(c("doc_id"), c("row_no")).alias("ingest_seq"),
         F.lit(MARKET_CHANNEL).alias("channel"),
         F.concat(F.lit("mofcom-bj-market:"), c("market_id")).alias("merchant_key"),
         "market_name",

@@ -260,11 +260,10 @@ def price_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     "merged_captures",
     "AGG-16",
     ctes("points")
-    + """, t AS (SELECT channel, region_code, observed_date, count(*) AS responses, max(observed_at) AS fetched_at,
-             CAST(sum(k) AS BIGINT) AS duration_ms,
-             string_agg(CAST(ingest_seq AS VARCHAR), ',' ORDER BY ingest_seq) AS requests FROM points GROUP BY ALL)
-         SELECT * REPLACE (CASE WHEN responses <= 22 THEN requests END AS requests),
-           CASE WHEN responses > 22 THEN 'SKU_LIMIT_EXCEEDED' END AS error_code FROM t""",
+    + """SELECT channel, region_code, observed_date, ingest_seq AS request_no, source_hash,
+           count(*) OVER w AS responses, max(observed_at) OVER w AS fetched_at,
+           CAST(sum(k) OVER w AS BIGINT) AS duration_ms FROM points
+         WINDOW w AS (PARTITION BY channel, region_code, observed_date)""",
 )
 def merged_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bind.frame(spark, sf_dir, "points").select(
@@ -272,11 +271,7 @@ def merged_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("ingest_seq").alias("request_no"), c("observed_at").alias("fetched_at"),
         c("k").alias("duration_ms"),
     )
-    merged = ops.merge_captures(rows, ["channel", "region_code", "observed_date"], limit=22)
-    return merged.withColumn(
-        "requests",
-        F.array_join(F.transform("requests", lambda r: r["request_no"].cast("string")), ","),
-    )
+    return ops.merge_captures(rows, ["channel", "region_code", "observed_date"])
 
 
 @query(

@@ -84,7 +84,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_page_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.links(spread(bind.frame(spark, sf_dir, "pages")), "page_id", "html", c("url"))
-    product = F.lower(F.substring("href", 2, 10_000))
+    product = F.lower(F.expr("substring(href, 2)"))
     approved = c("href").startswith("/") & product.rlike(r"^[a-z]+\z")
     return pages.first_links(found, ["page_id"], product, approved).select(
         "page_id", "product_id", "position", "href"
@@ -343,9 +343,10 @@ def embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 bind.VIEWS["discovery_docs"] = (
-    "SELECT p_partkey AS doc_id, p_partkey, p_size, brand, name, '{\"code\":0,\"data\":[{\"list\":[{\"prdId\":\"' || CAST(p_partkey AS STRING) || '\",\"prdName\":\"' || name || "
+    "SELECT p_partkey AS doc_id, p_partkey, p_size, brand, name, CASE WHEN p_partkey % 17 = 3 THEN '{\"code\":0,\"data\":[' "
+    "WHEN p_partkey % 17 = 5 THEN '{\"code\":1,\"data\":[]}' ELSE '{\"code\":0,\"data\":[{\"list\":[{\"prdId\":\"' || CAST(p_partkey AS STRING) || '\",\"prdName\":\"' || name || "
     "'\"},{\"deep\":{\"prdId\":\"' || CAST(p_partkey AS STRING) || '\",\"prdName\":\"later\",\"x\":[{\"prdId\":\"x9\",\"prdName\":\"' || name || '\"}]}}]},{\"prdId\":' || CAST(p_size + 1000000 AS STRING) || "
-    "',\"briefName\":\"' || name || '\"}]}' AS body FROM {device_names}"
+    "',\"briefName\":\"' || name || '\"}]}' END AS body FROM {device_names}"
 )
 
 
@@ -357,8 +358,13 @@ bind.VIEWS["discovery_docs"] = (
         extra=f"""n AS (SELECT *, {sql_squeeze('name')} AS t, upper({sql_squeeze('name')}) AS u FROM discovery_docs),
           k AS (SELECT *, CASE brand {' '.join(f"WHEN '{b}' THEN {_sql_category(b)}" for b in BRANDS4)} END AS category_code FROM n)""",
     )
-    + """SELECT doc_id, CAST(p_partkey AS VARCHAR) AS product_id, 0 AS position, t AS name, category_code FROM k WHERE category_code IS NOT NULL
-         UNION ALL SELECT doc_id, CAST(p_size + 1000000 AS VARCHAR), 3, t, category_code FROM k WHERE category_code IS NOT NULL""",
+    + """, r AS (SELECT *, p_partkey % 17 NOT IN (3, 5) AS whole FROM k)
+         SELECT doc_id, CAST(p_partkey AS VARCHAR) AS product_id, 0 AS position, t AS name, category_code, NULL AS error
+         FROM r WHERE category_code IS NOT NULL AND whole
+         UNION ALL SELECT doc_id, CAST(p_size + 1000000 AS VARCHAR), 3, t, category_code, NULL FROM r
+         WHERE category_code IS NOT NULL AND whole
+         UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, CASE p_partkey % 17 WHEN 3 THEN 'JSON_UNREADABLE'
+           WHEN 5 THEN 'DISCOVERY_EMPTY' ELSE 'NO_APPROVED_PRODUCT' END FROM r WHERE category_code IS NULL OR NOT whole""",
 )
 def json_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = bind.settled(bind.frame(spark, sf_dir, "discovery_docs"))
@@ -402,8 +408,15 @@ bind.VIEWS["sheet_cells"] = _LABEL_ROWS
           max(CASE WHEN l_suppkey % 8 = 0 THEN '0.0' ELSE '0.00_ ' END) AS fmt FROM sheet_lines GROUP BY 1, 2),
       hits AS (SELECT doc_id, commodity_code, count(*) AS matches, min(CASE WHEN fmt = '0.00_ '
           THEN CAST(CAST(cell AS DECIMAL(18,3)) AS DECIMAL(18,2)) END) AS price FROM cols
-        JOIN w USING (commodity_group, commodity_name, specification) WHERE doc_id % 29 != 3 GROUP BY 1, 2)
-      SELECT *, CASE WHEN matches != 1 THEN 'COMMODITY_MAPPING_MISSING' WHEN price IS NULL THEN 'PRICE_VALUE_INVALID' END AS error_code FROM hits""",
+        JOIN w USING (commodity_group, commodity_name, specification) WHERE doc_id % 29 != 3 GROUP BY 1, 2),
+      own AS (SELECT d.doc_id, w.commodity_code, row_number() OVER (PARTITION BY d.doc_id ORDER BY w.no) AS no,
+          coalesce(matches, 0) AS matches, price,
+          CASE WHEN coalesce(matches, 0) != 1 THEN 'COMMODITY_MAPPING_MISSING' WHEN price IS NULL THEN 'PRICE_VALUE_INVALID' END AS row_error
+        FROM (SELECT DISTINCT l_orderkey AS doc_id FROM sheet_lines) d
+        CROSS JOIN (SELECT *, row_number() OVER () AS no FROM w) w LEFT JOIN hits USING (doc_id, commodity_code))
+      SELECT doc_id, commodity_code, matches, price, row_error, CASE WHEN doc_id % 29 = 3 THEN 'DATASET_STRUCTURE_CHANGED'
+        ELSE first_value(row_error IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no
+          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS error_code FROM own""",
 )
 def sheet_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.sheet_prices(bind.frame(spark, sf_dir, "sheet_cells"))

@@ -169,11 +169,12 @@ def absence_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "stale_runs",
     "MRG-06",
     """WITH r AS (SELECT o_orderkey, o_orderdate, CASE o_orderstatus WHEN 'O' THEN 'RUNNING' WHEN 'F' THEN 'SUCCEEDED'
-          ELSE 'PARTIAL' END AS status, o_custkey % 4 AS channel, o_orderkey % 3 AS scope_kind FROM orders),
-        s AS (SELECT *, status = 'RUNNING' AND channel < 2 AND scope_kind < 2
+          ELSE 'PARTIAL' END AS status, o_custkey % 4 AS channel, o_orderkey % 3 AS scope_kind,
+          o_custkey % 5 AS region FROM orders),
+        s AS (SELECT *, status = 'RUNNING' AND channel < 2 AND scope_kind < 2 AND region < 3
             AND o_orderdate < TIMESTAMP '1998-06-01' - INTERVAL 90 MINUTE AS stale FROM r)
        SELECT o_orderkey, CASE WHEN stale THEN 'FAILED' ELSE status END AS status,
-         CASE WHEN stale THEN 'STALE_RUNNING_RECOVERED' END AS error_code,
+         CASE WHEN stale THEN 'STALE_RUNNING_RECOVERED' WHEN status = 'PARTIAL' THEN 'ROWS_REJECTED' END AS error_code,
          CASE WHEN stale THEN TIMESTAMP '1998-06-01' WHEN status != 'RUNNING' THEN o_orderdate END AS finished_at FROM s""",
 )
 def stale_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,11 +193,14 @@ def stale_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", status.alias("status"), scope.alias("category_scope"),
         (c("o_custkey") % 4).alias("channel"), c("o_orderdate").alias("started_at"),
         F.when(status != "RUNNING", c("o_orderdate")).alias("finished_at"),
+        F.when(status == "PARTIAL", "ROWS_REJECTED").alias("error_code"),
+        F.when(c("o_custkey") % 5 < 4, "NATIONAL").otherwise("PROVINCE").alias("region_scope"),
+        F.when(c("o_custkey") % 5 < 3, "CN").otherwise("SH").alias("region_code"),
     )
     now = F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
-    return ops.recover_stale_runs(runs, now, 90, c("channel") < 2, ["TABLET", "PHONE"]).select(
-        "o_orderkey", "status", "error_code", "finished_at"
-    )
+    return ops.recover_stale_runs(
+        runs, now, 90, c("channel") < 2, ["TABLET", "PHONE"], ("NATIONAL", "CN")
+    ).select("o_orderkey", "status", "error_code", "finished_at")
 
 
 @query(

@@ -11,8 +11,8 @@ from pricestrata.functions import vocab
 from pricestrata.operators import facts as fact_ops
 from pricestrata.operators import lookups as ops
 from pricestrata.operators.ordered import newest
+from pricestrata.operators.quality import advertised_fault
 from pricestrata.queries import query
-from pricestrata.sources.seeds import city_commodities
 
 c = F.col
 
@@ -230,15 +230,17 @@ bind.VIEWS["sheet_columns"] = (
     + ", w AS (SELECT * FROM (VALUES "
     + ", ".join(str(r) for r in vocab.CITY_COMMODITIES)
     + """) AS t(commodity_code, commodity_group, commodity_name, specification, unit))
-       SELECT day, commodity_code, count(*) AS matches, min(price) AS price,
-         CASE WHEN count(*) != 1 THEN 'COMMODITY_MAPPING_MISSING' END AS error_code
-       FROM sheet_columns JOIN w USING (commodity_group, commodity_name, specification, unit) GROUP BY 1, 2""",
+       SELECT d.day, w.commodity_code, count(s.day) AS matches, min(s.price) AS price,
+         CASE WHEN count(s.day) != 1 THEN 'COMMODITY_MAPPING_MISSING' END AS error_code
+       FROM (SELECT DISTINCT day FROM sheet_columns) d CROSS JOIN w LEFT JOIN sheet_columns s
+         ON s.day = d.day AND s.commodity_group = w.commodity_group AND s.commodity_name = w.commodity_name
+         AND s.specification = w.specification AND s.unit = w.unit GROUP BY 1, 2""",
 )
 def whitelist_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = ["commodity_group", "commodity_name", "specification", "unit"]
     return ops.whitelist(
-        bind.frame(spark, sf_dir, "sheet_columns"), city_commodities(spark), dims, ["day"]
-    )
+        bind.frame(spark, sf_dir, "sheet_columns"), vocab.CITY_COMMODITIES, dims, ["day"]
+    ).drop("entry_no")
 
 
 @query(
@@ -262,7 +264,8 @@ def coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH s AS (SELECT l_orderkey, list_distinct(list(l_linenumber)) AS seen FROM lineitem GROUP BY 1),
          a AS (SELECT *, list_distinct(list_concat(list_filter(seen, lambda x: x > 1), [l_orderkey % 8])) AS advertised FROM s)
        SELECT l_orderkey, len(list_filter(advertised, lambda x: NOT list_contains(seen, x))) AS omitted,
-         len(list_filter(seen, lambda x: NOT list_contains(advertised, x))) AS unadvertised FROM a""",
+         len(list_filter(seen, lambda x: NOT list_contains(advertised, x))) AS unadvertised,
+         CASE WHEN len(advertised) > 5 THEN 'SKU_LIMIT_EXCEEDED' END AS error_code FROM a""",
 )
 def sku_set_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advertised against returned SKUs of one order; line numbers bound the arrays."""
@@ -277,6 +280,7 @@ def sku_set_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         F.size(F.array_except("advertised", "seen")).cast("bigint").alias("omitted"),
         F.size(F.array_except("seen", "advertised")).cast("bigint").alias("unadvertised"),
+        advertised_fault(c("advertised"), 5).alias("error_code"),
     )
 
 

@@ -366,7 +366,10 @@ def json_after_marker(html: Column, marker: str) -> Column:
 
 
 def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFrame:
-    """Every object at any depth that carries ``id_field``, in document order, as JSON text."""
+    """Every object at any depth that carries ``id_field``, in document order, as JSON text.
+
+    A document that cannot be read, or holds no such object, gives one row with its error.
+    """
     key_type = dict(docs.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -382,7 +385,8 @@ def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFra
                     stack.extend(reversed(node))
 
         def table(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=[key, "position", "object"])
+            made = pd.DataFrame(rows, columns=[key, "position", "object", "error"])
+            return made.astype({"position": "Int32"})
 
         for frame in frames:
             rows: list[tuple] = []
@@ -390,33 +394,56 @@ def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFra
                 found: list[str] = []
                 try:
                     visit(json.loads(text), found)
-                except (TypeError, ValueError):
+                except (TypeError, ValueError, RecursionError):
+                    rows.append((name, None, None, "JSON_UNREADABLE"))
                     continue
-                rows.extend((name, i, item) for i, item in enumerate(found))
+                if not found:
+                    rows.append((name, None, None, "DISCOVERY_EMPTY"))
+                rows.extend((name, i, item, None) for i, item in enumerate(found))
                 if len(rows) >= 20_000:
                     yield table(rows)
                     rows = []
             if rows:
                 yield table(rows)
 
-    return docs.select(key, body).mapInPandas(run, f"{key} {key_type}, position int, object string")
+    return docs.select(key, body).mapInPandas(
+        run, f"{key} {key_type}, position int, object string, error string"
+    )
 
 
 def discovered_products(
     objects: DataFrame, brand: Column, id_field: str, name_fields: list[str], key: str = "doc_id"
 ) -> DataFrame:
-    """Approved products of walked objects; the first object of every product wins."""
+    """Approved products of walked objects; the first object of every product wins.
+
+    A document without an approved product keeps one row with its error and no product.
+    """
     names = [F.get_json_object("object", f"$.{f}") for f in name_fields]
     named = F.coalesce(*[F.when(n != "", n) for n in names])
     rows = objects.select(
-        key, "position", brand.alias("brand"),
+        key, "position", "error", brand.alias("brand"),
         squeeze(F.get_json_object("object", f"$.{id_field}")).alias("product_id"),
         nfkc(named).alias("name"),
     )
     judged = with_category(rows, "category_code", c("brand"), c("name"))
-    kept = judged.where(sku_ok(c("product_id")) & c("category_code").isNotNull())
-    return (
-        kept.groupBy(key, "product_id")
-        .agg(F.min(F.struct("position", "name", "category_code")).alias("first"))
-        .select(key, "product_id", "first.position", squeeze(c("first.name")).alias("name"), "first.category_code")
+    approved = F.coalesce(sku_ok(c("product_id")) & c("category_code").isNotNull(), F.lit(False))
+    # Objects that are not approved fall into one group of their document, which becomes its
+    # error row unless the document has an approved product.
+    firsts = (
+        judged.withColumn("product_id", F.when(approved, c("product_id")))
+        .groupBy(key, "product_id")
+        .agg(F.min(F.struct("position", "name", "category_code")).alias("first"), F.max("error").alias("error"))
+    )
+    good = firsts.where(c("product_id").isNotNull())
+    bad = firsts.where(c("product_id").isNull()).join(good.select(key).distinct(), key, "left_anti")
+    none = F.lit(None)
+    return good.select(
+        key, "product_id", "first.position", squeeze(c("first.name")).alias("name"),
+        "first.category_code", none.cast("string").alias("error"),
+    ).unionByName(
+        bad.select(
+            key, "product_id", none.cast("int").alias("position"), none.cast("string").alias("name"),
+            none.cast("string").alias("category_code"),
+            F.coalesce("error", F.lit("NO_APPROVED_PRODUCT")).alias("error"),
+        )
     )

@@ -1,4 +1,4 @@
-"""Labelled-row sheets: a cell table becomes one record per column."""
+"""Labelled-row sheets: a cell table becomes one record per column, a sheet fails as a whole."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricestrata.functions import vocab
 from pricestrata.functions.money import published_price
 from pricestrata.functions.text import compact
-from pricestrata.sources.seeds import city_commodities
+from pricestrata.operators.lookups import first_fault
 
 c = F.col
 _NAMES = dict(
@@ -16,20 +16,12 @@ _NAMES = dict(
 )
 
 
-def sheet_faults(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Every label must head exactly one row of the sheet."""
-    heads = cells.where(c("col_no") == 0).withColumn("label", compact(c("value")))
-    counts = heads.where(c("label").isin(*vocab.SHEET_LABELS)).groupBy(doc).agg(
-        *[F.count_if(c("label") == name).alias(alias) for name, alias in _NAMES.items()]
-    )
-    ok = F.lit(True)
-    for alias in _NAMES.values():
-        ok = ok & (c(alias) == 1)
-    return counts.select(doc, F.when(~ok, "DATASET_STRUCTURE_CHANGED").alias("doc_error"))
+def sheet_records(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """One record per column of a sheet: the pivot is an aggregate over known labels.
 
-
-def sheet_columns(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """One record per data column: the pivot is an aggregate over known labels."""
+    The label of a cell is the first cell of its row: ``labels`` holds the label rows of a
+    sheet, five when it is well formed.
+    """
     labels = cells.where((c("col_no") == 0) & compact(c("value")).isin(*vocab.SHEET_LABELS)).select(
         doc, "row_no", compact(c("value")).alias("label")
     )
@@ -43,22 +35,48 @@ def sheet_columns(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
+def sheet_faults(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Every sheet, with an error unless every label heads exactly one of its rows."""
+    label = F.when(c("col_no") == 0, compact(c("value")))
+    counts = cells.groupBy(doc).agg(
+        *[F.count_if(label == name).alias(alias) for name, alias in _NAMES.items()]
+    )
+    ok = F.lit(True)
+    for alias in _NAMES.values():
+        ok = ok & (c(alias) == 1)
+    return counts.select(doc, F.when(~ok, "DATASET_STRUCTURE_CHANGED").alias("doc_error"))
+
+
 def sheet_prices(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Whitelisted commodities of every sheet: exactly one column each, a two-decimal price."""
+    """Every sheet times the whitelisted commodities, with matches, price and errors.
+
+    A sheet fails as a whole: ``error_code`` is its structure error, or else the first error of
+    its commodities in list order, on all of its rows; ``row_error`` is the row's own.
+    """
     dims = ["commodity_group", "commodity_name", "specification", "unit"]
-    allowed = F.broadcast(city_commodities(cells.sparkSession))
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("entry_no"), F.lit(row[0]).alias("commodity_code"),
+                     *[F.lit(v).alias(d) for d, v in zip(dims, row[1:], strict=True)])
+            for i, row in enumerate(vocab.CITY_COMMODITIES)
+        ]
+    )
+    wanted = sheet_faults(cells, doc).select(doc, "doc_error", F.inline(entries))
     hits = (
-        sheet_columns(cells, doc)
-        .join(allowed, dims)
+        sheet_records(cells, doc)
         .withColumn("price", published_price(c("price_cell"), c("number_format")))
-        .groupBy(doc, "commodity_code")
+        .groupBy(doc, *dims)
         .agg(F.count(F.lit(1)).alias("matches"), F.min("price").alias("price"))
     )
-    return hits.join(sheet_faults(cells, doc), doc).withColumn(
-        "error_code",
-        F.coalesce(
-            c("doc_error"),
-            F.when(c("matches") != 1, "COMMODITY_MAPPING_MISSING"),
-            F.when(c("price").isNull(), "PRICE_VALUE_INVALID"),
-        ),
-    ).drop("doc_error")
+    rows = wanted.join(hits, [doc, *dims], "left").withColumn(
+        "matches", F.coalesce("matches", F.lit(0).cast("bigint"))
+    )
+    own = F.when(c("matches") != 1, "COMMODITY_MAPPING_MISSING").when(
+        c("price").isNull(), "PRICE_VALUE_INVALID"
+    )
+    rows = rows.withColumn("row_error", own)
+    first = first_fault(rows, [doc], "entry_no", c("row_error"))
+    return rows.select(
+        doc, "commodity_code", "matches", "price", "row_error",
+        F.coalesce("doc_error", first).alias("error_code"),
+    )
