@@ -18,8 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); a component is named by its least node.
 
     Each round writes its edges, so lost executors cost one round at most and the plan stays
-    short. Least neighbours are aggregates, combined before the shuffle; a hub's edges are
-    joined with a single row, which AQE can split.
+    short. Least neighbours are aggregates, combined before the shuffle and dealt out anew
+    before the join (``rebalance``), so that AQE can split the edges of a hub.
     """
     now = (
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -31,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("m", "u").alias("m"))
+        least = least.select("u", F.least("m", "u").alias("m")).hint("rebalance")
         large = (
             both.join(least, "u")
             .where("v > u")
@@ -39,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).hint("rebalance")
         small = (
             large.join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -140,6 +140,8 @@ def candidates(sets: DataFrame) -> DataFrame:
     )
     keyed = sets.select("rep", F.explode(bands).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Dealt out anew, so that AQE can split a band that many representatives share.
+    shared = shared.hint("rebalance")
     edges = keyed.join(shared.select("key", "first"), "key").where("rep <> first")
     return components(edges.select(F.col("rep").alias("a"), F.col("first").alias("b")))
 

@@ -383,7 +383,7 @@ def merged(pieces: DataFrame, ranges: int, length: int) -> DataFrame:
 def _looked_up(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key occurs twice or more."""
     twice = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
-    return rows.join(twice, keys, "left_semi")
+    return rows.join(twice.hint("rebalance"), keys, "left_semi")
 
 
 def _one_each(rows: DataFrame, group: str, key: list[str], columns: list[str]) -> DataFrame:
@@ -393,7 +393,8 @@ def _one_each(rows: DataFrame, group: str, key: list[str], columns: list[str]) -
     for k in key:
         differ = differ | (F.col(f"a_{k}") != F.col(f"b_{k}"))
     one = rows.groupBy(group, *key).agg(F.min(F.struct(*columns)).alias("_one"))
-    return one.join(mixed.where(differ).select(group), group, "left_semi").select("_one.*")
+    mixed = mixed.where(differ).select(group).hint("rebalance")
+    return one.join(mixed, group, "left_semi").select("_one.*")
 
 
 def _fingerprints(data: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -445,12 +446,15 @@ def found(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     again = every.groupBy("gram").agg(
         F.count("*").alias("_n"), F.min("block").alias("_a"), F.max("block").alias("_b")
     )
+    # Dealt out anew before the join, so that AQE can split a gram that many texts share.
     again = again.where("_n > 1").select("gram", (F.col("_a") != F.col("_b")).alias("mixed"))
+    again = again.hint("rebalance")
     few = texts.stored(every.join(again, "gram"), "repeated-anchors")
     blocks = few.groupBy("gram", "block", "mixed").agg(
         F.count("*").alias("_n"), F.min(F.struct("rid", "at", "lo", "hi")).alias("_one")
     )
-    whole = few.join(blocks.where("_n > 1").select("gram", "block"), ["gram", "block"], "left_semi")
+    twice = blocks.where("_n > 1").select("gram", "block").hint("rebalance")
+    whole = few.join(twice, ["gram", "block"], "left_semi")
     # Of each distinct block one occurrence is sorted; equal blocks are settled already.
     one = blocks.where("mixed").select("_one.*")
     listed = (
