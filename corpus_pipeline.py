@@ -29,27 +29,32 @@ def _measured(new: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps a document if the base rules and the model do; the model learns from ``labels``."""
+    texts.bounded_batches(spark)
     rules = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.kept(docs, rules)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each class."""
+    texts.bounded_batches(spark)
     return nearcopies.first_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated bytes; drops a document that had words and keeps none of them."""
+    texts.bounded_batches(spark)
     return _measured(repeats.strip(docs)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes passages of ``benchmark``."""
+    texts.bounded_batches(spark)
     return _measured(spans.clean(docs, table(spark, sf_dir, "benchmark")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, with their counts and digests."""
+    texts.bounded_batches(spark)
     return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=True)
 
 

@@ -27,7 +27,6 @@ import unicodedata
 from collections.abc import Iterable
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,7 +195,7 @@ class Coder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = self.merges.token | {i: t for t, i in self.special.items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern).findall
+        self.words = texts.Splitter(pattern)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.letters = byte_letters()
         #: Word to (ids joined by spaces, names of the tokens joined by spaces).

@@ -38,7 +38,11 @@ REGISTRY: dict[str, Query] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
-        REGISTRY[name] = Query(run, sql)
+        def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+            texts.bounded_batches(spark)
+            return run(spark, sf_dir)
+
+        REGISTRY[name] = Query(bounded, sql)
         return run
 
     return add

@@ -28,7 +28,6 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from pricestrata.llm import texts
 
 END_ID = 0
-TABLE_PIECES = 800_000
+TABLE_PIECES = 1_200_000
 #: Pieces that go to the library as one text.
 JOINED = 2_000
 #: How the byte-level pre-tokenizer splits a text (fixed value).
@@ -55,7 +54,7 @@ class Encoder:
         vocabulary = max(self.tokenizer.get_vocab().values()) + 1
         self.type = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
+        self.split = texts.Splitter(PATTERN)
         self.table: dict[str, bytes] = {}
         # Bytes of each token: its letters, as each stands for one byte.
         self.width = np.zeros(vocabulary, np.int64)
