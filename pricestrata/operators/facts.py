@@ -35,11 +35,24 @@ def first_arrivals(batch: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def classify_append(batch: DataFrame, store: DataFrame) -> DataFrame:
+def days_of(batch: DataFrame, column: str = "observed_date") -> list:
+    """The distinct storage days of a batch: as few as the days it covers."""
+    rows = batch.select(column).where(F.col(column).isNotNull()).distinct().collect()
+    return sorted(r[0] for r in rows)
+
+
+def on_days(store: DataFrame, days: list, column: str = "observed_date") -> DataFrame:
+    """The store on given days, as a literal filter that prunes partitions at the scan."""
+    return store.where(F.col(column).isin(days)) if days else store.where(F.lit(False))
+
+
+def classify_append(batch: DataFrame, store: DataFrame, days: list | None = None) -> DataFrame:
     """One row per distinct key of the batch with its outcome INSERT, REPEAT or CONFLICT.
 
-    The date is part of the join key, so only the store partitions the batch touches are read.
+    Only the days of the batch are read from the store. They are taken from the batch, which
+    should be a written table; a caller that knows them gives ``days``.
     """
+    store = on_days(store, days_of(batch) if days is None else days)
     key = ["observed_date", "observation_key"]
     names = [c for c in batch.columns if c not in key]
     arrivals = batch.groupBy(*key).agg(
@@ -64,9 +77,9 @@ def classify_append(batch: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
-def new_facts(batch: DataFrame, store: DataFrame) -> DataFrame:
+def new_facts(batch: DataFrame, store: DataFrame, days: list | None = None) -> DataFrame:
     return (
-        classify_append(batch, store)
+        classify_append(batch, store, days)
         .where(F.col("outcome") == "INSERT")
         .drop("outcome", "deliveries")
     )
@@ -148,12 +161,49 @@ def rebuild_current(facts: DataFrame) -> DataFrame:
     )
 
 
-def advance_current(pointers: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Move pointers with newly accepted facts; a late fact never moves one back."""
-    return newest(
-        pointers.select(*POINTER).unionByName(accepted.select(*POINTER)),
-        REGION,
-        [F.col("observed_at"), F.col("ingest_seq")],
+def _links(df: DataFrame) -> DataFrame:
+    """Pointer columns with the key a fact is linked by and the key it supersedes."""
+    base = F.col("base_key") if "base_key" in df.columns else F.col("observation_key")
+    link = F.col("supersedes_key") if "supersedes_key" in df.columns else F.lit(None)
+    return df.select(*POINTER, base.alias("_base"), link.cast("string").alias("_supersedes"))
+
+
+def advance_current(
+    pointers: DataFrame, accepted: DataFrame, revisions: DataFrame | None = None
+) -> DataFrame:
+    """Move pointers with newly accepted facts.
+
+    A pointer moves to a later fact, or to one of its own time that supersedes the fact it is
+    on; any other fact of the same time, and every earlier one, leaves it. Without a pointer
+    the first arrival of the latest time opens it. With ``revisions`` (listing_id, revision_id)
+    only facts of the current revision count.
+
+    Facts are grouped per instant first, then the latest instant of each region is taken: what is
+    gathered is one instant of one listing and region, as long as its chain of corrections.
+    """
+    if revisions is not None:
+        accepted = accepted.join(revisions, ["listing_id", "revision_id"], "left_semi")
+    rows = (
+        _links(pointers).withColumn("_new", F.lit(0))
+        .unionByName(_links(accepted).withColumn("_new", F.lit(1)))
+        # The pointer's own fact may come again; it is no successor of itself.
+        .dropDuplicates([*REGION, "observed_at", "_new", "_base", "ingest_seq"])
+    )
+    rest = [x for x in POINTER if x not in [*REGION, "observed_at"]]
+    fact = F.struct("_new", "ingest_seq", "_base", "_supersedes", F.struct(*rest).alias("row"))
+    instants = rows.groupBy(*REGION, "observed_at").agg(
+        F.array_sort(F.collect_list(fact)).alias("facts")
+    )
+    latest = instants.groupBy(*REGION).agg(
+        F.max("observed_at").alias("observed_at"), F.max_by("facts", "observed_at").alias("facts")
+    )
+    tip = F.aggregate(
+        F.slice("facts", 2, F.size("facts")),
+        F.element_at("facts", 1),
+        lambda at, x: F.when(x["_supersedes"] == at["_base"], x).otherwise(at),
+    )
+    return latest.withColumn("tip", tip).select(
+        *[F.col(x) if x in [*REGION, "observed_at"] else F.col("tip.row")[x].alias(x) for x in POINTER]
     )
 
 

@@ -21,16 +21,27 @@ def point_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind.frame(spark, sf_dir, "points", {"events": events})
 
 
+def late_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """All events in three deliveries: the last days first, the first days last, then a part of
+    each again; every delivery is a micro-batch or more."""
+    events = table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    for part in (day > 20, day <= 10, ((day > 10) & (day <= 20)) | (c("event_id") % 5 == 0)):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = ops.events_stream(spark, f"{root}/events", "*.parquet", events.schema, 1)
+    return bind.frame(spark, sf_dir, "points", {"events": stream})
+
+
 @query(
     "stream_ingest",
     "STR-01",
     ctes("points") + "SELECT ingest_seq, observation_key, observed_date FROM points",
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh observation is delivered twice; the table holds each one once."""
+    """Deliveries come late and twice, and some rows twice in one; the table holds each once."""
     root = shared_folder(spark, "stream-ingest")
     copies = F.when(c("ingest_seq") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    delivered = point_stream(spark, sf_dir).withColumn("copy", F.explode(copies)).drop("copy")
+    delivered = late_stream(spark, sf_dir, root).withColumn("copy", F.explode(copies)).drop("copy")
     ops.ingest(delivered, root).awaitTermination()
     return spark.read.parquet(f"{root}/facts").select("ingest_seq", "observation_key", "observed_date")
 
@@ -45,7 +56,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-current")
-    running = ops.follow_current(point_stream(spark, sf_dir), root)
+    running = ops.follow_current(late_stream(spark, sf_dir, root), root)
     running.awaitTermination()
     version = running.lastProgress["batchId"]
     return spark.read.parquet(f"{root}/current/v={version}").select(
@@ -53,12 +64,44 @@ def stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("stream_change_hold", "STR-03")
+@query(
+    "stream_change_hold",
+    "STR-03",
+    ctes("points").replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, p AS (SELECT listing_id, region_scope, region_code, ingest_seq, observed_at AS tm,
+             CAST(current_price * 100 AS BIGINT) AS cents, row_number() OVER (
+               PARTITION BY listing_id, region_scope, region_code ORDER BY observed_at, ingest_seq) AS n
+           FROM points WHERE quality_status = 'ACCEPTED' AND current_price IS NOT NULL),
+         s AS (SELECT listing_id, region_scope, region_code, n, cents AS last_cents, tm AS last_at,
+             CAST(NULL AS BIGINT) AS held_cents, CAST(NULL AS TIMESTAMP) AS held_at, CAST(NULL AS BIGINT) AS held_seq,
+             CAST(NULL AS BIGINT) AS gone_seq, CAST(NULL AS VARCHAR) AS gone, ingest_seq, 'TRUSTED' AS verdict
+           FROM p WHERE n = 1
+           UNION ALL
+           SELECT listing_id, region_scope, region_code, n,
+             CASE WHEN v = 'TRUSTED' THEN cents ELSE last_cents END, CASE WHEN v = 'TRUSTED' THEN tm ELSE last_at END,
+             CASE v WHEN 'HELD' THEN cents WHEN 'HISTORY' THEN held_cents END,
+             CASE v WHEN 'HELD' THEN tm WHEN 'HISTORY' THEN held_at END,
+             CASE v WHEN 'HELD' THEN ingest_seq WHEN 'HISTORY' THEN held_seq END,
+             CASE WHEN v <> 'HISTORY' THEN held_seq END,
+             CASE WHEN v = 'TRUSTED' AND jump AND NOT stale THEN 'CONFIRMED' ELSE 'PRICE_CHANGE_UNCONFIRMED' END,
+             ingest_seq, v
+           FROM (SELECT *, CASE WHEN tm <= last_at THEN 'HISTORY'
+                   WHEN jump AND (held_seq IS NULL OR stale OR held_cents <> cents OR tm <= held_at) THEN 'HELD'
+                   ELSE 'TRUSTED' END AS v
+             FROM (SELECT p.*, s.last_cents, s.last_at, s.held_cents, s.held_at, s.held_seq,
+                 abs(p.cents - s.last_cents) * 10 > 3 * s.last_cents AS jump,
+                 coalesce(p.tm > s.held_at + INTERVAL 1 DAY, false) AS stale
+               FROM s JOIN p ON p.listing_id = s.listing_id AND p.region_scope = s.region_scope
+                 AND p.region_code = s.region_code AND p.n = s.n + 1) x) y)
+         SELECT a.listing_id, a.region_scope, a.region_code, a.ingest_seq, coalesce(b.gone, a.verdict) AS verdict
+         FROM s a LEFT JOIN s b ON b.gone_seq = a.ingest_seq AND b.listing_id = a.listing_id
+           AND b.region_scope = a.region_scope AND b.region_code = a.region_code""",
+)
 def stream_change_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-hold")
     held = ops.hold_changes(point_stream(spark, sf_dir))
     ops.write_stream(held, root, "verdicts").awaitTermination()
-    return spark.read.schema(ops.HOLD_OUTPUT).parquet(f"{root}/verdicts")
+    return ops.settled(spark.read.schema(ops.HOLD_OUTPUT).parquet(f"{root}/verdicts"))
 
 
 @query(
@@ -66,7 +109,8 @@ def stream_change_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     "STR-04",
     ctes("runs", "sightings", extra=_STREAKS)
     + """SELECT channel, product_id, CAST(run_no AS INT) AS run_no,
-           CAST(run_no - lag(run_no) OVER (PARTITION BY channel, product_id ORDER BY run_no) - 1 AS INT) AS misses_before FROM seen""",
+           CAST(run_no - lag(run_no) OVER (PARTITION BY channel, product_id ORDER BY run_no) - 1 AS INT) AS misses_before,
+           false AS late FROM seen""",
 )
 def stream_miss_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-misses")

@@ -30,6 +30,7 @@ def build(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "8g"),
         "spark.ui.enabled": "false",
+        "spark.pricestrata.spread": str(partitions),
         "spark.ui.showConsoleProgress": "false",
         **(extra or {}),
     }
@@ -44,13 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores when the scan has fewer splits than cores.
+    """Deal rows out before CPU-heavy row work, where the session asks for it.
 
-    For CPU-heavy row work over a small or badly split input; an input with enough splits, as
-    on a cluster, is left alone and pays no shuffle.
+    ``spark.pricestrata.spread`` is the number of parts; unset, as on a cluster whose inputs
+    are well split, rows stay where the scan put them. Nothing is decided by size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.sparkSession.conf.get("spark.pricestrata.spread", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -62,6 +63,12 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="pricestrata-")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; any other trouble with it is an error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's spark.checkpoint.dir; a local one only where unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

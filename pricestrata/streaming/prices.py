@@ -7,42 +7,35 @@ a batch that is run again after a failure overwrites its own output and nothing
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 from decimal import Decimal
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pricestrata.operators.facts import POINTER, advance_current
+from pricestrata.operators.facts import POINTER, advance_current, days_of, first_arrivals, on_days
+from pricestrata.session import path_exists
 
 c = F.col
 
 
-def events_stream(spark: SparkSession, folder: str, pattern: str, schema) -> DataFrame:
-    """Parquet files of a folder as a stream, one file per trigger."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-    )
-
-
-def timed(stream: DataFrame, column: str, delay: str) -> DataFrame:
-    """Event time as TIMESTAMP under a UTC session; watermarks do not take TIMESTAMP_NTZ."""
-    return stream.withColumn("event_time", c(column).cast("timestamp")).withWatermark(
-        "event_time", delay
-    )
+def events_stream(
+    spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Parquet files of a folder as a stream; the caller may bound the files of a micro-batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(folder)
 
 
 def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    try:
-        return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(path)
 
 
 def _start(
@@ -56,29 +49,33 @@ def _start(
     )
 
 
-def ingest(stream: DataFrame, root: str, delay: str = "2 days") -> StreamingQuery:
-    """Append each observation once.
+def ingest(stream: DataFrame, root: str) -> StreamingQuery:
+    """Append each observation once, however late it comes.
 
-    Repeats inside the watermark are dropped by state; older repeats meet the stored keys of
-    their own days only, because the day is part of the join.
+    There is no watermark on this path: every batch is reduced to the first arrival per key and
+    compared with the stored keys of its own days, read by a literal day filter.
     """
-    unique = timed(stream, "observed_at", delay).dropDuplicatesWithinWatermark(["observation_key"])
-    facts = unique.drop("event_time")
     path = f"{root}/facts"
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         key = ["observed_date", "observation_key"]
-        known = _stored(spark, path, batch.withColumn("batch_id", F.lit(0).cast("bigint")))
-        earlier = known.where(c("batch_id") < batch_id).select(*key)
-        fresh = batch.join(earlier, key, "left_anti").dropDuplicates(["observation_key"])
-        (
-            fresh.write.mode("overwrite")
-            .partitionBy("observed_date")
-            .parquet(f"{path}/batch_id={batch_id}")
-        )
+        batch.persist()
+        try:
+            known = _stored(spark, path, batch.withColumn("batch_id", F.lit(0).cast("bigint")))
+            # A batch that runs again must not see what its first run wrote.
+            earlier = on_days(known.where(c("batch_id") < batch_id), days_of(batch)).select(*key)
+            (
+                first_arrivals(batch, key)
+                .join(earlier, key, "left_anti")
+                .write.mode("overwrite")
+                .partitionBy("observed_date")
+                .parquet(f"{path}/batch_id={batch_id}")
+            )
+        finally:
+            batch.unpersist()
 
-    return _start(facts, append, root, "ingest")
+    return _start(stream, append, root, "ingest")
 
 
 def pointer_version(spark: SparkSession, root: str, before: int, like: DataFrame) -> DataFrame:
@@ -131,19 +128,23 @@ def route(stream: DataFrame, root: str) -> StreamingQuery:
     return _start(stream, split, root, "route")
 
 
-HOLD_OUTPUT = "listing_id string, region_code string, ingest_seq bigint, verdict string"
+HOLD_OUTPUT = (
+    "listing_id string, region_scope string, region_code string, ingest_seq bigint, verdict string"
+)
 HOLD_STATE = "last_cents bigint, last_at timestamp, held_cents bigint, held_at timestamp, held_seq bigint"
 
 
-def hold_changes(
-    stream: DataFrame, threshold: str = "0.30", wait_ms: int = 86_400_000, delay: str = "1 hour"
-) -> DataFrame:
+def hold_changes(stream: DataFrame, threshold: str = "0.30", wait_ms: int = 86_400_000) -> DataFrame:
     """Hold a large change until a later capture repeats its price, else send it to review.
 
-    State per listing and region: the last trusted price and at most one held price. A held
-    price not repeated within ``wait_ms`` of event time leaves as PRICE_CHANGE_UNCONFIRMED.
+    State per listing and region: the last trusted price and at most one held price. Every row
+    gets a verdict at once: TRUSTED, HISTORY (not after the last trusted time) or HELD. A held
+    row gets a second one when it is settled: CONFIRMED by a repeat, PRICE_CHANGE_UNCONFIRMED by
+    another price or by a capture more than ``wait_ms`` later. ``settled`` keeps the last one.
+
+    The rows of a key in a micro-batch are put in time order as a whole before they are judged.
     """
-    limit = Decimal(threshold)
+    limit, wait = Decimal(threshold), timedelta(milliseconds=wait_ms)
 
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
@@ -152,82 +153,86 @@ def hold_changes(
             state.get if state.exists else (None, None, None, None, None)
         )
         out: list[tuple[int, str]] = []
-        if state.hasTimedOut:
-            if held_seq is not None:
+        rows = pd.concat(list(frames)).sort_values(["event_time", "ingest_seq"])
+        for stamp, price, number in zip(rows["event_time"], rows["cents"], rows["ingest_seq"], strict=True):
+            at, cents, seq = stamp.to_pydatetime(), int(price), int(number)
+            if last_at is not None and at <= last_at:
+                out.append((seq, "HISTORY"))
+                continue
+            if held_seq is not None and at - held_at > wait:
                 out.append((held_seq, "PRICE_CHANGE_UNCONFIRMED"))
-            held_cents = held_at = held_seq = None
-        for frame in frames:
-            for row in frame.sort_values(["event_time", "ingest_seq"]).itertuples(index=False):
-                at, cents, seq = row.event_time.to_pydatetime(), int(row.cents), int(row.ingest_seq)
-                if last_at is not None and at <= last_at:
-                    out.append((seq, "HISTORY"))
-                    continue
-                jump = last_cents is not None and abs(cents - last_cents) > limit * last_cents
-                if jump and (held_cents != cents or at <= held_at):
-                    if held_seq is not None:
-                        out.append((held_seq, "PRICE_CHANGE_UNCONFIRMED"))
-                    held_cents, held_at, held_seq = cents, at, seq
-                    continue
+                held_cents = held_at = held_seq = None
+            jump = last_cents is not None and abs(cents - last_cents) > limit * last_cents
+            if jump and (held_seq is None or held_cents != cents or at <= held_at):
                 if held_seq is not None:
-                    out.append((held_seq, "CONFIRMED" if jump else "PRICE_CHANGE_UNCONFIRMED"))
-                    held_cents = held_at = held_seq = None
-                out.append((seq, "TRUSTED"))
-                last_cents, last_at = cents, at
+                    out.append((held_seq, "PRICE_CHANGE_UNCONFIRMED"))
+                held_cents, held_at, held_seq = cents, at, seq
+                out.append((seq, "HELD"))
+                continue
+            if held_seq is not None:
+                out.append((held_seq, "CONFIRMED" if jump else "PRICE_CHANGE_UNCONFIRMED"))
+                held_cents = held_at = held_seq = None
+            out.append((seq, "TRUSTED"))
+            last_cents, last_at = cents, at
         state.update((last_cents, last_at, held_cents, held_at, held_seq))
-        if held_at is not None:
-            due = int(held_at.timestamp() * 1000) + wait_ms
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             {
                 "listing_id": key[0],
-                "region_code": key[1],
+                "region_scope": key[1],
+                "region_code": key[2],
                 "ingest_seq": pd.Series([s for s, _ in out], dtype="int64"),
                 "verdict": pd.Series([v for _, v in out], dtype="str"),
             }
         )
 
-    priced = timed(stream, "observed_at", delay).where(
-        (c("quality_status") == "ACCEPTED") & c("current_price").isNotNull()
-    )
+    priced = stream.where((c("quality_status") == "ACCEPTED") & c("current_price").isNotNull())
     return (
-        priced.withColumn("cents", (c("current_price") * 100).cast("bigint"))
-        .select("listing_id", "region_code", "ingest_seq", "event_time", "cents")
-        .groupBy("listing_id", "region_code")
-        .applyInPandasWithState(
-            step, HOLD_OUTPUT, HOLD_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        priced.select(
+            "listing_id", "region_scope", "region_code", "ingest_seq",
+            c("observed_at").cast("timestamp").alias("event_time"),
+            (c("current_price") * 100).cast("bigint").alias("cents"),
         )
+        .groupBy("listing_id", "region_scope", "region_code")
+        .applyInPandasWithState(step, HOLD_OUTPUT, HOLD_STATE, "append", GroupStateTimeout.NoTimeout)
     )
 
 
-MISS_OUTPUT = "channel string, product_id string, run_no int, misses_before int"
+def settled(verdicts: DataFrame) -> DataFrame:
+    """The last verdict of every row: a row is HELD only while nothing has settled it."""
+    key = ["listing_id", "region_scope", "region_code", "ingest_seq"]
+    return verdicts.groupBy(*key).agg(F.max_by("verdict", c("verdict") != "HELD").alias("verdict"))
+
+
+MISS_OUTPUT = "channel string, product_id string, run_no int, misses_before int, late boolean"
 
 
 def count_misses(sightings: DataFrame) -> DataFrame:
     """Runs missed before every sighting of a product; state is its last run number.
 
     ``sightings`` carries the number of the complete run; absences need no rows of their own.
+    A run before the last one seen is reported as late, without a count; a repeat of the last one is dropped.
     """
 
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
-        for frame in frames:
-            runs = sorted({int(n) for n in frame["run_no"]})
-            fresh = [n for n in runs if last is None or n > last]
-            before = [None if last is None else last, *fresh[:-1]] if fresh else []
-            misses = [None if b is None else n - b - 1 for n, b in zip(fresh, before, strict=True)]
-            if fresh:
-                last = fresh[-1]
-                state.update((last,))
-            yield pd.DataFrame(
-                {
-                    "channel": key[0],
-                    "product_id": key[1],
-                    "run_no": pd.Series(fresh, dtype="int32"),
-                    "misses_before": pd.Series(misses, dtype="Int32"),
-                }
-            )
+        runs = sorted({int(n) for frame in frames for n in frame["run_no"]})
+        late = [n for n in runs if last is not None and n < last]
+        fresh = [n for n in runs if last is None or n > last]
+        before = [last, *fresh[:-1]] if fresh else []
+        misses = [None if b is None else n - b - 1 for n, b in zip(fresh, before, strict=True)]
+        if fresh:
+            state.update((fresh[-1],))
+        yield pd.DataFrame(
+            {
+                "channel": key[0],
+                "product_id": key[1],
+                "run_no": pd.Series([*late, *fresh], dtype="int32"),
+                "misses_before": pd.Series([*[None] * len(late), *misses], dtype="Int32"),
+                "late": pd.Series([*[True] * len(late), *[False] * len(fresh)], dtype="bool"),
+            }
+        )
 
     return (
         sightings.select("channel", "product_id", "run_no")

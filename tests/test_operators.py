@@ -137,7 +137,7 @@ def brute_hold(rows, limit=Decimal("0.30")):
             else:
                 if held:
                     out[held[0]] = "PRICE_CHANGE_UNCONFIRMED"
-                held = (seq, at, cents)
+                held, out[seq] = (seq, at, cents), "HELD"
         else:
             if held:
                 out[held[0]] = "PRICE_CHANGE_UNCONFIRMED"
@@ -157,18 +157,19 @@ def test_stream_hold_equals_brute_force(spark, tmp_path):
             price = rng.choice([1000, 1000, 1100, 2000, 2000, 700])
             at = T0 + timedelta(hours=n)
             series.append((seq, at, price))
-            data.append((f"L{listing}", "CN", seq, at, Decimal(price) / 100, "ACCEPTED"))
+            data.append((f"L{listing}", "NATIONAL", "CN", seq, at, Decimal(price) / 100, "ACCEPTED"))
         want.update(brute_hold(series))
-    schema = "listing_id string, region_code string, ingest_seq bigint, observed_at timestamp_ntz, current_price decimal(18,2), quality_status string"
+    schema = "listing_id string, region_scope string, region_code string, ingest_seq bigint, observed_at timestamp_ntz, current_price decimal(18,2), quality_status string"
     df = spark.createDataFrame(data, schema)
     for part in range(2):
         half = df.where((c("ingest_seq") % 100 < 15) if part == 0 else (c("ingest_seq") % 100 >= 15))
         half.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema)
+    stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema, 1)
     held = prices.hold_changes(stream, wait_ms=10**12)
     prices.write_stream(held, str(tmp_path), "verdicts").awaitTermination()
-    got = {r["ingest_seq"]: r["verdict"] for r in spark.read.parquet(str(tmp_path / "verdicts")).collect()}
-    assert got == want
+    verdicts = prices.settled(spark.read.parquet(str(tmp_path / "verdicts")))
+    got = {r["ingest_seq"]: r["verdict"] for r in verdicts.collect()}
+    assert got == want and len(got) == len(data)
 
 
 def test_stream_ingest_and_pointer_over_late_batches(spark, tmp_path):
@@ -176,8 +177,8 @@ def test_stream_ingest_and_pointer_over_late_batches(spark, tmp_path):
     early, late = rows.where("observed_date >= DATE '2024-01-15'"), rows.where("observed_date < DATE '2024-01-15'")
     for part in (early, late, early.limit(40)):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", rows.schema)
-    prices.ingest(stream, str(tmp_path / "a"), delay="60 days").awaitTermination()
+    stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", rows.schema, 1)
+    prices.ingest(stream, str(tmp_path / "a")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "a/facts")).count() == rows.count()
     running = prices.follow_current(stream, str(tmp_path / "b"))
     running.awaitTermination()
@@ -188,6 +189,79 @@ def test_stream_ingest_and_pointer_over_late_batches(spark, tmp_path):
     same(current.select(*key, "observation_key"), newest.select(*key, "observation_key"))
 
 
+def test_late_runs_are_reported(spark, tmp_path):
+    for part in ([1, 4], [3], [4, 6]):
+        rows = [("C", "P", n) for n in part]
+        df = spark.createDataFrame(rows, "channel string, product_id string, run_no int")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema, 1)
+    prices.write_stream(prices.count_misses(stream), str(tmp_path), "misses").awaitTermination()
+    got = spark.read.schema(prices.MISS_OUTPUT).parquet(str(tmp_path / "misses")).collect()
+    assert {(r["run_no"], r["misses_before"], r["late"]) for r in got} == {
+        (1, None, False), (4, 2, False), (3, None, True), (6, 1, False),
+    }
+
+
+def test_pointer_moves_only_to_a_successor_of_its_time(spark):
+    schema = (
+        "listing_id string, region_scope string, region_code string, revision_id string, observation_key string, "
+        "current_price int, availability string, observed_at timestamp_ntz, ingest_seq bigint, supersedes_key string"
+    )
+
+    def facts_of(*rows):
+        made = [("L", "S", "R", rev, key, 1, "ON_SALE", T0 + timedelta(hours=h), seq, up) for key, rev, h, seq, up in rows]
+        return spark.createDataFrame(made, schema)
+
+    def tip(pointers, new, revisions=None):
+        return facts.advance_current(pointers, new, revisions).first()["observation_key"]
+
+    at = facts_of(("k1", "r1", 0, 1, None))
+    assert tip(at, facts_of(("k2", "r1", 0, 2, None))) == "k1"
+    assert tip(at, facts_of(("k2", "r1", 0, 2, "k1"), ("k3", "r1", 0, 3, "k2"), ("k4", "r1", 0, 4, "k1"))) == "k3"
+    assert tip(at, facts_of(("k0", "r1", -1, 9, "k1"))) == "k1"
+    assert tip(at, facts_of(("k5", "r1", 1, 5, None), ("k6", "r1", 1, 6, None))) == "k5"
+    assert tip(at, at) == "k1"
+    now = spark.createDataFrame([("L", "r1")], "listing_id string, revision_id string")
+    assert tip(at, facts_of(("k7", "r0", 2, 7, None)), now) == "k1"
+
+
+def test_append_reads_only_the_days_of_the_batch(spark, tmp_path):
+    rows = _points(spark).withColumn("payload_hash", c("source_hash"))
+    rows.write.partitionBy("observed_date").parquet(str(tmp_path / "store"))
+    store = spark.read.parquet(str(tmp_path / "store"))
+    batch = rows.where("observed_date = DATE '2024-01-09'")
+    plan = facts.classify_append(batch, store)._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "FileScan" in x and "stored" not in x and "observed_date#" in x.split("PartitionFilters")[1])
+    assert "PartitionFilters: [" in scan and "observed_date#" in scan.split("PartitionFilters")[1].split("]")[0]
+    assert facts.classify_append(batch, store).where("outcome <> 'REPEAT'").count() == 0
+
+
+def test_carries_meet_null_keys(spark):
+    rows = [(None, 1, 5), (None, 2, 6), (None, 11, 7), ("a", 3, 8), ("a", 12, 9)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    bucket = F.floor(c("t") / 10)
+    for run, want in (
+        (ordered.with_previous, {1: None, 2: 5, 11: 6, 3: None, 12: 8}),
+        (ordered.with_next, {1: 6, 2: 7, 11: None, 3: 9, 12: None}),
+        (ordered.running, {1: 5, 2: 11, 11: 18, 3: 8, 12: 17}),
+        (ordered.carry_forward, {1: 5, 2: 6, 11: 7, 3: 8, 12: 9}),
+    ):
+        got = run(df, ["k"], ["t"], c("v"), bucket, "o")
+        assert {r["t"]: r["o"] for r in got.collect()} == want, run
+
+
+def test_links_resolve_dot_segments(spark):
+    from urllib.parse import urljoin
+
+    base = "https://h.cn/a/b/c.html?x=1"
+    links = ["./d", "../d?y=../z", "../../e/", "../../../f", "d/./e/../g", "/p/./q/../r", "..", ".", "d", "?z=1", "/a.b/..c/d..", "d/.."]
+    df = spark.createDataFrame([(x,) for x in links], "href string")
+    from pricestrata.functions.urls import absolute
+
+    got = {r["href"]: r["u"] for r in df.select("href", absolute(F.lit(base), c("href")).alias("u")).collect()}
+    assert got == {x: urljoin(base, x) for x in links}
+
+
 SF = "/root/testdata/sf0.001"
 BREAK = {
     "current_pointer_mismatch": ("current", lambda d: d.withColumn("region_code", F.lit("ZZ"))),
