@@ -8,6 +8,65 @@ from pyspark.sql import functions as F
 from pricestrata.operators.ordered import carry_forward, newest, running, time_bucket
 
 
+def record_chain(
+    records: DataFrame, runs: DataFrame, channels: DataFrame, run: Column, channel: Column
+) -> DataFrame:
+    """Evidence records with the run that made them and the channel of the run."""
+    return records.join(runs, run).join(channels, channel)
+
+
+def star(
+    facts: DataFrame,
+    dimensions: list[tuple[DataFrame, Column]],
+    optional: list[tuple[DataFrame, Column]],
+) -> DataFrame:
+    """Facts with their dimensions; an optional one may be missing and keeps the fact.
+
+    Optional dimensions must have one row per key, so that no fact is multiplied.
+    """
+    out = facts
+    for table, on in dimensions:
+        out = out.join(table, on)
+    for table, on in optional:
+        out = out.join(table, on, "left")
+    return out
+
+
+def same_values(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``left`` whose columns equal a row of ``right``; two NULLs are equal."""
+    named = right.select(*[F.col(x).alias(f"__r_{x}") for x in columns])
+    if how in ("left_semi", "left_anti"):
+        named = named.distinct()
+    same = F.lit(True)
+    for x in columns:
+        same = same & F.col(x).eqNullSafe(F.col(f"__r_{x}"))
+    return left.join(named, same, how)
+
+
+def one_shape(products: DataFrame, documents: DataFrame, kind: str = "kind") -> DataFrame:
+    """Product rows and document rows as one table; columns of the other side are NULL."""
+    return products.withColumn(kind, F.lit("product")).unionByName(
+        documents.withColumn(kind, F.lit("document")), allowMissingColumns=True
+    )
+
+
+def capped(
+    rows: DataFrame, run: list[str], order: list[str], size: int, bucket: Column
+) -> DataFrame:
+    """Every row with its place in discovery order and whether it lies beyond the cap.
+
+    ``size`` is how many products a run takes. Places are counted in buckets of the order, so
+    one run with a third of the rows is not ordered in one task. ``order`` must be unique in a run.
+    """
+    placed = running(rows, run, order, F.lit(1), bucket, "place")
+    return placed.withColumn("beyond_cap", F.col("place") > size)
+
+
+def facts_of_records(facts: DataFrame, record: list[str], order: list[str]) -> DataFrame:
+    """Facts in the order of their records, then of their ids; a range sort over all tasks."""
+    return facts.orderBy(*record, *order)
+
+
 def as_of(
     targets: DataFrame,
     facts: DataFrame,

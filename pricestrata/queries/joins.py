@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricestrata import bind
@@ -28,11 +28,10 @@ def record_run_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = bind.frame(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     runs = bind.frame(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     channels = bind.frame(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return (
-        records.join(runs, c("l_orderkey") == c("o_orderkey"))
-        .join(channels, c("o_custkey") == c("c_custkey"))
-        .select("l_orderkey", "l_linenumber", "l_partkey", "o_orderstatus", "c_mktsegment")
+    joined = ops.record_chain(
+        records, runs, channels, c("l_orderkey") == c("o_orderkey"), c("o_custkey") == c("c_custkey")
     )
+    return joined.select("l_orderkey", "l_linenumber", "l_partkey", "o_orderstatus", "c_mktsegment")
 
 
 @query(
@@ -50,16 +49,20 @@ def star_with_optional_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: bind.frame(spark, sf_dir, n) for n in (
         "lineitem", "orders", "customer", "nation", "region", "part", "supplier", "labels")}
     optional = t["labels"].groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    joined = ops.star(
+        t["lineitem"],
+        [
+            (t["orders"], c("o_orderkey") == c("l_orderkey")),
+            (t["customer"], c("c_custkey") == c("o_custkey")),
+            (t["nation"], c("n_nationkey") == c("c_nationkey")),
+            (t["region"], c("r_regionkey") == c("n_regionkey")),
+            (t["part"], c("p_partkey") == c("l_partkey")),
+            (t["supplier"], c("s_suppkey") == c("l_suppkey")),
+        ],
+        [(optional, c("doc_id") == c("l_partkey"))],
+    )
     return (
-        t["lineitem"]
-        .join(t["orders"], c("o_orderkey") == c("l_orderkey"))
-        .join(t["customer"], c("c_custkey") == c("o_custkey"))
-        .join(t["nation"], c("n_nationkey") == c("c_nationkey"))
-        .join(t["region"], c("r_regionkey") == c("n_regionkey"))
-        .join(t["part"], c("p_partkey") == c("l_partkey"))
-        .join(t["supplier"], c("s_suppkey") == c("l_suppkey"))
-        .join(optional, c("doc_id") == c("l_partkey"), "left")
-        .groupBy("r_name", "p_type", c("quality").isNotNull().alias("has_label"))
+        joined.groupBy("r_name", "p_type", c("quality").isNotNull().alias("has_label"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.sum(c("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("amount"),
@@ -202,11 +205,8 @@ def outdated_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_safe_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = bind.frame(spark, sf_dir, "points")
     left = points.groupBy("rejection_code", "original_price").agg(F.count(F.lit(1)).alias("rows"))
-    right = points.where("quality_status != 'ACCEPTED'").select("rejection_code", "original_price").distinct()
-    same = left["rejection_code"].eqNullSafe(right["rejection_code"]) & left[
-        "original_price"
-    ].eqNullSafe(right["original_price"])
-    return left.join(right, same, "left_semi")
+    right = points.where("quality_status != 'ACCEPTED'")
+    return ops.same_values(left, right, ["rejection_code", "original_price"])
 
 
 _NAMES = [r[2] for r in vocab.CITY_COMMODITIES]
@@ -295,15 +295,15 @@ def sku_set_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def row_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = bind.frame(spark, sf_dir, "lineitem").select(
-        F.lit("product").alias("kind"), c("l_partkey").cast("string").alias("sku_id"),
+        c("l_partkey").cast("string").alias("sku_id"),
         c("l_extendedprice").cast("decimal(18,2)").alias("price"),
     )
     documents = bind.frame(spark, sf_dir, "events").select(
-        F.lit("document").alias("kind"), c("event_type").alias("dataset_key"),
+        c("event_type").alias("dataset_key"),
         c("value").cast("decimal(18,2)").alias("price"),
     )
     return (
-        products.unionByName(documents, allowMissingColumns=True)
+        ops.one_shape(products, documents)
         .groupBy("kind")
         .agg(
             F.count(F.lit(1)).alias("rows"), F.count("sku_id").alias("with_sku"),
@@ -329,17 +329,22 @@ def price_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "capped_products",
     "ORD-02",
-    ctes("sightings")
-    + """SELECT channel, run_at, product_id FROM sightings
-         QUALIFY row_number() OVER (PARTITION BY channel, run_at ORDER BY product_id) <= 5""",
+    ctes("points")
+    + """SELECT channel, observed_date AS run_at, product_id, first_seq, row_number() OVER w AS place,
+           row_number() OVER w > 5 AS beyond_cap
+         FROM (SELECT channel, observed_date, product_id, min(ingest_seq) AS first_seq FROM points
+               WHERE k % 4 = 1 GROUP BY ALL) WINDOW w AS (PARTITION BY channel, observed_date ORDER BY first_seq)""",
 )
 def capped_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("channel", "run_at").orderBy("product_id")
-    return (
-        bind.frame(spark, sf_dir, "sightings")
-        .withColumn("position", F.row_number().over(order))
-        .where("position <= 5")
-        .drop("position")
+    """Products of a run in the order in which they were found; five are taken, all are kept."""
+    found = (
+        bind.frame(spark, sf_dir, "points")
+        .where("k % 4 = 1")
+        .groupBy("channel", c("observed_date").alias("run_at"), "product_id")
+        .agg(F.min("ingest_seq").alias("first_seq"))
+    )
+    return ops.capped(found, ["channel", "run_at"], ["first_seq"], 5, F.floor(c("first_seq") / 1000)).select(
+        "channel", "run_at", "product_id", "first_seq", c("place").cast("bigint").alias("place"), "beyond_cap"
     )
 
 
@@ -365,11 +370,10 @@ def numeric_order(spark: SparkSession, sf_dir: str) -> DataFrame:
          ORDER BY product_id, observed_date, ingest_seq""",
 )
 def facts_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        bind.frame(spark, sf_dir, "points")
-        .select("product_id", "observed_date", "ingest_seq", "quality_status")
-        .orderBy("product_id", "observed_date", "ingest_seq")
+    rows = bind.frame(spark, sf_dir, "points").select(
+        "product_id", "observed_date", "ingest_seq", "quality_status"
     )
+    return ops.facts_of_records(rows, ["product_id", "observed_date"], ["ingest_seq"])
 
 
 @query(
