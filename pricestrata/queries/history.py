@@ -9,9 +9,12 @@ from pricestrata import bind
 from pricestrata.bind import ctes
 from pricestrata.operators import facts as ops
 from pricestrata.operators import quality
+from pricestrata.plans.batch import settle
 from pricestrata.queries import query
 from pricestrata.queries.prices import price_facts
 from pricestrata.queries.sqltext import facts
+from pricestrata.session import shared_folder
+from pricestrata.sources import tables
 
 c = F.col
 CUT = "2024-01-20"
@@ -26,11 +29,17 @@ CUT = "2024-01-20"
                 ELSE 'REPEAT' END AS outcome FROM facts""",
 )
 def append_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table arrives again, partly twice, at a store that already holds its first days."""
-    batch = price_facts(spark, sf_dir)
-    store = batch.where(c("observed_date") < F.lit(CUT).cast("date")).withColumn(
+    """The whole table arrives again, partly twice, at a store that already holds its first days.
+
+    Batch and store are written tables: the batch is derived once, the store lies by day.
+    """
+    batch = settle(price_facts(spark, sf_dir), "append-batch")
+    held = batch.where(c("observed_date") < F.lit(CUT).cast("date")).withColumn(
         "payload_hash", F.when(c("k") % 50 == 13, F.lit("torn")).otherwise(c("payload_hash"))
     )
+    path = shared_folder(spark, "append-store")
+    tables.append_facts(held, path)
+    store = spark.read.schema(held.schema).parquet(path)
     twice = batch.unionByName(batch.where(c("event_id") % 7 == 0))
     return ops.classify_append(twice, store).select(
         "event_id", "observation_key", c("deliveries").cast("int").alias("deliveries"), "outcome"
