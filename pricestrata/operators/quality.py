@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricestrata.functions.identity import multiset_signature
@@ -224,21 +224,15 @@ def market_groups(rows: DataFrame, doc: list[str]) -> DataFrame:
         F.min("market_name").alias("low_name"),
         F.max("market_name").alias("high_name"),
     )
-    faulty = cell.groupBy(*doc).agg(F.bool_or(F.col("n") > 1).alias("repeated_row"))
-    clean = faulty.where(~F.col("repeated_row")).select(*doc)
-    markets = (
-        cell.join(clean, doc, "left_semi")
-        .groupBy(*doc, "market_id")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            (F.min("low_name") != F.max("high_name")).alias("name_conflict"),
-            F.min("low_name").alias("market_name"),
-            F.array_sort(F.collect_list(F.struct("region_code", "price"))).alias("prices"),
-        )
+    markets = cell.groupBy(*doc, "market_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        (F.bool_or(F.col("n") > 1) | (F.min("low_name") != F.max("high_name"))).alias("fault"),
+        F.min("low_name").alias("market_name"),
+        F.array_sort(F.collect_list(F.struct("region_code", "price"))).alias("prices"),
     )
-    renamed = markets.groupBy(*doc).agg(F.bool_or("name_conflict").alias("name_conflict"))
-    good = renamed.where(~F.col("name_conflict")).select(*doc)
-    return markets.join(good, doc, "left_semi").drop("name_conflict")
+    # One row per market of the document is left for this window.
+    whole = F.bool_or("fault").over(Window.partitionBy(*doc))
+    return markets.withColumn("fault", whole).where(~F.col("fault")).drop("fault")
 
 
 def coverage(rows: DataFrame, key: list[str], price: str) -> DataFrame:
