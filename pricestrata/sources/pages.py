@@ -333,28 +333,43 @@ def priced_anchors(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     ) | c("tag").isin("del", "s")
     is_current = klass.rlike(r"(^| )current_price( |\z)")
     dimension = F.regexp_extract(klass, r"(?:^| )dimension([A-Za-z]+)", 1)
-    inner = nodes.select(
-        key, F.when(link, c("node_no")).otherwise(c("up_no")).alias("anchor_no"),
+    none = F.lit(None)
+    # Each node goes into the group of its link and, for its text, into one of its own, so that
+    # the pages are read once.
+    part = F.struct(
+        F.when(link, c("node_no")).otherwise(c("up_no")).alias("anchor_no"),
         F.when(link, c("up_no")).alias("item_no"),
+        none.cast("int").alias("own_no"), none.cast("string").alias("item_text"),
         F.when(link, F.try_element_at("attrs", F.lit("href"))).alias("href"),
         F.when(is_current, F.struct("node_no", t.alias("t"))).alias("current"),
         F.when(is_original, F.struct("node_no", t.alias("t"), "tag", klass.alias("klass"))).alias("original"),
         F.when(dimension != "", F.struct(F.lower(dimension).alias("key"), t.alias("value"))).alias("entry"),
     )
+    whole = F.struct(
+        none.cast("int").alias("anchor_no"), c("node_no").alias("item_no"), c("node_no").alias("own_no"),
+        t.alias("item_text"), none.cast("string").alias("href"),
+        none.cast("struct<node_no:int,t:string>").alias("current"),
+        none.cast("struct<node_no:int,t:string,tag:string,klass:string>").alias("original"),
+        none.cast("struct<key:string,value:string>").alias("entry"),
+    )
     # One group per link: the link itself, its prices and its few dimension labels.
-    parts = inner.groupBy(key, "anchor_no").agg(
+    groups = nodes.select(key, F.inline(F.array(part, whole))).groupBy(key, "anchor_no", "own_no").agg(
         F.max("href").alias("href"),
         F.max("item_no").alias("item_no"),
+        F.max("item_text").alias("own_text"),
         F.min("current").alias("current"),
         F.min("original").alias("original"),
         F.map_from_entries(F.array_sort(F.collect_set("entry"))).alias("dimensions"),
-    ).where(c("href").isNotNull())
-    items = nodes.select(key, c("node_no").alias("item_no"), normalize_text(c("text")).alias("item_text"))
+    )
+    # The links of an item and the item itself: a part of one page.
+    item = F.max("own_text").over(Window.partitionBy(key, "item_no"))
+    parts = groups.withColumn("item_text", F.when(c("item_no").isNotNull(), item)).where(
+        c("href").isNotNull()
+    )
     crossed = c("original.tag").isin("del", "s") | c("original.klass").rlike("previous|strikethrough|crossed")
     part_number = F.regexp_extract(path(c("url")), r"^(.*)/([A-Za-z0-9]+)/[aA]/?\z", 2)
     joined = (
-        parts.join(items, [key, "item_no"], "left")
-        .join(docs.select(key, "page_url"), key)
+        parts.join(docs.select(key, "page_url"), key)
         .withColumn("url", absolute(c("page_url"), c("href")))
         .withColumn("part_number", F.when(
             (F.lower(F.regexp_replace(path(c("url")), r"/[^/]+/[aA]/?\z", "")) == F.lower(path(c("page_url"))))
