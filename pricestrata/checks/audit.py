@@ -126,19 +126,27 @@ def outdated_current_revision(t: Tables) -> DataFrame:
     return per_listing.where(c("current_revision_id").isNull() | late).select("listing_id")
 
 
-def observation_identity_mismatch(t: Tables) -> DataFrame:
+_RECORD = [
+    "record_id", "run_id", "listing_id", "fetch_status", "parse_status", "error_code", "raw_hash",
+    "raw_path", "entity_type", "fetched_at",
+]
+
+
+def _traced(facts: DataFrame, t: Tables) -> DataFrame:
+    """Facts beside their revision (r_), listing (l_), record (e_) and run (n_)."""
     rev = _prefixed(t["revision"], "r", ["revision_id", "listing_id", "quality_status"])
     lst = _prefixed(t["listing"], "l", ["listing_id", "channel_id", "price_nature"])
-    rec = _prefixed(t["record"], "e", ["record_id", "run_id", "listing_id"])
+    rec = _prefixed(t["record"], "e", _RECORD)
     run = _prefixed(t["run"], "n", ["run_id", "channel_id", "region_scope", "region_code"])
-    joined = (
-        t["observation"]
-        .select("observation_id", *REGION, "revision_id", "record_id", "price_nature")
-        .join(rev, c("revision_id") == c("r_revision_id"), "left")
+    return (
+        facts.join(rev, c("revision_id") == c("r_revision_id"), "left")
         .join(lst, c("listing_id") == c("l_listing_id"), "left")
         .join(rec, c("record_id") == c("e_record_id"), "left")
         .join(run, c("e_run_id") == c("n_run_id"), "left")
     )
+
+
+def _misidentified() -> Column:
     absent = (
         c("r_revision_id").isNull()
         | c("l_listing_id").isNull()
@@ -156,7 +164,12 @@ def observation_identity_mismatch(t: Tables) -> DataFrame:
             & ((c("n_region_scope") != c("region_scope")) | (c("n_region_code") != c("region_code")))
         )
     )
-    return joined.where(absent | _bad(unequal)).select("observation_id")
+    return absent | _bad(unequal)
+
+
+def observation_identity_mismatch(t: Tables) -> DataFrame:
+    facts = t["observation"].select("observation_id", *REGION, "revision_id", "record_id", "price_nature")
+    return _traced(facts, t).where(_misidentified()).select("observation_id")
 
 
 def revision_evidence_mismatch(t: Tables) -> DataFrame:
@@ -174,18 +187,7 @@ def revision_evidence_mismatch(t: Tables) -> DataFrame:
     return joined.where(absent | _bad(unequal)).select("revision_id")
 
 
-def untraceable_accepted_observation(t: Tables) -> DataFrame:
-    rec = _prefixed(
-        t["record"], "e",
-        ["record_id", "fetch_status", "parse_status", "error_code", "raw_hash", "raw_path",
-         "entity_type", "fetched_at"],
-    )
-    joined = (
-        t["observation"]
-        .where("quality_status = 'ACCEPTED'")
-        .select("observation_id", "record_id", "source_hash", "observed_at")
-        .join(rec, c("record_id") == c("e_record_id"), "left")
-    )
+def _untraceable() -> Column:
     parsed = (c("e_parse_status") == "SUCCEEDED") | c("e_error_code").eqNullSafe(
         F.lit("OFF_SHELF_CONFIRMED")
     )
@@ -200,7 +202,18 @@ def untraceable_accepted_observation(t: Tables) -> DataFrame:
             & ((c("source_hash") != c("e_raw_hash")) | (c("observed_at") != c("e_fetched_at")))
         )
     )
-    return joined.where(_bad(wrong)).select("observation_id")
+    return _bad(c("quality_status") == "ACCEPTED") & _bad(wrong)
+
+
+def untraceable_accepted_observation(t: Tables) -> DataFrame:
+    rec = _prefixed(t["record"], "e", [x for x in _RECORD if x not in ("run_id", "listing_id")])
+    joined = (
+        t["observation"]
+        .where("quality_status = 'ACCEPTED'")
+        .select("observation_id", "record_id", "source_hash", "observed_at", "quality_status")
+        .join(rec, c("record_id") == c("e_record_id"), "left")
+    )
+    return joined.where(_untraceable()).select("observation_id")
 
 
 def invalid_same_time_correction(t: Tables) -> DataFrame:
@@ -310,15 +323,19 @@ def invalid_batch_terminal_state(t: Tables) -> DataFrame:
     return t["run"].where(_bad(wrong)).select("run_id")
 
 
-def invalid_observation_semantics(t: Tables) -> DataFrame:
-    """NOT of every declared rule; a rule that is unknown does not count as broken."""
+def _meaningless() -> Column:
     every = reduce(lambda a, b: a & b, [rule for _, rule in observation_checks()])
     below = (
         (c("quality_status") == "ACCEPTED")
         & (c("price_nature") == "RETAIL_OFFER")
         & (c("original_price") < c("current_price"))
     )
-    return t["observation"].where(_bad(~every) | _bad(below)).select("observation_id")
+    return _bad(~every) | _bad(below)
+
+
+def invalid_observation_semantics(t: Tables) -> DataFrame:
+    """NOT of every declared rule; a rule that is unknown does not count as broken."""
+    return t["observation"].where(_meaningless()).select("observation_id")
 
 
 def device_standard_identity_mismatch(t: Tables) -> DataFrame:
@@ -436,13 +453,13 @@ def stale_current_price(t: Tables, as_of: Column, hours: int) -> DataFrame:
     return old.join(live, "listing_id", "left_semi").select("current_id")
 
 
-def recent_unconfirmed_price_changes(t: Tables, as_of: Column) -> DataFrame:
+def _recently_unconfirmed(as_of: Column) -> Column:
     since = as_of - F.expr("INTERVAL 24 HOUR")
-    return (
-        t["observation"]
-        .where((c("rejection_code") == "PRICE_CHANGE_UNCONFIRMED") & (c("observed_at") >= since))
-        .select("observation_id")
-    )
+    return _bad((c("rejection_code") == "PRICE_CHANGE_UNCONFIRMED") & (c("observed_at") >= since))
+
+
+def recent_unconfirmed_price_changes(t: Tables, as_of: Column) -> DataFrame:
+    return t["observation"].where(_recently_unconfirmed(as_of)).select("observation_id")
 
 
 def listings_waiting_off_shelf_confirmation(t: Tables) -> DataFrame:
@@ -487,13 +504,34 @@ def _counted(name: str, severity: str, failing: DataFrame) -> DataFrame:
     )
 
 
-def report(t: Tables, as_of: Column, stale_minutes: int = 90, stale_hours: int = 72) -> DataFrame:
-    """One row per check; healthy means every critical count is zero."""
-    parts = [_counted(n, "critical", f(t)) for n, f in CRITICAL.items()]
-    parts += [
-        _counted(n, "warning", f(t))
-        for n, f in warnings(as_of, stale_minutes, stale_hours).items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def fact_counts(t: Tables, as_of: Column) -> DataFrame:
+    """The four checks on single facts in one pass over the facts and their evidence."""
+    flags = {
+        ("observation_identity_mismatch", "critical"): _misidentified(),
+        ("untraceable_accepted_observation", "critical"): _untraceable(),
+        ("invalid_observation_semantics", "critical"): _meaningless(),
+        ("recent_unconfirmed_price_changes", "warning"): _recently_unconfirmed(as_of),
+    }
+    counts = _traced(t["observation"], t).agg(
+        *[F.count_if(flag).alias(name) for (name, _), flag in flags.items()]
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(n).alias("check_name"), F.lit(s).alias("severity"), c(n).alias("failures"))
+            for n, s in flags
+        ]
+    )
+    return counts.select(F.inline(rows))
 
 
+def report(t: Tables, as_of: Column, stale_minutes: int = 90, stale_hours: int = 72) -> DataFrame:
+    """One row per check; healthy means every critical count is zero."""
+    together = fact_counts(t, as_of)
+    checks = [("critical", n, f) for n, f in CRITICAL.items()]
+    checks += [("warning", n, f) for n, f in warnings(as_of, stale_minutes, stale_hours).items()]
+    done = {
+        "observation_identity_mismatch", "untraceable_accepted_observation",
+        "invalid_observation_semantics", "recent_unconfirmed_price_changes",
+    }
+    parts = [_counted(n, severity, f(t)) for severity, n, f in checks if n not in done]
+    return reduce(DataFrame.unionByName, [together, *parts])

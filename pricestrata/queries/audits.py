@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricestrata import bind
 from pricestrata.bind import ctes
 from pricestrata.checks import audit, constraints
+from pricestrata.plans.batch import settle
 from pricestrata.queries import query
 from pricestrata.sources.seeds import categories
 
@@ -249,7 +250,9 @@ _REPORT = " UNION ALL ".join(
 
 @query("audit_report", "AUD-23", ctes(*[f"store_{n}" for n in NAMES]) + _REPORT)
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.report(store(spark, sf_dir), as_of())
+    """The derived tables are written once, as a store would hold them, and read by all checks."""
+    tables = store(spark, sf_dir)
+    return audit.report({n: settle(t, f"audit-{n}") for n, t in tables.items()}, as_of())
 
 
 @query(
