@@ -8,6 +8,7 @@ slice of its own.
 from __future__ import annotations
 
 import re
+import tempfile
 import unicodedata
 import uuid
 from collections.abc import Iterator
@@ -191,16 +192,21 @@ def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set(name, rows)
 
 
+_LOCAL: list[str] = []
+
+
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder that driver and executors share: spark.checkpoint.dir."""
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir.
+
+    Only a local session without that setting, as in tests, gets a folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="llm-"))
+        root = _LOCAL[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -127,6 +127,16 @@ def _filesystem(root: str):
     return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
 
 
+def _replace(files, source: str, target: str) -> None:
+    """Rename over a file that an earlier attempt may have left; both hold the same bytes."""
+    from pyarrow import fs
+
+    if not isinstance(files, fs.LocalFileSystem):
+        if files.get_file_info(target).type != fs.FileType.NotFound:
+            files.delete_file(target)
+    files.move(source, target)
+
+
 def write(docs: DataFrame, root: str, path: str, end_id: int = END_ID) -> DataFrame:
     """Write all documents below ``root``; the stored manifest, one row per part."""
 
@@ -162,7 +172,7 @@ def write(docs: DataFrame, root: str, path: str, end_id: int = END_ID) -> DataFr
         with files.open_output_stream(mine + ".idx") as f:
             f.write(np.concatenate(index).tobytes())
         for kind in (".ids", ".idx"):
-            files.move(mine + kind, name + kind)
+            _replace(files, mine + kind, name + kind)
         n_docs = sum(map(len, index)) - 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([n_docs], pa.int64()), pa.array([at], pa.int64())],
