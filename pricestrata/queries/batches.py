@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,6 +142,74 @@ def document_batch_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SEEN = "min(observed_at) AS first_seen_at, max(observed_at) AS last_seen_at"
+_LISTING_ID = (
+    "sha256('MOFCOM_FRESH_WHOLESALE|mofcom-bj-market:' || market_id || '|' || listing_key)"
+)
+
+
+def _output(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return batch.outputs(_judged(spark, sf_dir), "market-pages-1")[name]
+
+
+@query(
+    "document_batch_merchants",
+    "MRG-09 MRG-03 AGG-10",
+    ctes("market_pages", extra=_MARKET_FACTS)
+    + f"""SELECT 'MOFCOM_FRESH_WHOLESALE' AS channel, 'mofcom-bj-market:' || market_id AS merchant_key,
+           min(market_name) AS name, {_SEEN} FROM evid GROUP BY market_id""",
+)
+def document_batch_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _output(spark, sf_dir, "merchant")
+
+
+@query(
+    "document_batch_listings",
+    "MRG-09 MRG-03 AGG-10",
+    ctes("market_pages", extra=_MARKET_FACTS)
+    + f"""SELECT {_LISTING_ID} AS listing_id, 'MOFCOM_FRESH_WHOLESALE' AS channel,
+           'mofcom-bj-market:' || market_id AS merchant_key, listing_key, {_SEEN} FROM evid
+         GROUP BY market_id, listing_key""",
+)
+def document_batch_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _output(spark, sf_dir, "listing")
+
+
+@query(
+    "document_batch_revisions",
+    "MRG-09 WIN-04",
+    ctes("market_pages", extra=_MARKET_FACTS)
+    + f"""SELECT {_LISTING_ID} AS listing_id, CAST(1 AS INT) AS revision_no, min(observed_at) AS first_observed_at,
+           max(observed_at) AS last_observed_at FROM evid GROUP BY market_id, listing_key""",
+)
+def document_batch_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attributes of a wholesale listing follow from its key, so each has one revision."""
+    return _output(spark, sf_dir, "revision").select(
+        "listing_id", "revision_no", "first_observed_at", "last_observed_at"
+    )
+
+
+@query(
+    "document_batch_counts",
+    "MRG-09",
+    ctes("market_pages", extra=_MARKET_FACTS)
+    + f"""SELECT 'merchant' AS output, count(DISTINCT market_id) AS rows FROM evid
+         UNION ALL SELECT 'listing', count(DISTINCT {_LISTING_ID}) FROM evid
+         UNION ALL SELECT 'revision', count(DISTINCT {_LISTING_ID}) FROM evid
+         UNION ALL SELECT 'observation', count(*) FROM linked
+         UNION ALL SELECT 'current', count(*) FROM (SELECT DISTINCT listing_key, region_code FROM linked)
+         UNION ALL SELECT 'review', 0 UNION ALL SELECT 'rejected', 0""",
+)
+def document_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all seven outputs, each derived from the same written rows."""
+    parts = batch.outputs(_judged(spark, sf_dir), "market-pages-1")
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("output"), "rows")
+        for n, df in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     "replayed_facts",
     "MRG-10",
