@@ -16,7 +16,7 @@ from pricestrata.functions.identity import canonical_json, sorted_map
 from pricestrata.queries import query
 from pricestrata.queries.devices import BRANDS4, _sql_category
 from pricestrata.queries.scalars import sql_map, sql_squeeze
-from pricestrata.session import spread
+from pricestrata.session import shared_folder, spread
 from pricestrata.sources import envelopes, evidence, pages, sheets
 
 c = F.col
@@ -26,24 +26,29 @@ TAG = "evidence-1"
 @query(
     "unpacked_evidence",
     "SRC-02",
-    """SELECT 'doc/' || CAST(doc_id AS VARCHAR) AS relative_path, sha256(text) AS body_hash,
-         CAST(octet_length(encode(text)) AS BIGINT) AS size,
-         CASE WHEN doc_id % 9 = 4 THEN 'HASH_MISMATCH' END AS fault FROM documents""",
+    """SELECT 'doc/' || CAST(doc_id AS VARCHAR) || '.gz' AS relative_path,
+         CASE WHEN doc_id % 23 NOT IN (5, 6) THEN sha256(text) END AS body_hash,
+         CASE WHEN doc_id % 23 NOT IN (5, 6) THEN CAST(octet_length(encode(text)) AS BIGINT) END AS size,
+         CASE WHEN doc_id % 23 = 5 THEN 'FILE_MISSING' WHEN doc_id % 23 = 6 THEN 'BODY_UNREADABLE'
+           WHEN doc_id % 9 = 4 THEN 'HASH_MISMATCH' END AS fault FROM documents""",
 )
 def unpacked_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as gzip evidence files, unpacked and checked against their expected hashes."""
+    """Documents as gzip files in the shared folder, some missing, torn or unlike their hash."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            packed = [gzip.compress(t.encode(), 1) for t in frame["text"]]
+            packed = [gzip.compress(t.encode(), 1)[: 9 if torn else None] for t, torn in zip(frame["text"], frame["torn"], strict=True)]
             yield pd.DataFrame({"relative_path": frame["relative_path"], "content": packed})
 
     docs = bind.frame(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(F.lit("doc/"), c("doc_id").cast("string")).alias("relative_path"), "text"
-    )
-    files = docs.select("relative_path", "text").mapInPandas(
-        pack, "relative_path string, content binary"
+        "doc_id", F.concat(F.lit("doc/"), c("doc_id").cast("string"), F.lit(".gz")).alias("relative_path"), "text"
     )
+    packed = docs.where(c("doc_id") % 23 != 5).select(
+        "relative_path", "text", (c("doc_id") % 23 == 6).alias("torn")
+    ).mapInPandas(pack, "relative_path string, content binary")
+    folder = shared_folder(spark, "evidence")
+    evidence.write_files(packed, folder)
+    files = evidence.read_files(spark, folder)
     digest = F.sha2(c("text").cast("binary"), 256)
     expected = docs.select(
         c("doc_id").alias("record_id"), "relative_path",
