@@ -34,7 +34,7 @@ from pricestrata.llm import texts
 
 END = "</w>"
 #: Words kept encoded per Python worker.
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 600_000
 #: Token pairs whose fit is kept per Python worker.
 TABLE_PAIRS = 1_000_000
 _NEVER = 1 << 60
@@ -279,7 +279,7 @@ def encode_decode(docs: DataFrame, path: str, keep: bool = False) -> DataFrame:
 
     def run(batches):
         own = coder(path)
-        for batch in texts.slices(batches):
+        for batch in texts.slices(batches, limit=texts.CODED_BYTES):
             made = own.code([x or "" for x in batch.column("text").to_pylist()])
             columns = [
                 batch.column("doc_id"),

@@ -174,8 +174,8 @@ def train(
     """Fit on a bounded set of labelled rows; None if both classes are not there.
 
     The rows stay in Spark: in each round every part of them takes gradient steps from the
-    common weights, and the driver averages what the parts return (parameter mixing). The driver
-    holds one weight vector per part, never rows or features.
+    common weights, and what the parts return is averaged (parameter mixing). The driver holds one
+    weight vector, never rows or features.
     """
     chosen = (
         labels.where("doc_id is not null and quality in (0, 1)")
@@ -226,13 +226,11 @@ def train(
                 names=["n", "w", "b"],
             )
 
-        made = fit.mapInArrow(step, "n bigint, w binary, b double").collect()
-        total = sum(r["n"] for r in made)
-        made.sort(key=lambda r: (r["n"], r["b"]))
-        weights = sum(np.frombuffer(r["w"], np.float32) * (r["n"] / total) for r in made).astype(
-            np.float32
-        )
-        bias = float(sum(r["b"] * r["n"] for r in made) / total)
+        made = fit.mapInArrow(step, "n bigint, w binary, b double")
+        # One vector per part meets in one task, one vector reaches the driver.
+        mean = made.repartition(1).sortWithinPartitions("n", "b").mapInArrow(_mean, "w binary, b double")
+        found = mean.first()
+        weights, bias = np.frombuffer(found["w"], np.float32), found["b"]
     model = Model(weights, bias, 1.0, 0.0)
     found = _margins(check, model).toArrow()  # at most max_rows pairs of numbers
     margin, label = found.column("margin").to_numpy(), found.column("quality").to_numpy()
@@ -240,6 +238,21 @@ def train(
     return Model(weights, bias, slope, shift)
 
 
+def _mean(batches) -> Iterator[pa.RecordBatch]:
+    """The mean of weight vectors, each counted by its rows."""
+    rows, total, bias = 0, np.zeros(len(KINDS) * DIM), 0.0
+    for batch in batches:
+        for n, w, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            rows, bias = rows + n, bias + n * b
+            total += n * np.frombuffer(w, np.float32)
+    if rows:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([(total / rows).astype(np.float32).tobytes()], pa.binary()),
+             pa.array([bias / rows], pa.float64())],
+            names=["w", "b"],
+        )
+
+
 def _margins(rows: DataFrame, model: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 

@@ -20,7 +20,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 19
+#: Small enough for a slice's arrays to stay in the cache of a core.
+SLICE_BYTES = 1 << 17
+#: For the tokenizers, whose tables gain from more words at a time.
+CODED_BYTES = 1 << 19
 
 #: ASCII white space: space and \t \n \v \f \r.
 SPACE = np.zeros(256, dtype=bool)
@@ -40,7 +43,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n >= len(self.up):
-            size = max(n + 1, SLICE_BYTES + 1)
+            size = max(n + 1, SLICE_BYTES + 1, 2 * len(self.up))
             for name, base in (("up", _PRIME), ("down", _INVERSE)):
                 steps = np.full(size, base, dtype=np.uint64)
                 steps[0] = 1

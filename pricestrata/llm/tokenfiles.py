@@ -149,7 +149,7 @@ def write(docs: DataFrame, root: str, path: str, end_id: int = END_ID) -> DataFr
         end, at = own.raw([end_id]), 0
         index: list[np.ndarray] = []
         out = None
-        for batch in texts.slices(batches):
+        for batch in texts.slices(batches, limit=texts.CODED_BYTES):
             if out is None:
                 files.create_dir(base, recursive=True)
                 out = files.open_output_stream(mine + ".ids")
