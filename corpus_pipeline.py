@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated bytes; drops a document that had words and keeps none of them."""
+    """Removes repeated bytes; drops documents without a word left."""
     texts.bounded_batches(spark)
     return _measured(repeats.strip(docs)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
