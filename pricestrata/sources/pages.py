@@ -17,6 +17,7 @@ from pricestrata.functions.urls import absolute, host, path, query_values, singl
 from pricestrata.sources.seeds import regions
 
 c = F.col
+# HTML elements without an end tag (fixed values).
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -320,6 +321,7 @@ def market_candidates(rows: DataFrame) -> DataFrame:
 
 def priced_anchors(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """SKU links that carry a price: current, original, dimensions and the stock text around them."""
+    # Class names of the source pages (fixed values).
     nodes = read_nodes(
         docs, key, "html", ("a", "h1", "del", "s"),
         ("item", "current_price", "original_price", "original-price", "previous_price",
