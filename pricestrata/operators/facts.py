@@ -175,7 +175,8 @@ def advance_current(
 
     A pointer moves to a later fact, or to one of its own time that supersedes the fact it is
     on; any other fact of the same time, and every earlier one, leaves it. Without a pointer
-    the first arrival of the latest time opens it. With ``revisions`` (listing_id, revision_id)
+    the first arrival of the latest time opens it. Facts that have a ``base_key`` are linked by it,
+    and the pointers keep it. With ``revisions`` (listing_id, revision_id)
     only facts of the current revision count.
 
     Facts are grouped per instant first, then the latest instant of each region is taken: what is
@@ -202,8 +203,10 @@ def advance_current(
         F.element_at("facts", 1),
         lambda at, x: F.when(x["_supersedes"] == at["_base"], x).otherwise(at),
     )
+    linked = [F.col("tip._base").alias("base_key")] if "base_key" in accepted.columns else []
     return latest.withColumn("tip", tip).select(
-        *[F.col(x) if x in [*REGION, "observed_at"] else F.col("tip.row")[x].alias(x) for x in POINTER]
+        *[F.col(x) if x in [*REGION, "observed_at"] else F.col("tip.row")[x].alias(x) for x in POINTER],
+        *linked,
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricestrata import bind
 from pricestrata.bind import ctes
+from pricestrata.operators.facts import POINTER
 from pricestrata.operators.guards import number_runs
 from pricestrata.queries import query
 from pricestrata.queries.guarding import _STREAKS
@@ -58,8 +59,9 @@ def stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-current")
     running = ops.follow_current(late_stream(spark, sf_dir, root), root)
     running.awaitTermination()
-    version = running.lastProgress["batchId"]
-    return spark.read.parquet(f"{root}/current/v={version}").select(
+    batch_id = running.lastProgress["batchId"]
+    schema = bind.frame(spark, sf_dir, "points").select(*POINTER).schema
+    return ops.current_pointers(spark, root, batch_id, schema).select(
         "listing_id", "region_scope", "region_code", "observation_key", "observed_at"
     )
 

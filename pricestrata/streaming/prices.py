@@ -78,38 +78,71 @@ def ingest(stream: DataFrame, root: str) -> StreamingQuery:
     return _start(stream, append, root, "ingest")
 
 
-def pointer_version(spark: SparkSession, root: str, before: int, like: DataFrame) -> DataFrame:
-    """The newest pointer table written by a batch before ``before``."""
-    if before <= 0:
-        return spark.createDataFrame([], like.schema)
-    return spark.read.schema(like.schema).parquet(f"{root}/current/v={before - 1}")
+def _heads(spark: SparkSession, root: str, batch_id: int) -> dict[int, int]:
+    """The version that each bucket of the pointer table has after a batch."""
+    path = f"{root}/current/heads/v={batch_id}"
+    if batch_id < 0 or not path_exists(spark, path):
+        return {}
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(path).collect()}
+
+
+def _pointers(spark: SparkSession, root: str, heads: dict[int, int], schema) -> DataFrame:
+    paths = [f"{root}/current/v={v}/bucket={b}" for b, v in sorted(heads.items())]
+    paths = [x for x in paths if path_exists(spark, x)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def current_pointers(spark: SparkSession, root: str, batch_id: int, schema) -> DataFrame:
+    """The pointer table as it stands after a batch."""
+    return _pointers(spark, root, _heads(spark, root, batch_id), schema)
 
 
-def follow_current(stream: DataFrame, root: str) -> StreamingQuery:
-    """Pointer table per batch: merge accepted facts, a late fact never moves a pointer back."""
+def _advance(batch: DataFrame, batch_id: int, root: str, buckets: int) -> DataFrame:
+    """Move the pointers of the buckets that a batch touches; returns these buckets.
+
+    Pointers lie in buckets of their listing. A batch writes the buckets it touches as a new
+    version and a list of the newest version per bucket; all other buckets stay as they are.
+    Versions that no kept list names may be deleted.
+    """
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64("listing_id"), F.lit(buckets)).cast("int")
+    names = [*POINTER, *(x for x in ("base_key", "supersedes_key") if x in batch.columns)]
+    accepted = batch.where("quality_status = 'ACCEPTED'").select(*names)
+    stored = accepted.drop("supersedes_key")
+    accepted.persist()
+    try:
+        # At most as many values as there are buckets.
+        touched = {r[0] for r in accepted.select(bucket.alias("b")).distinct().collect()}
+        heads = _heads(spark, root, batch_id - 1)
+        own = {b: v for b, v in heads.items() if b in touched}
+        now = advance_current(_pointers(spark, root, own, stored.schema), accepted)
+        path = f"{root}/current/v={batch_id}"
+        now.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    finally:
+        accepted.unpersist()
+    heads |= dict.fromkeys(touched, batch_id)
+    rows = spark.createDataFrame(sorted(heads.items()), "bucket int, version bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/current/heads/v={batch_id}")
+    return _pointers(spark, root, dict.fromkeys(touched, batch_id), stored.schema)
+
+
+def follow_current(stream: DataFrame, root: str, buckets: int = 16) -> StreamingQuery:
+    """Pointer table: merge accepted facts, a late fact never moves a pointer back."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        accepted = batch.where("quality_status = 'ACCEPTED'").select(*POINTER)
-        before = pointer_version(batch.sparkSession, root, batch_id, accepted)
-        advance_current(before, accepted).write.mode("overwrite").parquet(
-            f"{root}/current/v={batch_id}"
-        )
+        _advance(batch, batch_id, root, buckets)
 
     return _start(stream, merge, root, "current")
 
 
-def route(stream: DataFrame, root: str) -> StreamingQuery:
+def route(stream: DataFrame, root: str, buckets: int = 16) -> StreamingQuery:
     """Split every batch: new pointers, accepted history, and rows kept for audit only."""
     key = ["listing_id", "region_scope", "region_code"]
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        accepted = batch.where("quality_status = 'ACCEPTED'").select(*POINTER)
-        before = pointer_version(batch.sparkSession, root, batch_id, accepted)
-        now = advance_current(before, accepted)
-        now.write.mode("overwrite").parquet(f"{root}/current/v={batch_id}")
-        written = batch.sparkSession.read.schema(accepted.schema).parquet(
-            f"{root}/current/v={batch_id}"
-        )
+        written = _advance(batch, batch_id, root, buckets)
         tip = written.select(*key, c("ingest_seq").alias("tip_seq"))
         lane = (
             F.when(c("quality_status") != "ACCEPTED", "AUDIT")

@@ -182,7 +182,8 @@ def test_stream_ingest_and_pointer_over_late_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a/facts")).count() == rows.count()
     running = prices.follow_current(stream, str(tmp_path / "b"))
     running.awaitTermination()
-    current = spark.read.parquet(f"{tmp_path}/b/current/v={running.lastProgress['batchId']}")
+    last, schema = running.lastProgress["batchId"], rows.select(*facts.POINTER).schema
+    current = prices.current_pointers(spark, str(tmp_path / "b"), last, schema)
     accepted = rows.where("quality_status = 'ACCEPTED'")
     key = ["listing_id", "region_scope", "region_code"]
     newest = ordered.newest(accepted.select(*facts.POINTER), key, [c("observed_at"), c("ingest_seq")])
