@@ -261,6 +261,7 @@ class Coder:
 
 
 _CODERS: dict[str, Coder] = {}
+texts.TABLES.append(_CODERS)
 
 
 def coder(path: str) -> Coder:

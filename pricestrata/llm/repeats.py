@@ -504,10 +504,13 @@ def _removed(ranges: list[dict], length: int) -> list[tuple[int, int]]:
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Changed texts only: rid, n_removed, n_spans, kept_sha256 and the bytes that stay."""
+    """Changed texts only: rid, n_removed, n_spans, kept_sha256 and the text that stays.
+
+    The digest is over the bytes that stay; the text leaves out characters that were cut.
+    """
     kept, ranges = found(docs, length)
     listed = ranges.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    schema = "rid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+    schema = "rid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
     def run(batches):
         for batch in texts.slices(batches):
@@ -517,9 +520,10 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 edge = [0, *(x for r in gone for x in r), len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True))
                 out.append((
-                    row["rid"], len(text) - len(rest), len(gone), hashlib.sha256(rest).hexdigest(), rest
+                    row["rid"], len(text) - len(rest), len(gone), hashlib.sha256(rest).hexdigest(),
+                    rest.decode("utf-8", "ignore"),
                 ))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)],
                 names=[c.split()[0] for c in schema.split(", ")],
@@ -550,15 +554,7 @@ def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     rid, new = texts.free_name(docs, "_rid"), texts.free_name(docs, "_new")
 
-    def valid(batches):
-        for batch in batches:
-            text = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), pa.array(text, pa.string())], names=[rid, new]
-            )
-
-    changed = removals(docs, length).select("rid", "kept")
-    changed = changed.mapInArrow(valid, f"`{rid}` bigint, `{new}` string")
+    changed = removals(docs, length).select(F.col("rid").alias(rid), F.col("kept").alias(new))
     rows = texts.with_row_id(docs, rid).join(changed, rid, "left")
     return rows.select(
         *(F.coalesce(new, c).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns)

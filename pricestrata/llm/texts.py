@@ -7,6 +7,7 @@ slice of its own.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import unicodedata
@@ -95,10 +96,21 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+#: The tokenizers, with their tables, that a Python worker keeps between tasks.
+TABLES: list[dict] = []
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches into slices of about ``limit`` bytes of text, one row at least."""
+    """Cut batches into slices of about ``limit`` bytes of text, one row at least.
+
+    A worker that turns to another operator gives up its tokenizers here.
+    """
+    if limit != CODED_BYTES and any(TABLES):
+        for held in TABLES:
+            held.clear()
+        gc.collect()
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0)
         ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))

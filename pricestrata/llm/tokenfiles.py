@@ -112,6 +112,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+texts.TABLES.append(_ENCODERS)
 
 
 def encoder(path: str) -> Encoder:
