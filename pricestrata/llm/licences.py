@@ -6,6 +6,9 @@ identifiers found, in text order, are matched against ordered rules: a rule name
 a sequence of identifiers that must stand next to each other in that order. An earlier rule
 takes its identifiers, so a later and shorter rule does not report them again.
 
+A known sentence with a stop inside, such as a semicolon, is found only if all its pieces follow
+each other: notices of other versions or licences that begin alike are not taken for it.
+
 A line end closes a sentence, unless reading single line ends as spaces finds more known sentences
 (hard-wrapped licence texts). Built-in functions only; no shuffle.
 
@@ -70,8 +73,8 @@ def pieces(sentence: str) -> list[str]:
 
 
 def known() -> dict[str, str]:
-    """Normalised sentence to identifier. A long sentence that holds a stop inside, such as a
-    semicolon, is known by its first part; the others carry no identifier."""
+    """First piece of each normalised sentence, to its identifier: where a known sentence may
+    begin. The scan itself asks for every piece (see ``whole``)."""
     found: dict[str, str] = {}
     for name, text in SENTENCES:
         found.setdefault(pieces(text)[0], name)
@@ -88,14 +91,31 @@ def telling_words() -> list[str]:
     return out
 
 
+def whole() -> dict[tuple[str, ...], str]:
+    """All pieces of each known sentence to its identifier."""
+    found: dict[tuple[str, ...], str] = {}
+    for name, text in SENTENCES:
+        found.setdefault(tuple(pieces(text)), name)
+    return found
+
+
+def pattern() -> str:
+    """Finds whole known sentences in cut text: each piece stands between cuts, the pieces of
+    a sentence follow each other. The longest comes first, because one may begin another."""
+    keys = sorted(whole(), key=lambda k: -len(" ".join(k)))
+    each = "|".join("[ \\x01]*\\x01[ \\x01]*".join(k) for k in keys)
+    return f"(?<![a-z0-9 ]) ?({each}) ?(?![a-z0-9 ])"
+
+
 def identifiers(text: Column, lines_end: bool) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)" + (r"|\n" if lines_end else r"|\n[ \t\r]*\n")
     cut = F.regexp_replace(F.lower(text), stop, "\x01")
     flat = F.regexp_replace(cut, r"[^a-z0-9\x01]+", " ")
-    table = F.create_map(*(F.lit(x) for pair in known().items() for x in pair))
-    named = F.transform(F.split(flat, "\x01"), lambda s: table[F.trim(s)])
-    return F.filter(named, lambda x: x.isNotNull())
+    names = ((" ".join(k), v) for k, v in whole().items())
+    table = F.create_map(*(F.lit(x) for pair in names for x in pair))
+    seen = F.regexp_extract_all(flat, F.lit(pattern()), F.lit(1))
+    return F.transform(seen, lambda s: table[F.regexp_replace(s, r"[ \x01]+", " ")])
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:

@@ -84,6 +84,24 @@ def test_licence_rules_take_their_sentences_in_order(docs):
     assert got[1]["n_matches"] == 1 and got[6]["n_matches"] == 2
 
 
+def test_licence_sentences_need_all_their_pieces(docs):
+    gpl = [t for n, t in licences.SENTENCES if n in ("gpl-a", "gpl-b", "gpl-c")]
+    rows = [
+        "\n".join(gpl),
+        "\n".join(gpl).replace("version 3", "version 2").replace("software:", "software;"),
+        "\n".join(gpl).replace("GNU General", "GNU Affero General"),
+        "\n".join(gpl).replace("GNU General", "GNU Lesser General").replace("This program", "This library"),
+        "This program is free software.", gpl[0], gpl[0].replace("software: you", "software: Really. You"),
+        'Licensed under the Apache License, Version 2.0 (the "License"). '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ]
+    got = {r["doc_id"]: r for r in licences.scan(docs(rows)).collect()}
+    assert [got[i]["licences"] for i in range(len(rows))] == [
+        "GPL-3.0-or-later", "", "", "", "", "GPL-3.0-or-later", "", "",
+    ]
+    assert got[0]["sentence_ids"] == "gpl-a,gpl-b,gpl-c" and got[1]["sentence_ids"] == "gpl-b,gpl-c"
+
+
 # --- 2 quality
 
 
