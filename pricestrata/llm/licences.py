@@ -9,8 +9,9 @@ takes its identifiers, so a later and shorter rule does not report them again.
 A known sentence with a stop inside, such as a semicolon, is found only if all its pieces follow
 each other: notices of other versions or licences that begin alike are not taken for it.
 
-A line end closes a sentence, unless reading single line ends as spaces finds more known sentences
-(hard-wrapped licence texts). Built-in functions only; no shuffle.
+A stop or a blank line closes a sentence. A single line end closes one or stands for a space,
+whichever gives a known sentence at that place, so hard-wrapped licence texts and lines without a
+stop are found in one text. Built-in functions only; no shuffle.
 
 Defined results
 - null or empty text: no sentences, empty lists.
@@ -100,22 +101,24 @@ def whole() -> dict[tuple[str, ...], str]:
 
 
 def pattern() -> str:
-    """Finds whole known sentences in cut text: each piece stands between cuts, the pieces of
-    a sentence follow each other. The longest comes first, because one may begin another."""
+    """Finds whole known sentences in cut text: each piece stands between cuts or line ends, its
+    words may stand on several lines, and the pieces of a sentence follow each other. The longest
+    comes first, because one may begin another."""
     keys = sorted(whole(), key=lambda k: -len(" ".join(k)))
-    each = "|".join("[ \\x01]*\\x01[ \\x01]*".join(k) for k in keys)
+    each = "|".join(
+        "[ \\n\\x01]*[\\n\\x01][ \\n\\x01]*".join(p.replace(" ", "[ \\n]+") for p in k) for k in keys
+    )
     return f"(?<![a-z0-9 ]) ?({each}) ?(?![a-z0-9 ])"
 
 
-def identifiers(text: Column, lines_end: bool) -> Column:
+def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)" + (r"|\n" if lines_end else r"|\n[ \t\r]*\n")
-    cut = F.regexp_replace(F.lower(text), stop, "\x01")
-    flat = F.regexp_replace(cut, r"[^a-z0-9\x01]+", " ")
+    cut = F.regexp_replace(F.lower(text), r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)|\n[ \t\r]*\n", "\x01")
+    flat = F.regexp_replace(cut, r"[^a-z0-9\n\x01]+", " ")
     names = ((" ".join(k), v) for k, v in whole().items())
     table = F.create_map(*(F.lit(x) for pair in names for x in pair))
     seen = F.regexp_extract_all(flat, F.lit(pattern()), F.lit(1))
-    return F.transform(seen, lambda s: table[F.regexp_replace(s, r"[ \x01]+", " ")])
+    return F.transform(seen, lambda s: table[F.regexp_replace(s, r"[ \n\x01]+", " ")])
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -126,17 +129,14 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     for word in telling_words():
         some = some | F.contains(low, F.lit(word))
     none = F.array().cast("array<string>")
-    both = docs.select(
+    found = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.when(some, identifiers(text, True)).otherwise(none).alias("_by_line"),
-        F.when(some, identifiers(text, False)).otherwise(none).alias("_wrapped"),
-    )
-    ids = F.when(F.size("_wrapped") > F.size("_by_line"), F.col("_wrapped")).otherwise(
-        F.col("_by_line")
+        F.when(some, identifiers(text)).otherwise(none).alias("_ids"),
     )
+    ids = F.col("_ids")
     # Every identifier stands between bars of its own, so neighbours can be taken apart.
     rest = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("|"), x, F.lit("|"))), "")
-    out = both.select(
+    out = found.select(
         "doc_id", F.size(ids).cast("bigint").alias("n_sentences"),
         F.array_join(ids, ",").alias("sentence_ids"), rest.alias("_rest"),
     )

@@ -102,6 +102,24 @@ def test_licence_sentences_need_all_their_pieces(docs):
     assert got[0]["sentence_ids"] == "gpl-a,gpl-b,gpl-c" and got[1]["sentence_ids"] == "gpl-b,gpl-c"
 
 
+def test_licence_line_ends_are_read_place_by_place(docs):
+    import textwrap
+
+    text = dict(licences.SENTENCES)
+    wrap = lambda *n: "\n\n".join("\n".join(textwrap.wrap(text[x], 40)) for x in n)
+    rows = [
+        "Field notes\nLicensed under CC BY 4.0.\n\n" + wrap("mit-a", "mit-b"),
+        wrap("apache-a", "apache-b") + "\n\nA title\nReleased under the MIT License.\nMore\n",
+        "Title\n" + wrap("gpl-a") + "\nLicensed under CC BY-SA 4.0",
+        "# Notes\n# " + wrap("gpl-a").replace("\n", "\n# ") + "\n#\n# Released under the\n# MIT License.",
+    ]
+    got = {r["doc_id"]: r for r in licences.scan(docs(rows)).collect()}
+    assert [(got[i]["licences"], got[i]["sentence_ids"]) for i in range(4)] == [
+        ("CC-BY-4.0,MIT", "cc-by-line,mit-a,mit-b"), ("Apache-2.0,MIT", "apache-a,apache-b,mit-line"),
+        ("CC-BY-SA-4.0,GPL-3.0-or-later", "gpl-a,cc-by-sa-line"), ("GPL-3.0-or-later,MIT", "gpl-a,mit-line"),
+    ]
+
+
 # --- 2 quality
 
 
