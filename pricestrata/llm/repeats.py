@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +51,8 @@ RUN = 20_000
 #: Suffixes that a range should hold, and how many sampled suffixes cut a range border.
 RANGE = 60_000
 SAMPLES = 24
-#: Sampled suffixes that the driver takes at most; a border keeps this many bytes.
+#: Sampled suffixes that the driver takes at most, whole (below two ``length`` each).
 MAX_SAMPLES = 20_000
-BORDER = 96
 _LOW = np.uint64(0xFFFFFFFF)
 _U = np.uint64
 
@@ -234,7 +234,10 @@ def suffixes(text: bytes, at: int, lo: int, hi: int, length: int) -> tuple[bytes
 
 
 def borders(chosen: DataFrame, count: int, length: int) -> list[bytes]:
-    """At most MAX_SAMPLES sampled suffixes cut the suffixes into ranges of like size."""
+    """At most MAX_SAMPLES sampled suffixes cut the suffixes into ranges of like size.
+
+    A border is a whole suffix, so that suffixes of a common passage are divided where they differ.
+    """
     ranges = max(1, -(-2 * count // RANGE))
     if ranges == 1:
         return []
@@ -247,7 +250,7 @@ def borders(chosen: DataFrame, count: int, length: int) -> list[bytes]:
             for row in batch.to_pylist():
                 text = row["text"].encode()
                 for e in row["own"]:
-                    out += [s[:BORDER] for s in suffixes(text, e["at"], e["lo"], e["hi"], length)]
+                    out += suffixes(text, e["at"], e["lo"], e["hi"], length)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
 
     part = min(1.0, wanted / max(2 * count, 1))
@@ -262,7 +265,11 @@ def borders(chosen: DataFrame, count: int, length: int) -> list[bytes]:
 
 
 def sorted_runs(chosen: DataFrame, cuts: list[bytes], length: int) -> DataFrame:
-    """Front-coded pieces of sorted runs, by range: bucket, run data, and who the strings belong to."""
+    """Front-coded pieces of sorted runs, by range: bucket, run data, and who the strings belong to.
+
+    No border divides equal suffixes. Those that are equal within a run are settled there: they
+    go to a bucket of their own beyond the ranges, and their range gets the string without owners.
+    """
     least = 1 + gram_size(length)
     schema = (
         "bucket int, share binary, size binary, rest binary, ghost binary, refs binary, rid binary, at binary"
@@ -273,9 +280,24 @@ def sorted_runs(chosen: DataFrame, cuts: list[bytes], length: int) -> DataFrame:
         ends = [bisect.bisect_left(strings, c) for c in cuts]
         edges = [0, *ends, len(strings)]
         made: list[tuple] = []
+
+        def add(bucket: int, own: list[bytes], ghost: list[int]) -> None:
+            refs = [[] if g else held[s] for s, g in zip(own, ghost, strict=True)]
+            flat = [r for rs in refs for r in rs]
+            made.append((
+                bucket, *front_coded(own), bytes(ghost),
+                np.array([len(r) for r in refs], np.int32).tobytes(),
+                np.array([r[0] for r in flat], np.int64).tobytes(),
+                np.array([r[1] for r in flat], np.int32).tobytes(),
+            ))
+
+        equal = [s for s in strings if len(held[s]) > 1]
+        if equal and cuts:
+            rid, at = held[equal[0]][0]
+            add(len(edges) - 1 + zlib.crc32(f"{rid},{at}".encode()) % (1 << 30), equal, [0] * len(equal))
         for bucket in range(len(edges) - 1):
             own = strings[edges[bucket] : edges[bucket + 1]]
-            ghost = [0] * len(own)
+            ghost = [int(bool(cuts) and len(held[s]) > 1) for s in own]
             # Neighbours across a border count only if they share a gram with the border.
             if bucket and edges[bucket]:
                 near = strings[edges[bucket] - 1]
@@ -285,16 +307,8 @@ def sorted_runs(chosen: DataFrame, cuts: list[bytes], length: int) -> DataFrame:
                 near = strings[edges[bucket + 1]]
                 if shared_prefix(near, cuts[bucket]) >= least:
                     own, ghost = [*own, near], [*ghost, 1]
-            if not own:
-                continue
-            refs = [[] if g else held[s] for s, g in zip(own, ghost, strict=True)]
-            flat = [r for rs in refs for r in rs]
-            made.append((
-                bucket, *front_coded(own), bytes(ghost),
-                np.array([len(r) for r in refs], np.int32).tobytes(),
-                np.array([r[0] for r in flat], np.int64).tobytes(),
-                np.array([r[1] for r in flat], np.int32).tobytes(),
-            ))
+            if own:
+                add(bucket, own, ghost)
         columns = [pa.array([m[0] for m in made], pa.int32())]
         columns += [pa.array([m[i] for m in made], pa.binary()) for i in range(1, 8)]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])

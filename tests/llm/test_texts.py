@@ -280,6 +280,35 @@ def test_repeats_against_every_window(docs, monkeypatch, length, letters):
     assert [got[i] for i in range(len(rows))] == removed_by_hand(rows, length)
 
 
+def test_ranges_stay_bounded_when_all_documents_share_a_passage(spark, docs, monkeypatch):
+    monkeypatch.setattr(repeats, "RUN", 200)
+    monkeypatch.setattr(repeats, "RANGE", 400)
+    rng, length = random.Random(31), 400
+    some = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    shared = some(300)
+    rows = [some(rng.randrange(380, 420)) + shared + some(rng.randrange(380, 420)) for _ in range(1500)]
+    inside = []
+    for rid, text in enumerate(rows):
+        _, at, lo, hi, *_ = repeats.anchors_of(*texts.utf8(pa.array([text])), length)
+        start = text.index(shared)
+        own = [(a, b, c) for a, b, c in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True) if start <= a <= start + 300 - repeats.GRAM]
+        inside.append((rid, text, own))
+    chosen = spark.createDataFrame([r for r in inside if r[2]], "rid bigint, text string, own array<struct<at:int,lo:int,hi:int>>").repartition(4)
+    count = sum(len(own) for *_, own in inside)
+    cuts = repeats.borders(chosen, count, length)
+    held, seen = Counter(), Counter()
+    for r in repeats.sorted_runs(chosen, cuts, length).collect():
+        held[r["bucket"]] += r["ghost"].count(0) + len(np.frombuffer(r["rid"], np.int64))
+        seen["refs"] += len(np.frombuffer(r["rid"], np.int64))
+    assert seen["refs"] == 2 * count > 5 * repeats.RANGE
+    assert max(held.values()) <= 4 * repeats.RANGE
+    some_rows = rows[:150] + [rows[3] + "x", shared + rows[9][-390:], shared * 3]
+    monkeypatch.setattr(repeats, "RANGE", 60)
+    monkeypatch.setattr(repeats, "RUN", 40)
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.dedup(docs(some_rows), length).collect()}
+    assert [got[i] for i in range(len(some_rows))] == removed_by_hand(some_rows, length)
+
+
 def test_loser_tree_gives_order_and_shared_prefixes():
     rng = random.Random(3)
     runs = [sorted({bytes(rng.choices(b"ab", k=rng.randrange(1, 12))) for _ in range(rng.randrange(0, 30))}) for _ in range(7)]
