@@ -11,8 +11,12 @@ a run of two or more words can only go on where each pair is in the table, so st
 could not reach the shortest window are skipped. The table may let through too much, never too
 little.
 
-The items are the broadcast side. Their size is checked: over ``MAX_WORDS`` words the build
-fails and the caller splits the items into blocks.
+The items are the broadcast side, in blocks of about ``BLOCK_WORDS`` words at most: items are cut
+into parts that overlap by a window less one word, so every window lies in one part, and parts
+are dealt to blocks by hash. The driver builds one automaton per block, one after the other.
+With several blocks each one walks all documents and gives hit words and items per document row;
+these are united per row before anything is counted or removed, so results do not depend on
+the number of blocks. ``docs`` must then be a stored table (see texts.with_row_id).
 
 Defined results
 - null or empty text: no words, not contaminated. Null or empty items have no windows.
@@ -34,7 +38,10 @@ from pyspark.sql import functions as F
 from pricestrata.llm import texts
 
 WINDOW = 10
-MAX_WORDS = 2_000_000
+#: Words in one block: an automaton takes about 0.8 KB a word in the driver and in each worker.
+BLOCK_WORDS = 400_000
+#: Words of an item in one part.
+PART_WORDS = 10_000
 #: A document of which more than this share of the words is hit is dropped by ``clean``.
 MAX_COVERAGE = 0.5
 BITS = 22
@@ -165,19 +172,49 @@ def normalised(text: str) -> list[bytes]:
     return [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
 
 
-def build(items: DataFrame, window: int = WINDOW) -> Automaton:
-    """The automaton of a bounded set of items."""
+def parts(items: DataFrame, window: int) -> DataFrame:
+    """(item, words, n): normalised items, long ones in overlapping parts with all windows."""
     rows = items.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    # A word needs a byte and a separator, so this many bytes hold at most MAX_WORDS words.
-    size = rows.agg(F.sum(F.octet_length("text") + 1).alias("n")).first()["n"] or 0
-    if size > 8 * MAX_WORDS:
-        raise ValueError("too many items for one automaton: call with blocks of items")
+
+    def run(batches):
+        for batch in texts.slices(batches):
+            out = []
+            for row in batch.to_pylist():
+                words = normalised(row["text"])
+                # The last part starts where a whole window is left; a shorter item is one part.
+                for at in range(0, max(len(words) - window + 1, min(len(words), 1)), PART_WORDS):
+                    own = words[at : at + PART_WORDS + window - 1]
+                    out.append((row["item"], b" ".join(own).decode(), len(own)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
+                names=["item", "words", "n"],
+            )
+
+    return rows.mapInArrow(run, "item string, words string, n bigint")
+
+
+def blocks(items: DataFrame, window: int = WINDOW) -> list:
+    """Broadcast automata that hold all items together; one if BLOCK_WORDS words are enough."""
+    spark = items.sparkSession
+    cut = texts.stored(parts(items, window), "item-parts")
+    total = cut.agg(F.sum("n")).first()[0] or 0
+    # Room for blocks that the hash makes larger than others.
+    count = 1 if total <= BLOCK_WORDS else -(-4 * total // (3 * BLOCK_WORDS))
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(count))
+    made = []
+    for b in range(count):
+        rows = cut.where(block == b).select("item", "words").collect()
+        made.append(spark.sparkContext.broadcast(build(rows, window)))
+    return made
+
+
+def build(rows: list, window: int = WINDOW) -> Automaton:
+    """The automaton of one block of parts."""
     # In a fixed order, so that every run builds the same automaton.
-    known = sorted({(r["item"], r["text"]) for r in rows.collect()})
-    split = [(item, normalised(text)) for item, text in known]
+    split = [(item, words.encode().split(b" ")) for item, words in sorted({(r[0], r[1]) for r in rows})]
     made = Automaton(window)
     for item, words in split:
         made.add(item, words)
@@ -204,14 +241,17 @@ def stretches(known: Automaton, code: np.ndarray, before: np.ndarray):
     yield from zip(owner[keep].tolist(), first[keep].tolist(), (end[keep] + 1).tolist(), strict=True)
 
 
-def hits(known: Automaton, column: pa.Array):
-    """(bytes, offsets, word starts, word ends, words before each text, hit words, items)."""
+def hits(known: Automaton | None, column: pa.Array):
+    """(bytes, offsets, word starts, word ends, words before each text, hit words, items).
+
+    Without an automaton nothing is hit yet.
+    """
     data, offsets = texts.utf8(column)
     low = lowered(data)
     starts, ends, before = texts.spans(WORD[low], offsets)
     hit = np.zeros(len(starts), bool)
     found: dict[int, set[str]] = {}
-    if known.shortest:
+    if known is not None and known.shortest:
         if known.singles:
             # A one-word item can stand anywhere: every text is walked whole.
             todo = ((i, before[i], before[i + 1]) for i in range(len(offsets) - 1))
@@ -227,18 +267,79 @@ def hits(known: Automaton, column: pa.Array):
     return data, offsets, starts, ends, before, hit, found
 
 
+def united(docs: DataFrame, made: list) -> DataFrame:
+    """The documents with a last column of what the blocks found: hit words from ``first`` to
+    before ``end``, counted in the text, and items. It is null where nothing was found."""
+    rid, found_in = texts.free_name(docs, "_rid"), texts.free_name(docs, "_found")
+    rows = texts.with_row_id(docs, rid)
+    schema = f"{rid} bigint, first array<int>, end array<int>, items array<string>"
+
+    def walked(shared):
+        def run(batches):
+            known = shared.value
+            for batch in texts.slices(batches):
+                *_, before, hit, found = hits(known, batch.column("text"))
+                first, end, owner = [], [], sorted(found)
+                for i in owner:
+                    a, b = before[i], before[i + 1]
+                    x, y, _ = texts.spans(hit[a:b], np.array([0, b - a]))
+                    first.append(x)
+                    end.append(y)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(rid).take(pa.array(owner, pa.int64())),
+                        pa.array(first, pa.list_(pa.int32())), pa.array(end, pa.list_(pa.int32())),
+                        pa.array([sorted(found[i]) for i in owner], pa.list_(pa.string())),
+                    ],
+                    names=[rid, "first", "end", "items"],
+                )
+
+        return rows.select(rid, "text").mapInArrow(run, schema)
+
+    every = walked(made[0])
+    for shared in made[1:]:
+        every = every.unionByName(walked(shared))
+    # A text has at most one row of a block.
+    one = every.groupBy(rid).agg(F.struct(
+        F.flatten(F.collect_list(F.struct("first", "end"))["first"]).alias("first"),
+        F.flatten(F.collect_list(F.struct("first", "end"))["end"]).alias("end"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+    ).alias(found_in))
+    return rows.join(one, rid, "left").select(*(F.col(f"`{c}`") for c in docs.columns), found_in)
+
+
+def _walk(docs: DataFrame, items: DataFrame, window: int):
+    """(documents, function that gives ``hits`` of a batch of them)."""
+    made, at = blocks(items, window), docs.columns.index("text")
+    if len(made) == 1:
+        shared = made[0]
+        return docs, lambda batch: hits(shared.value, batch.column(at))
+
+    def read(batch):
+        *rest, before, hit, _ = hits(None, batch.column(at))
+        found = {}
+        for i, own in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            if own:
+                found[i] = set(own["items"])
+                for x, y in zip(own["first"], own["end"], strict=True):
+                    hit[before[i] + x : before[i] + y] = True
+        return *rest, before, hit, found
+
+    return united(docs, made), read
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Hit words and items of every whole document."""
-    shared = docs.sparkSession.sparkContext.broadcast(build(items, window))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows, walk = _walk(rows, items, window)
     schema = (
         "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
         "contaminated boolean"
     )
 
     def run(batches):
-        known = shared.value
         for batch in texts.slices(batches):
-            *_, before, hit, found = hits(known, batch.column("text"))
+            *_, before, hit, found = walk(batch)
             n_hit = texts.sums_by_text(hit, before)
             names = [",".join(sorted(found.get(i, ()))) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
@@ -251,7 +352,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def clean(
@@ -263,14 +364,13 @@ def clean(
     never meet without a separator. A document whose hit words exceed ``max_coverage`` of all
     its words is dropped whole. Texts without a hit stay as they are, null included.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build(items, window))
-    at = docs.columns.index("text")
+    rows, walk = _walk(docs, items, window)
+    at, width = docs.columns.index("text"), len(docs.columns)
 
     def run(batches):
-        known = shared.value
         for batch in texts.slices(batches):
             column = batch.column(at)
-            data, offsets, starts, ends, before, hit, found = hits(known, column)
+            data, offsets, starts, ends, before, hit, found = walk(batch)
             n_hit, n_words = texts.sums_by_text(hit, before), np.diff(before)
             kept = n_hit <= max_coverage * n_words
             new = column.to_pylist()
@@ -285,8 +385,9 @@ def clean(
                     done = ends[a + y - 1]
                 out.append(data[done : offsets[i + 1]].tobytes())
                 new[i] = b"".join(out).decode()
-            columns = list(batch.columns)
+            columns = list(batch.columns)[:width]
             columns[at] = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(kept))
+            names = batch.schema.names[:width]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

@@ -361,6 +361,28 @@ def test_spans_against_all_windows(docs, stored, shortest):
         assert tuple(r)[1:] == hits_by_hand(rows[r["doc_id"]], named, 5), rows[r["doc_id"]]
 
 
+@pytest.mark.parametrize("shortest", [1, 4])
+def test_spans_of_many_blocks_equal_those_of_one(docs, stored, monkeypatch, shortest):
+    rng = random.Random(70 + shortest)
+    some = lambda n: " ".join(rng.choice(["Aa", "b", "ç", "d1", "e", "日本", "g"]) for _ in range(n))
+    items = [(i, some(rng.randrange(shortest, 60))) for i in range(12)] + [(50, None), (3, some(40))]
+    rows = [some(rng.randrange(0, 40)) for _ in range(60)] + [None, "", "", items[2][1] + "! zz. " + items[5][1]]
+    rows.append("zz " * 99 + items[2][1] + ", y " + items[5][1])
+    table, bench = docs(rows), stored(items, "item_id bigint, text string")
+    whole = {r["doc_id"]: r["text"] for r in spans.clean(table, bench, 5).collect()}
+    monkeypatch.setattr(spans, "BLOCK_WORDS", 24)
+    monkeypatch.setattr(spans, "PART_WORDS", 8)
+    assert len(spans.blocks(bench, 5)) > 3
+    named = [(str(i), t) for i, t in items]
+    got = spans.decontaminate(table, bench, 5).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:] == hits_by_hand(rows[r["doc_id"]], named, 5), rows[r["doc_id"]]
+    made = spans.clean(table, bench, 5)
+    assert made.columns == table.columns
+    assert {r["doc_id"]: r["text"] for r in made.collect()} == whole
+
+
 def test_clean_removes_stretches_and_mostly_hit_documents(docs, stored):
     item = "alpha beta gamma delta epsilon"
     table = docs([f"Before it, {item.upper()}; after it all is well here.", item, "nothing here", None])
