@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pricestrata import bind
 from pricestrata.bind import ctes
@@ -22,15 +25,21 @@ def point_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind.frame(spark, sf_dir, "points", {"events": events})
 
 
-def late_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+def deliver_late(
+    spark: SparkSession, sf_dir: str, root: str, run: Callable[[DataFrame], StreamingQuery]
+) -> StreamingQuery:
     """All events in three deliveries: the last days first, the first days last, then a part of
-    each again; every delivery is a micro-batch or more."""
+    each again. Each is written as it is split into a folder of its own, and the stream that
+    ``run`` starts comes to its end before the next one; returns the last run."""
     events = table(spark, sf_dir, "events")
     day = F.dayofmonth("ts")
-    for part in (day > 20, day <= 10, ((day > 10) & (day <= 20)) | (c("event_id") % 5 == 0)):
-        events.where(part).coalesce(1).write.mode("append").parquet(f"{root}/events")
-    stream = ops.events_stream(spark, f"{root}/events", "*.parquet", events.schema, 1)
-    return bind.frame(spark, sf_dir, "points", {"events": stream})
+    parts = (day > 20, day <= 10, ((day > 10) & (day <= 20)) | (c("event_id") % 5 == 0))
+    for k, part in enumerate(parts):
+        events.where(part).write.mode("overwrite").parquet(f"{root}/events/{k}")
+        stream = ops.events_stream(spark, f"{root}/events/*", "*.parquet", events.schema)
+        running = run(bind.frame(spark, sf_dir, "points", {"events": stream}))
+        running.awaitTermination()
+    return running
 
 
 @query(
@@ -42,8 +51,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries come late and twice, and some rows twice in one; the table holds each once."""
     root = shared_folder(spark, "stream-ingest")
     copies = F.when(c("ingest_seq") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    delivered = late_stream(spark, sf_dir, root).withColumn("copy", F.explode(copies)).drop("copy")
-    ops.ingest(delivered, root).awaitTermination()
+    deliver_late(
+        spark, sf_dir, root,
+        lambda late: ops.ingest(late.withColumn("copy", F.explode(copies)).drop("copy"), root),
+    )
     return spark.read.parquet(f"{root}/facts").select("ingest_seq", "observation_key", "observed_date")
 
 
@@ -57,8 +68,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-current")
-    running = ops.follow_current(late_stream(spark, sf_dir, root), root)
-    running.awaitTermination()
+    running = deliver_late(spark, sf_dir, root, lambda late: ops.follow_current(late, root))
     batch_id = running.lastProgress["batchId"]
     schema = bind.frame(spark, sf_dir, "points").select(*POINTER).schema
     return ops.current_pointers(spark, root, batch_id, schema).select(

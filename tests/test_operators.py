@@ -295,3 +295,23 @@ def test_plans_push_filters_and_prune_columns(spark):
     assert "GreaterThan(l_quantity" in plan and "l_comment" not in plan
     pointer = load()["current_price_projection"].run(spark, SF)
     assert "CartesianProduct" not in pointer._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_deliveries_keep_their_partitions_and_their_order(spark, tmp_path):
+    from pathlib import Path
+
+    from pricestrata.queries import streams
+
+    sf, root = tmp_path / "sf", tmp_path / "late"
+    sf.mkdir()
+    for path in Path("/root/testdata/sf0.001").iterdir():
+        if path.name != "events.parquet":
+            (sf / path.name).symlink_to(path)
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(4).write.parquet(f"{sf}/events.parquet")
+    streams.deliver_late(spark, str(sf), str(root), lambda late: prices.ingest(late, str(root)))
+    assert [len(list((root / "events" / str(k)).glob("*.parquet"))) for k in range(3)] == [4, 4, 4]
+    days = spark.read.parquet(f"{root}/facts").groupBy("batch_id").agg(
+        F.min(F.dayofmonth("observed_date")).alias("a"), F.max(F.dayofmonth("observed_date")).alias("b")
+    ).collect()
+    got = {r["batch_id"]: (r["a"], r["b"]) for r in days}
+    assert sorted(got) == [0, 1, 2] and got[0][0] > 20 and got[1][1] <= 10 and 10 < got[2][0] <= got[2][1] <= 20
