@@ -21,6 +21,7 @@ from pricestrata.llm import (
     sqltext,
     texts,
     tokenfiles,
+    trie,
 )
 from pricestrata.session import table
 
@@ -112,3 +113,9 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_suffix_dedup")
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_trie", sqltext.conversation_trie())
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+    return nodes.select(*trie.NAMES[:-2])

@@ -149,3 +149,50 @@ named as (
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc_words left join hit using (rid) left join named using (rid)"""
+
+
+def conversation_trie() -> str:
+    """Nodes are the distinct lists of first turns; a subtree is found along the rebuilt conversation
+    that gives a node its conv_id."""
+    return r"""
+with recursive tab(i, step, v) as (
+  select i, 0, cast(i as ubigint) from range(256) t(i)
+  union all
+  select i, step + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384::ubigint) else v >> 1 end
+  from tab where step < 8),
+crc_table as (select list(v order by i) as t from tab where step = 8),
+own as (
+  select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as k
+  from conversations where conv_id is not null),
+convs as (
+  select c, c - c % 20 as base, cast(list_reduce(list_concat([4294967295::ubigint],
+      list_transform(range(length(c::varchar)), lambda i: cast(ascii(c::varchar[i + 1]) as ubigint))),
+      lambda a, b: xor(a >> 8, t[cast(xor(a, b) & 255 as int) + 1])) as bigint) as inverted
+  from (select distinct c from own), crc_table),
+plan as (select c, base, 3 - inverted % 4 as h from convs),
+turns as (
+  select p.c, o.k as d, o.r, o.x from plan p join own o on o.c = p.base and o.k <= p.h
+  union all
+  select p.c, o.k - p.h + coalesce((select count(*) from own b where b.c = p.base and b.k <= p.h), 0), o.r, o.x
+  from plan p join own o on o.c = p.c and o.k > p.h),
+steps as (
+  select c, d, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) as w,
+    string_agg(md5(r) || md5(x), '') over (partition by c order by d) as path from turns
+  union all select c, 0, 0, '' from plan),
+sizes as (select c, max(d) as size from steps group by c),
+nodes as (
+  select path, d as depth, min(c) as conv_id, count(*) as n_convs, max(w) as w,
+    (count(*) - 1) * max(w) as own_saved,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where size = d), '')) as ends_sha256
+  from steps join sizes using (c) group by path, d),
+kids as (
+  select left(path, (depth - 1)::int * 64) as path, count(*) as n_children from nodes where depth > 0 group by 1),
+full_nodes as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join kids using (path)),
+sums as (
+  select s.path, sum(n.own_saved) as saved_tokens, count(*) filter (where n.n_children = 0) as n_leaves
+  from full_nodes n join steps s on s.c = n.conv_id and s.d <= n.depth group by s.path)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from full_nodes n join sums using (path)
+left join nodes p on n.depth > 0 and p.path = left(n.path, (n.depth - 1)::int * 64)"""

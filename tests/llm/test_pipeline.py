@@ -20,7 +20,7 @@ def test_query(spark, name):
     if sql is None:
         return
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(sql).df()
     columns = sorted(got.columns)
