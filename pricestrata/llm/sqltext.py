@@ -167,7 +167,7 @@ own as (
   from conversations where conv_id is not null),
 convs as (
   select c, c - c % 20 as base, cast(list_reduce(list_concat([4294967295::ubigint],
-      list_transform(range(length(c::varchar)), lambda i: cast(ascii(c::varchar[i + 1]) as ubigint))),
+      list_transform(range(length(c::varchar)), lambda i: cast(ascii(substr(c::varchar, i + 1, 1)) as ubigint))),
       lambda a, b: xor(a >> 8, t[cast(xor(a, b) & 255 as int) + 1])) as bigint) as inverted
   from (select distinct c from own), crc_table),
 plan as (select c, base, 3 - inverted % 4 as h from convs),
