@@ -9,9 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricestrata.llm import (
+    alignment,
     bpe,
     language,
     licences,
+    mixing,
     nearcopies,
     quality,
     repeats,
@@ -119,3 +121,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
     return nodes.select(*trie.NAMES[:-2])
+
+
+@query("op12_mixing")
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
