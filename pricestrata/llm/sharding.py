@@ -13,7 +13,7 @@ Defined results
 - null text: size 1, checksum 0. null doc_id: kept, such rows are numbered first.
 - repeated rows get numbers of their own; which of two equal rows gets which does not show.
 - no rows: an empty result. Extra columns are ignored.
-- ``documents`` must be a stored table (see texts.with_row_id): equal rows are told apart by place.
+- equal rows are told apart by their place in the scan.
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ def permuted(number: Column, rows: int, seed: int = SEED) -> Column:
 def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     """(doc_id, size, text_crc32, number) of all rows, stored, and how many there are."""
     text = F.col("text").cast("string")
-    small = texts.with_row_id(docs.select("doc_id", "text")).select(
+    small = docs.select("doc_id", "text").withColumn("_rid", F.monotonically_increasing_id()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("text_crc32"),

@@ -178,13 +178,28 @@ def sums_by_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+#: Rows that a file may hold (as a power of two) for its numbers to fit beside the file's.
+_ROW_BITS = 36
+
+
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     """A number per row, the same in every job over the same stored table.
 
-    It follows from the scan's split and the position in it. ``df`` must be a scan of stored
-    files with row-wise steps on top, as all operators that use it state.
+    It is made of the file's place in the list of files and the row's place in its file, so it depends
+    neither on how Spark cuts the scan nor on the cores it has at the time. ``df`` must be a scan of stored
+    Parquet files with row-wise steps on top, as all operators that use it state. The list of files, which the
+    driver holds for the scan anyway, is broadcast.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    spark, file, number = df.sparkSession, free_name(df, "_file"), free_name(df, "_number")
+    # Spark writes local paths in two ways.
+    names = sorted({re.sub("^file:/+", "file:/", path) for path in df.inputFiles()})
+    files = spark.createDataFrame(list(zip(names, range(len(names)), strict=True)), f"{file} string, {number} bigint")
+    at = df.metadataColumn("_metadata")
+    path = F.regexp_replace(at["file_path"], "^file:/+", "file:/")
+    rows = df.withColumns({file: path, name: at["row_index"]}).join(F.broadcast(files), file, "left")
+    known = F.when(F.col(number).isNotNull() & (F.col(name) < 1 << _ROW_BITS), F.shiftleft(number, _ROW_BITS) + F.col(name))
+    known = known.otherwise(F.raise_error(F.lit("a row of an unlisted or too long file")).cast("bigint"))
+    return rows.select(*(F.col(f"`{c}`") for c in df.columns), known.alias(name))
 
 
 def free_name(df: DataFrame, wish: str) -> str:
