@@ -457,20 +457,20 @@ def found(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(texts that may hold a repeated window: rid, text; ranges of repeated starts: rid, lo, hi)."""
     rows = texts.with_row_id(docs.select("text"))
     every = texts.stored(anchors(rows, length), "anchors")
-    again = every.groupBy("gram").agg(
-        F.count("*").alias("_n"), F.min("block").alias("_a"), F.max("block").alias("_b")
-    )
-    # Dealt out anew before the join, so that AQE can split a gram that many texts share.
-    again = again.where("_n > 1").select("gram", (F.col("_a") != F.col("_b")).alias("mixed"))
-    again = again.hint("rebalance")
-    few = texts.stored(every.join(again, "gram"), "repeated-anchors")
-    blocks = few.groupBy("gram", "block", "mixed").agg(
+    again = every.groupBy("gram").agg(F.count("*").alias("_n")).where("_n > 1").select("gram")
+    # Dealt out anew before the join, so that AQE can split a gram that many texts share. The rows
+    # that stay are dealt by text, so that each file, and so each task of the next shuffle, holds a part of a hot block.
+    few = every.join(again.hint("rebalance"), "gram", "left_semi").repartition("rid")
+    few = texts.stored(few, "repeated-anchors")
+    blocks = few.groupBy("gram", "block").agg(
         F.count("*").alias("_n"), F.min(F.struct("rid", "at", "lo", "hi")).alias("_one")
     )
+    blocks = texts.stored(blocks, "repeated-blocks")
     twice = blocks.where("_n > 1").select("gram", "block").hint("rebalance")
     whole = few.join(twice, ["gram", "block"], "left_semi")
+    mixed = blocks.groupBy("gram").agg(F.count("*").alias("_k")).where("_k > 1").select("gram")
     # Of each distinct block one occurrence is sorted; equal blocks are settled already.
-    one = blocks.where("mixed").select("_one.*")
+    one = blocks.join(mixed.hint("rebalance"), "gram", "left_semi").select("_one.*")
     listed = (
         one.select("rid", F.struct("at", "lo", "hi").alias("e"), F.lit(None).cast("struct<lo:int,hi:int>").alias("w"))
         .unionByName(whole.select("rid", F.lit(None).cast("struct<at:int,lo:int,hi:int>").alias("e"),
