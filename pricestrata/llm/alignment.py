@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -102,10 +103,15 @@ class Right:
             known[" "] = self.space
         fresh = [w for w in {w for own in words for w in own} if w not in known]
         made = self.model.encode([w[1:] for w in fresh], num_threads=1) if fresh else []
-        new = {w: np.array(x, np.int32).tobytes() for w, x in zip(fresh, made, strict=True)}
+        new = {w: array("i", x).tobytes() for w, x in zip(fresh, made, strict=True)}
         known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
-        find = lambda w: known.get(w) or new[w]
-        return [np.frombuffer(b"".join(map(find, own)), np.int32).astype(np.int64) for own in words]
+        out = []
+        for own in words:
+            raw = list(map(known.get, own))
+            if None in raw:
+                raw = [new[w] if x is None else x for w, x in zip(own, raw, strict=True)]
+            out.append(np.frombuffer(b"".join(raw), np.int32).astype(np.int64))
+        return out
 
 
 class Tables:
