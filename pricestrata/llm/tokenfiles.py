@@ -235,6 +235,7 @@ def read(spark: SparkSession, root: str, manifest: DataFrame, path: str) -> Data
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    # The few rows of the manifest are spread, so that every part is read by a task of its own.
-    parts = based(manifest).select("part", "base").repartition("part")
+    # The few rows of the manifest are spread by ranges of a given number, which AQE leaves alone,
+    # so that every part is read by a task of its own.
+    parts = based(manifest).select("part", "base").repartitionByRange(max(1, manifest.count()), "part")
     return parts.mapInArrow(run, schema)
