@@ -16,6 +16,7 @@ from pricestrata.operators import rules
 from pricestrata.operators.policy import evaluate
 from pricestrata.operators.quality import spread_distrust
 from pricestrata.session import shared_folder
+from pricestrata.sources import malls
 from pricestrata.sources.pages import market_candidates, market_rows
 from pricestrata.sources.seeds import commodities
 
@@ -108,6 +109,26 @@ def judge_products(rows: DataFrame) -> DataFrame:
     return spread_distrust(evaluate(rules.device_identity(rows)), ["channel", "external_product_id"])
 
 
+def judged_rows(channel: str, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(judged listing rows, failed documents with their ``doc_error``) of one source.
+
+    Parsed rows and judged rows are written, so that each is computed once.
+    """
+    rows = settle(parse(channel, docs), "parsed")
+    failed = rows.where(c("doc_error").isNotNull()).select("record_id", "doc_error")
+    good = rows.where(c("doc_error").isNull()).drop("doc_error")
+    if channel not in malls.MALLS:
+        return settle(judge_documents(good), "judged"), failed
+    judged = settle(judge_products(good), "judged")
+    spec = sha256(F.coalesce("identity_json", F.lit("")))
+    keyed = judged.withColumn(
+        "listing_id", sha256(F.concat_ws("|", "channel", "merchant_key", "listing_key"))
+    ).withColumn("identity_fingerprint", spec)
+    return keyed.withColumn(
+        "revision_id", sha256(F.concat_ws("|", "listing_id", "identity_fingerprint"))
+    ), failed
+
+
 def document_facts(judged: DataFrame, adapter_version: str) -> DataFrame:
     """Facts of accepted identities; same-time publications become correction chains.
 
@@ -146,7 +167,10 @@ def outputs(judged: DataFrame, adapter_version: str) -> dict[str, DataFrame]:
 
 
 # Parsers by source: evidence documents in, listing rows out. Unknown sources are an error.
-PARSERS = {MARKET_CHANNEL: market_listings}
+PARSERS = {
+    MARKET_CHANNEL: market_listings, malls.CITY_CHANNEL: malls.city_listings,
+    **{channel: malls.mall_parser(channel) for channel in malls.MALLS},
+}
 
 
 def register_parser(channel: str, parser) -> None:

@@ -85,12 +85,15 @@ def snapshot_rows(docs: DataFrame, tag: str, key: str = "doc_id") -> DataFrame:
     )
 
 
-def snapshot_skus(rows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Name, SKU id, prices and stock wording of every snapshot fragment."""
+def snapshot_skus(rows: DataFrame, key: str = "doc_id", stock: str | None = None) -> DataFrame:
+    """Name, SKU id, prices and stock wording of every snapshot fragment.
+
+    ``stock`` is the class of the node that states the stock; without it the whole fragment does.
+    """
     fragment = rows.withColumn("fragment", F.concat_ws("#", c(key).cast("string"), c("snapshot_no").cast("string")))
     nodes = read_nodes(
         fragment, "fragment", "html", ("h1", "h2", "del", "s", "section", "body"),
-        ("product-name", "current-price", "sale-price", "original-price", "market-price"),
+        ("product-name", "current-price", "sale-price", "original-price", "market-price", *([stock] if stock else [])),
     )
     klass = F.coalesce(F.try_element_at("attrs", F.lit("class")), F.lit(""))
     sku = F.try_element_at("attrs", F.lit("data-sku-id"))
@@ -105,7 +108,9 @@ def snapshot_skus(rows: DataFrame, key: str = "doc_id") -> DataFrame:
         first(klass.rlike(r"(^| )(current|sale)-price( |\z)"), c("t")).alias("current_text"),
         first(original, c("t")).alias("original_text"),
         first(sku.isNotNull(), sku).alias("sku_id"),
-        first(c("up_no") == -1, c("t")).alias("page_text"),
+        first(
+            klass.rlike(rf"(^| ){stock}( |\z)") if stock else c("up_no") == -1, c("t")
+        ).alias("page_text"),
     )
     return (
         fragment.drop("html")
@@ -287,11 +292,12 @@ def detail_map_rows(docs: DataFrame, tag: str, key: str = "doc_id") -> DataFrame
     )
     return joined.select(
         key, "sku_id", squeeze(c("product_id")).alias("product_id"), squeeze(c("name")).alias("name"),
-        "dimensions",
+        "dimensions", c("d.colorName").alias("shown_color"),
         c("d.salePrice").alias("current_text"),
         c("d.marketPrice").alias("original_text"),
         F.when(c("d").isNotNull(), state).alias("availability"),
-        F.when(c("d").isNull() | (c("dimensions").isNull() & c("spec_error").isNull()), "SKU_COVERAGE_INCOMPLETE")
+        F.when(c("spec_error").isin("EVIDENCE_NOT_JSON", "SCHEMA_UNSUPPORTED"), c("spec_error"))
+        .when(c("d").isNull() | (c("dimensions").isNull() & c("spec_error").isNull()), "SKU_COVERAGE_INCOMPLETE")
         .otherwise(c("spec_error"))
         .alias("error"),
     )
