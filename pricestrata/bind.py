@@ -248,9 +248,9 @@ SELECT ingest_seq, listing_id, revision_id, 'PROVINCE' AS region_scope, 'ALL' AS
 FROM {points}
 WHERE quality_status = 'ACCEPTED'
 """
-# Sightings of products in daily runs; some products are out of view on some days.
+# Sightings of products in daily runs: a product is in view on the days of its national prices.
 VIEWS["sightings"] = """
-SELECT DISTINCT channel, product_id, observed_date AS run_at FROM {points} WHERE k % 4 = 1
+SELECT DISTINCT channel, product_id, observed_date AS run_at FROM {points} WHERE region_scope = 'NATIONAL'
 """
 VIEWS["runs"] = """
 SELECT channel, observed_date AS run_at, EXTRACT(DAY FROM observed_date) % 10 <> 5 AS complete

@@ -333,13 +333,12 @@ def price_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT channel, observed_date AS run_at, product_id, first_seq, row_number() OVER w AS place,
            row_number() OVER w > 5 AS beyond_cap
          FROM (SELECT channel, observed_date, product_id, min(ingest_seq) AS first_seq FROM points
-               WHERE k % 4 = 1 GROUP BY ALL) WINDOW w AS (PARTITION BY channel, observed_date ORDER BY first_seq)""",
+               GROUP BY ALL) WINDOW w AS (PARTITION BY channel, observed_date ORDER BY first_seq)""",
 )
 def capped_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products of a run in the order in which they were found; five are taken, all are kept."""
     found = (
         bind.frame(spark, sf_dir, "points")
-        .where("k % 4 = 1")
         .groupBy("channel", c("observed_date").alias("run_at"), "product_id")
         .agg(F.min("ingest_seq").alias("first_seq"))
     )

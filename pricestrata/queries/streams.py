@@ -15,6 +15,7 @@ from pricestrata.operators.guards import number_runs
 from pricestrata.queries import query
 from pricestrata.queries.guarding import _STREAKS
 from pricestrata.session import shared_folder, table
+from pricestrata.streaming import holds
 from pricestrata.streaming import prices as ops
 
 c = F.col
@@ -111,9 +112,8 @@ def stream_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_change_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-hold")
-    held = ops.hold_changes(point_stream(spark, sf_dir))
-    ops.write_stream(held, root, "verdicts").awaitTermination()
-    return ops.settled(spark.read.schema(ops.HOLD_OUTPUT).parquet(f"{root}/verdicts"))
+    holds.hold_changes(point_stream(spark, sf_dir), root).awaitTermination()
+    return holds.settled(holds.read_verdicts(spark, root))
 
 
 @query(
@@ -127,7 +127,7 @@ def stream_change_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_miss_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "stream-misses")
     runs = number_runs(bind.frame(spark, sf_dir, "runs")).select("channel", "run_at", "run_no")
-    seen = point_stream(spark, sf_dir).where("k % 4 = 1").select(
+    seen = point_stream(spark, sf_dir).where("region_scope = 'NATIONAL'").select(
         "channel", "product_id", c("observed_date").alias("run_at")
     )
     numbered = seen.join(runs, ["channel", "run_at"])

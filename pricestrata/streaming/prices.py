@@ -7,8 +7,6 @@ a batch that is run again after a failure overwrites its own output and nothing
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import timedelta
-from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -78,16 +76,23 @@ def ingest(stream: DataFrame, root: str) -> StreamingQuery:
     return _start(stream, append, root, "ingest")
 
 
-def _heads(spark: SparkSession, root: str, batch_id: int) -> dict[int, int]:
-    """The version that each bucket of the pointer table has after a batch."""
-    path = f"{root}/current/heads/v={batch_id}"
+def _heads(spark: SparkSession, root: str, batch_id: int, name: str = "current") -> dict[int, int]:
+    """The version that each bucket of a table has after a batch."""
+    path = f"{root}/{name}/heads/v={batch_id}"
     if batch_id < 0 or not path_exists(spark, path):
         return {}
     return {r["bucket"]: r["version"] for r in spark.read.parquet(path).collect()}
 
 
-def _pointers(spark: SparkSession, root: str, heads: dict[int, int], schema) -> DataFrame:
-    paths = [f"{root}/current/v={v}/bucket={b}" for b, v in sorted(heads.items())]
+def _note(spark: SparkSession, root: str, batch_id: int, heads: dict[int, int], name: str = "current") -> None:
+    rows = spark.createDataFrame(sorted(heads.items()), "bucket int, version bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}/heads/v={batch_id}")
+
+
+def _pointers(
+    spark: SparkSession, root: str, heads: dict[int, int], schema, name: str = "current"
+) -> DataFrame:
+    paths = [f"{root}/{name}/v={v}/bucket={b}" for b, v in sorted(heads.items())]
     paths = [x for x in paths if path_exists(spark, x)]
     if not paths:
         return spark.createDataFrame([], schema)
@@ -123,8 +128,7 @@ def _advance(batch: DataFrame, batch_id: int, root: str, buckets: int) -> DataFr
     finally:
         accepted.unpersist()
     heads |= dict.fromkeys(touched, batch_id)
-    rows = spark.createDataFrame(sorted(heads.items()), "bucket int, version bigint")
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/current/heads/v={batch_id}")
+    _note(spark, root, batch_id, heads)
     return _pointers(spark, root, dict.fromkeys(touched, batch_id), stored.schema)
 
 
@@ -161,81 +165,6 @@ def route(stream: DataFrame, root: str, buckets: int = 16) -> StreamingQuery:
     return _start(stream, split, root, "route")
 
 
-HOLD_OUTPUT = (
-    "listing_id string, region_scope string, region_code string, ingest_seq bigint, verdict string"
-)
-HOLD_STATE = "last_cents bigint, last_at timestamp, held_cents bigint, held_at timestamp, held_seq bigint"
-
-
-def hold_changes(stream: DataFrame, threshold: str = "0.30", wait_ms: int = 86_400_000) -> DataFrame:
-    """Hold a large change until a later capture repeats its price, else send it to review.
-
-    State per listing and region: the last trusted price and at most one held price. Every row
-    gets a verdict at once: TRUSTED, HISTORY (not after the last trusted time) or HELD. A held
-    row gets a second one when it is settled: CONFIRMED by a repeat, PRICE_CHANGE_UNCONFIRMED by
-    another price or by a capture more than ``wait_ms`` later. ``settled`` keeps the last one.
-
-    The rows of a key in a micro-batch are put in time order as a whole before they are judged.
-    """
-    limit, wait = Decimal(threshold), timedelta(milliseconds=wait_ms)
-
-    def step(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last_cents, last_at, held_cents, held_at, held_seq = (
-            state.get if state.exists else (None, None, None, None, None)
-        )
-        out: list[tuple[int, str]] = []
-        rows = pd.concat(list(frames)).sort_values(["event_time", "ingest_seq"])
-        for stamp, price, number in zip(rows["event_time"], rows["cents"], rows["ingest_seq"], strict=True):
-            at, cents, seq = stamp.to_pydatetime(), int(price), int(number)
-            if last_at is not None and at <= last_at:
-                out.append((seq, "HISTORY"))
-                continue
-            if held_seq is not None and at - held_at > wait:
-                out.append((held_seq, "PRICE_CHANGE_UNCONFIRMED"))
-                held_cents = held_at = held_seq = None
-            jump = last_cents is not None and abs(cents - last_cents) > limit * last_cents
-            if jump and (held_seq is None or held_cents != cents or at <= held_at):
-                if held_seq is not None:
-                    out.append((held_seq, "PRICE_CHANGE_UNCONFIRMED"))
-                held_cents, held_at, held_seq = cents, at, seq
-                out.append((seq, "HELD"))
-                continue
-            if held_seq is not None:
-                out.append((held_seq, "CONFIRMED" if jump else "PRICE_CHANGE_UNCONFIRMED"))
-                held_cents = held_at = held_seq = None
-            out.append((seq, "TRUSTED"))
-            last_cents, last_at = cents, at
-        state.update((last_cents, last_at, held_cents, held_at, held_seq))
-        yield pd.DataFrame(
-            {
-                "listing_id": key[0],
-                "region_scope": key[1],
-                "region_code": key[2],
-                "ingest_seq": pd.Series([s for s, _ in out], dtype="int64"),
-                "verdict": pd.Series([v for _, v in out], dtype="str"),
-            }
-        )
-
-    priced = stream.where((c("quality_status") == "ACCEPTED") & c("current_price").isNotNull())
-    return (
-        priced.select(
-            "listing_id", "region_scope", "region_code", "ingest_seq",
-            c("observed_at").cast("timestamp").alias("event_time"),
-            (c("current_price") * 100).cast("bigint").alias("cents"),
-        )
-        .groupBy("listing_id", "region_scope", "region_code")
-        .applyInPandasWithState(step, HOLD_OUTPUT, HOLD_STATE, "append", GroupStateTimeout.NoTimeout)
-    )
-
-
-def settled(verdicts: DataFrame) -> DataFrame:
-    """The last verdict of every row: a row is HELD only while nothing has settled it."""
-    key = ["listing_id", "region_scope", "region_code", "ingest_seq"]
-    return verdicts.groupBy(*key).agg(F.max_by("verdict", c("verdict") != "HELD").alias("verdict"))
-
-
 MISS_OUTPUT = "channel string, product_id string, run_no int, misses_before int, late boolean"
 
 
