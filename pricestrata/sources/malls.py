@@ -190,17 +190,18 @@ def product_listings(brand: str, channel: str, skus: DataFrame, docs: DataFrame)
             F.when(~c("found").eqNullSafe(c("wanted")), "CATEGORY_DIFFERS"),
             F.when(c("copies") > 1, "SKU_REPEATED"),
             F.when(c("names") > 1, "NAMES_DIFFER"),
-            c("p.error"),
         )
     )
-    # Windows over one document, whose SKUs fit in a task.
+    # Windows over one document, whose SKUs fit in a task. A page is read SKU by SKU, so a repeat or another
+    # name is the fault of the later SKU; prices are read when all SKUs are known.
     whole = Window.partitionBy("doc_id")
-    rows = rows.withColumns({
-        "copies": F.count("key").over(Window.partitionBy("doc_id", "key")),
-        "names": F.when(F.min("name").over(whole) != F.max("name").over(whole), 2).otherwise(1),
+    placed = Window.partitionBy("doc_id").orderBy("place")
+    rows = rows.withColumn("place", F.coalesce("sku_no", F.lit(0))).withColumns({
+        "copies": F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("place")),
+        "names": F.when(c("name") != F.first("name").over(placed), 2).otherwise(1),
     })
-    rows = rows.withColumns({"own": own, "place": F.coalesce("sku_no", F.lit(0))})
-    fault = F.when(c("own").isNotNull(), F.struct("place", "own"))
+    rows = rows.withColumns({"own": own, "late": own.isNull()}).withColumn("own", F.coalesce("own", "p.error"))
+    fault = F.when(c("own").isNotNull(), F.struct("late", "place", "own"))
     rows = rows.withColumn("doc_error", F.min(fault).over(whole)["own"])
     rows = rows.withColumn("first", c("place") == F.min("place").over(whole)).where("doc_error IS NULL OR first")
     fields, rest = _specification(brand)
