@@ -16,7 +16,7 @@ from pricestrata.operators import facts, lookups, ordered
 from pricestrata.queries import audits, load
 from pricestrata.session import shared_folder
 from pricestrata.sources import evidence, tables
-from pricestrata.streaming import prices
+from pricestrata.streaming import holds, prices
 
 load()
 c = F.col
@@ -165,13 +165,67 @@ def test_stream_hold_equals_brute_force(spark, tmp_path):
         half = df.where((c("ingest_seq") % 100 < 15) if part == 0 else (c("ingest_seq") % 100 >= 15))
         half.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = prices.events_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema, 1)
-    held = prices.hold_changes(stream, wait_ms=10**12)
-    prices.write_stream(held, str(tmp_path), "verdicts").awaitTermination()
-    verdicts = prices.settled(spark.read.parquet(str(tmp_path / "verdicts")))
+    root = str(tmp_path / "held")
+    holds.hold_changes(stream, root, wait_ms=10**12, slice_ms=3_600_000 * 4).awaitTermination()
+    verdicts = holds.settled(holds.read_verdicts(spark, root))
     got = {r["ingest_seq"]: r["verdict"] for r in verdicts.collect()}
     assert got == want and len(got) == len(data)
 
 
+def test_moves_of_slices_equal_the_chain():
+    """Any cut into slices, any grouping of their moves, and any state before."""
+    rng = random.Random(5)
+    limit = holds.limit_of("0.30", 5)
+    for _ in range(400):
+        at, rows = 0, []
+        for seq in range(rng.randrange(1, 40)):
+            at += rng.choice([0, 1, 1, 2, 7_000])
+            rows.append((at, rng.choice([100, 100, 129, 130, 131, 200, 200, 70, 5]), seq))
+        state = holds.State()
+        if rng.random() < 0.7:
+            hold = (rng.choice([100, 200, 70]), rng.choice([-1, -9_000]), 99) if rng.random() < 0.5 else (None, None, None)
+            state = holds.State(rng.choice([100, 130, 200, 5, 1_000]), -10_000, *hold)
+        want, _ = holds.judge(state, rows, limit)
+        cuts = sorted({r[0] for r in rows[1:] if rng.random() < 0.3})
+        parts = [[r for r in rows if a <= r[0] < b] for a, b in zip([-1, *cuts], [*cuts, 10**9], strict=True)]
+        moves = [holds.unpacked(holds.packed(holds.move_of(p, limit))) for p in parts if p]
+        while len(moves) > 1:
+            i = rng.randrange(len(moves) - 1)
+            moves[i : i + 2] = [moves[i].then(moves[i + 1], limit)]
+        assert moves[0].after(state, limit) == want
+
+
+def test_stream_hold_of_one_hot_listing_over_late_batches(spark, tmp_path, monkeypatch):
+    """One listing has nearly all rows; its slices are many, and the deliveries overlap in time."""
+    monkeypatch.setattr(holds, "SECTION", 5)
+    rng = random.Random(3)
+    rows = [
+        ("HOT" if n % 20 else f"L{n % 3}", "NATIONAL", "CN", n, T0 + timedelta(hours=n // 2),
+         Decimal(rng.choice([1000, 1000, 1100, 2000, 2000, 700])) / 100, "ACCEPTED")
+        for n in range(900)
+    ]
+    schema = "listing_id string, region_scope string, region_code string, ingest_seq bigint, observed_at timestamp_ntz, current_price decimal(18,2), quality_status string"
+    parts = [[r for r in rows if 300 <= r[3] < 700], [r for r in rows if r[3] < 400], [r for r in rows if r[3] >= 600]]
+    df = spark.createDataFrame(rows, schema)
+    root = str(tmp_path / "held")
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+        stream = prices.events_stream(spark, str(tmp_path / "in/*"), "*.parquet", df.schema)
+        holds.hold_changes(stream, root, slice_ms=3_600_000 * 7).awaitTermination()
+    got = sorted(
+        (r["batch_id"], r["listing_id"], r["ingest_seq"], r["verdict"])
+        for r in spark.read.parquet(f"{root}/verdicts").collect()
+    )
+    want, states = [], {}
+    limit = holds.limit_of("0.30", 86_400_000)
+    for k, part in enumerate(parts):
+        for listing in {r[0] for r in part}:
+            own = [(int((r[4] - T0).total_seconds() * 1e6), int(r[5] * 100), r[3]) for r in part if r[0] == listing]
+            states[listing], out = holds.judge(states.get(listing, holds.State()), sorted(own, key=lambda x: (x[0], x[2])), limit)
+            want += [(k, listing, seq, verdict) for seq, verdict in out]
+    assert got == sorted(want)
+
+
 def test_stream_ingest_and_pointer_over_late_batches(spark, tmp_path):
     rows = _points(spark)
     early, late = rows.where("observed_date >= DATE '2024-01-15'"), rows.where("observed_date < DATE '2024-01-15'")
