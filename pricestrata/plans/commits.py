@@ -22,7 +22,8 @@ from pricestrata.plans import batch as plan
 from pricestrata.session import path_exists
 
 c = F.col
-#: Tables that are laid out by day.
+#: Tables whose parts are ranges of days, sorted, so that a filter on days skips files and row groups. A batch may
+#: touch thousands of days, so days are no folders.
 DATED = ("observation",)
 
 
@@ -68,8 +69,9 @@ def commit(spark: SparkSession, root: str, batch_id: str, tables: dict[str, Data
     attempt, staged = uuid.uuid4().hex, {}
     for name, rows in tables.items():
         path = f"{name}/batch={batch_id}/attempt={attempt}"
-        writer = rows.write.partitionBy("observed_date") if name in DATED else rows.write
-        writer.parquet(f"{root}/{path}")
+        if name in DATED:
+            rows = rows.repartitionByRange("observed_date").sortWithinPartitions("observed_date")
+        rows.write.parquet(f"{root}/{path}")
         staged[name] = {"path": path, "schema": rows.schema.json()}
     while True:
         known = entries(spark, root)
@@ -102,11 +104,12 @@ def linked_facts(judged: DataFrame, adapter: str, stored: DataFrame | None) -> D
         "base_key": c("observation_key"), "base_payload": c("payload_hash")
     })
     key = ["observed_date", "base_key"]
-    first = fact_ops.first_arrivals(keyed, key)
+    first = plan.settle(fact_ops.first_arrivals(keyed, key), "arrivals")
     none = F.lit(None).cast("string")
     if stored is not None:
-        # Literal days, so that the scan of the store is pruned.
-        stored = fact_ops.on_days(stored, fact_ops.days_of(first)).drop("commit_no")
+        # The batch's span of days as literals, which the scan of the store skips by.
+        low, high = first.agg(F.min("observed_date"), F.max("observed_date")).first()
+        stored = stored.where(c("observed_date").between(low, high)).drop("commit_no")
         first = first.join(stored.select(*key), key, "left_anti")
     accepted = first.where(c("quality_status") == "ACCEPTED").withColumn("_new", F.lit(True))
     if stored is not None:
