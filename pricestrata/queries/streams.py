@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +15,7 @@ from pricestrata.operators.guards import number_runs
 from pricestrata.queries import query
 from pricestrata.queries.guarding import _STREAKS
 from pricestrata.session import shared_folder, table
-from pricestrata.streaming import holds
+from pricestrata.streaming import holds, misses
 from pricestrata.streaming import prices as ops
 
 c = F.col
@@ -135,6 +135,50 @@ def stream_miss_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ops.MISS_OUTPUT).parquet(f"{root}/misses")
 
 
+@query(
+    "stream_missing",
+    "STR-04 WIN-09",
+    ctes("runs", "sightings", extra=_STREAKS)
+    + """SELECT channel, product_id, CAST(run_no AS INT) AS run_no, 'SEEN' AS outcome,
+           CAST(run_no - lag(run_no) OVER (PARTITION BY channel, product_id ORDER BY run_no) - 1 AS INT) AS misses FROM seen
+         UNION ALL SELECT channel, product_id, run_no, 'MISSING', CAST(2 AS INT) FROM streaks WHERE candidate""",
+)
+def stream_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in three deliveries by time, each up to four days late and a fifth of them again after six; at the end a
+    clock row says that no run is outstanding, so products that nobody sees again are missed by their timers."""
+    root = shared_folder(spark, "stream-missing")
+    events = table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    runs = number_runs(bind.frame(spark, sf_dir, "runs")).select("channel", "run_at", "run_no")
+    due = runs.select("channel", (c("run_no") - 2).alias("run_no"), c("run_at").alias("due_at"))
+    dated = runs.join(due, ["channel", "run_no"], "left")
+    clock = spark.createDataFrame([], "run_at timestamp")
+
+    def delivery(days: Column) -> Column:
+        span = (high - low).days + 1 if low is not None else 1
+        return F.least(F.lit(2), F.floor((F.datediff("ts", F.lit(low)) + days) * 3 / F.lit(span)))
+
+    days_late = c("event_id") % 5
+    for k in range(3):
+        part = (delivery(days_late) == k) | ((days_late == 0) & (delivery(F.lit(6)) == k))
+        events.where(part).write.parquet(f"{root}/events/{k}")
+        if k == 2 and high is not None:
+            clock = spark.range(1).select((F.lit(high) + F.expr("INTERVAL 8 DAYS")).cast("timestamp").alias("run_at"))
+        clock.write.parquet(f"{root}/clock/{k}")
+        stream = bind.frame(spark, sf_dir, "points", {
+            "events": ops.events_stream(spark, f"{root}/events/*", "*.parquet", events.schema)
+        })
+        seen = (
+            stream.where("region_scope = 'NATIONAL'")
+            .select("channel", "product_id", c("observed_date").alias("run_at"))
+            .join(dated, ["channel", "run_at"])
+            .withColumn("run_at", c("run_at").cast("timestamp"))
+        )
+        closed = ops.events_stream(spark, f"{root}/clock/*", "*.parquet", clock.schema)
+        misses.start(misses.track(seen.unionByName(closed, True), "7 days", 2), root).awaitTermination()
+    return misses.outcomes(spark, root)
+
+
 @query(
     "stream_routes",
     "STR-05",
