@@ -425,12 +425,13 @@ def invalid_artifact_reference(t: Tables) -> DataFrame:
     )
 
 
-def stored_file_faults(t: Tables, files: DataFrame) -> DataFrame:
-    """References whose stored body is absent or has another hash; ``files`` from the evidence reader."""
-    refs = artifact_references(t).select("record_id", F.inline("refs"))
-    known = files.select(c("relative_path").alias("path"), "body_hash")
-    wrong = c("body_hash").isNull() | (c("body_hash") != c("digest"))
-    return refs.join(known, "path", "left").where(wrong).select("record_id").distinct()
+def stored_references(t: Tables) -> DataFrame:
+    """References in the form that ``stored.file_faults`` takes; every body is to be read."""
+    named = artifact_references(t).select("record_id", F.inline("refs"))
+    return named.select(
+        "record_id", c("path").alias("relative_path"), "digest",
+        F.lit(None).cast("bigint").alias("size"), F.lit(True).alias("asked"),
+    )
 
 
 def channels_without_completed_run(t: Tables) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricestrata import bind
 from pricestrata.bind import ctes, pick
+from pricestrata.checks import stored
 from pricestrata.functions import vocab
 from pricestrata.functions.identity import canonical_json, sorted_map
 from pricestrata.queries import query
@@ -59,6 +60,81 @@ def unpacked_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STORED_SQL = """
+WITH own AS (SELECT doc_id, 'doc/' || CAST(doc_id AS VARCHAR) || '.gz' AS path, sha256(text) AS digest,
+    CAST(octet_length(encode(text)) AS BIGINT) AS size, coalesce(lang = 'en', false) AS asked FROM documents),
+r AS (SELECT doc_id, path, CASE WHEN doc_id % 9 = 4 THEN reverse(digest) WHEN doc_id % 41 = 5 THEN upper(digest) ELSE digest END
+      AS digest, size + CASE WHEN doc_id % 13 = 2 THEN 1 ELSE 0 END AS size, asked FROM own
+  UNION ALL SELECT doc_id, 'doc/' || CAST(doc_id - 1 AS VARCHAR) || '.gz', digest, size, false FROM own WHERE doc_id % 31 = 3
+  UNION ALL SELECT doc_id, '../' || path, digest, size, true FROM own WHERE doc_id % 37 = 1),
+p AS (SELECT path, count(*) AS n, min(digest) AS digest, min(digest) <> max(digest) OR min(size) <> max(size) AS disagree,
+    bool_and(regexp_full_match(digest, '[0-9a-f]{64}')) AS hex, min(size) AS size, bool_or(asked) AS asked FROM r GROUP BY 1),
+f AS (SELECT path, digest AS body, size AS length, doc_id % 23 = 6 AS torn, doc_id % 17 = 8 AND doc_id % 23 <> 6 AS blank FROM own WHERE doc_id % 23 <> 5
+  UNION ALL SELECT 'stray/' || path, digest, size, false, false FROM own WHERE doc_id % 29 = 7),
+m AS (SELECT coalesce(p.path, f.path) AS relative_path, n, asked, body, torn, f.path IS NOT NULL AS stored, digest, size, length,
+    CASE WHEN n IS NULL THEN 'FILE_EXTRA' WHEN p.path LIKE '../%' THEN 'PATH_ESCAPES' WHEN NOT hex THEN 'HASH_MALFORMED'
+      WHEN disagree THEN 'REFERENCES_DISAGREE' WHEN f.path IS NULL THEN 'FILE_MISSING' WHEN blank THEN 'FILE_EMPTY' END AS early
+  FROM p FULL JOIN f ON f.path = p.path),
+faults AS (SELECT relative_path, coalesce(n, 0) AS n_records, stored, CASE WHEN early IS NULL AND asked AND NOT torn THEN body END
+    AS body_hash, coalesce(early, CASE WHEN asked AND torn THEN 'BODY_UNREADABLE' WHEN asked AND body <> digest THEN 'HASH_MISMATCH'
+      WHEN asked AND length <> size THEN 'SIZE_MISMATCH' END) AS fault FROM m)
+"""
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """References of records and the faults of the files below a folder: some are missing, torn, empty, unlike their hash
+    or size, named by two records or by none. Bodies of English documents are read."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            packed = [
+                b"" if kind == "blank" else gzip.compress(t.encode(), 1)[: 9 if kind == "torn" else None]
+                for t, kind in zip(frame["text"], frame["kind"], strict=True)
+            ]
+            yield pd.DataFrame({"relative_path": frame["relative_path"], "content": packed})
+
+    k, name = c("doc_id"), F.concat(F.lit("doc/"), c("doc_id").cast("string"), F.lit(".gz"))
+    docs = bind.frame(spark, sf_dir, "documents").select("doc_id", name.alias("relative_path"), "text", "lang")
+    kind = F.when(k % 23 == 6, "torn").when(k % 17 == 8, "blank")
+    stray = docs.where(k % 29 == 7).withColumns({
+        "relative_path": F.concat(F.lit("stray/"), "relative_path"), "kind": F.lit(None).cast("string")
+    })
+    folder = shared_folder(spark, "stored")
+    files = docs.where(k % 23 != 5).withColumn("kind", kind).unionByName(stray)
+    evidence.write_files(files.mapInPandas(pack, "relative_path string, content binary"), folder)
+
+    own = docs.select(
+        k.alias("record_id"), "relative_path", F.sha2(c("text").cast("binary"), 256).alias("digest"),
+        F.octet_length("text").cast("bigint").alias("size"), F.coalesce(c("lang") == "en", F.lit(False)).alias("asked"),
+    )
+    r = c("record_id")
+    wrong = F.when(r % 9 == 4, F.reverse("digest")).when(r % 41 == 5, F.upper("digest")).otherwise(c("digest"))
+    other = F.concat(F.lit("doc/"), (r - 1).cast("string"), F.lit(".gz"))
+    references = (
+        own.withColumns({"digest": wrong, "size": c("size") + F.when(r % 13 == 2, 1).otherwise(0)})
+        .unionByName(own.where(r % 31 == 3).withColumns({"relative_path": other, "asked": F.lit(False)}))
+        .unionByName(own.where(r % 37 == 1).withColumns({
+            "relative_path": F.concat(F.lit("../"), "relative_path"), "asked": F.lit(True)
+        }))
+    )
+    return references, stored.file_faults(references, folder)
+
+
+@query("stored_file_faults", "AUD-17 SRC-02", _STORED_SQL + "SELECT * FROM faults")
+def stored_file_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[1]
+
+
+@query(
+    "records_with_file_faults",
+    "AUD-17",
+    _STORED_SQL + """SELECT DISTINCT doc_id AS record_id FROM r JOIN faults ON relative_path = path
+                     WHERE fault IS NOT NULL AND n_records > 0""",
+)
+def records_with_file_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored.records_with_file_faults(*_stored(spark, sf_dir))
+
+
 _ANCHORS = """
 raw AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages),
 a AS (SELECT page_id, url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS position FROM raw),
