@@ -11,7 +11,8 @@ each other: notices of other versions or licences that begin alike are not taken
 
 A stop or a blank line closes a sentence. A single line end closes one or stands for a space,
 whichever gives a known sentence at that place, so hard-wrapped licence texts and lines without a
-stop are found in one text. Built-in functions only; no shuffle.
+stop are found in one text. Where several known sentences begin at a place, the longest counts. Texts
+without a telling word are left out by built-in functions; the others are cut and looked up in Arrow batches; no shuffle.
 
 Defined results
 - null or empty text: no sentences, empty lists.
@@ -21,7 +22,11 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Known licence sentences (fixed values).
@@ -41,6 +46,12 @@ SENTENCES = (
     ("cc-by-nc-line", "Licensed under CC BY-NC 4.0."),
     ("cc-by-line", "Licensed under CC BY 4.0."),
     ("cc-by-sa-line", "Licensed under CC BY-SA 4.0."),
+    ("mpl-a", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("mpl-b", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("isc-a", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("unlicense-a", "This is free and unencumbered software released into the public domain."),
+    ("unlicense-b", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("boost-line", "Distributed under the Boost Software License, Version 1.0."),
     ("bsd-a", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("bsd-b", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("bsd-c", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
@@ -62,20 +73,34 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-line",)),
     ("CC-BY-4.0", ("cc-by-line",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-line",)),
+    ("MPL-2.0", ("mpl-a", "mpl-b")),
+    ("MPL-2.0", ("mpl-a",)),
+    ("ISC", ("isc-a",)),
+    ("Unlicense", ("unlicense-a", "unlicense-b")),
+    ("Unlicense", ("unlicense-a",)),
+    ("BSL-1.0", ("boost-line",)),
 )
 
 
-def pieces(sentence: str) -> list[str]:
-    """Normalised sentences of a text, as the columns below cut it."""
-    import re
+_CUT = re.compile(r"[.!?:;]+(?:[ \t\r\f\v]+|\n|$)|\n[ \t\r]*\n")
+_OTHER = re.compile("[^a-z0-9]+")
+
+
+def sentences(text: str) -> list[list[str]]:
+    """Lines of a lower-case text, normalised, by the sentence that stops and blank lines give."""
+    cut = _CUT.sub("\1", text).split("\1")
+    lines = ([_OTHER.sub(" ", x).strip() for x in block.split("\n")] for block in cut)
+    return [y for y in ([x for x in block if x] for block in lines) if y]
+
 
-    cut = re.sub(r"[.!?:;]+([ \t\r\f\v]+|\n|$)", "\1", sentence.lower())
-    return [x for x in (re.sub("[^a-z0-9]+", " ", y).strip() for y in cut.split("\1")) if x]
+def pieces(sentence: str) -> list[str]:
+    """Normalised sentences of a text whose line ends stand for spaces."""
+    return [" ".join(lines) for lines in sentences(sentence.lower())]
 
 
 def known() -> dict[str, str]:
     """First piece of each normalised sentence, to its identifier: where a known sentence may
-    begin. The scan itself asks for every piece (see ``whole``)."""
+    begin. The scan itself asks for every piece (see ``Lookup``)."""
     found: dict[str, str] = {}
     for name, text in SENTENCES:
         found.setdefault(pieces(text)[0], name)
@@ -100,25 +125,51 @@ def whole() -> dict[tuple[str, ...], str]:
     return found
 
 
-def pattern() -> str:
-    """Finds whole known sentences in cut text: each piece stands between cuts or line ends, its
-    words may stand on several lines, and the pieces of a sentence follow each other. The longest
-    comes first, because one may begin another."""
-    keys = sorted(whole(), key=lambda k: -len(" ".join(k)))
-    each = "|".join(
-        "[ \\n\\x01]*[\\n\\x01][ \\n\\x01]*".join(p.replace(" ", "[ \\n]+") for p in k) for k in keys
-    )
-    return f"(?<![a-z0-9 ]) ?({each}) ?(?![a-z0-9 ])"
-
-
-def identifiers(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
-    cut = F.regexp_replace(F.lower(text), r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)|\n[ \t\r]*\n", "\x01")
-    flat = F.regexp_replace(cut, r"[^a-z0-9\n\x01]+", " ")
-    names = ((" ".join(k), v) for k, v in whole().items())
-    table = F.create_map(*(F.lit(x) for pair in names for x in pair))
-    seen = F.regexp_extract_all(flat, F.lit(pattern()), F.lit(1))
-    return F.transform(seen, lambda s: table[F.regexp_replace(s, r"[ \n\x01]+", " ")])
+class Lookup:
+    """Identifiers of the known sentences of a text."""
+
+    def __init__(self) -> None:
+        self.names = whole()
+        #: Beginnings of known sentences by pieces, and of their pieces by words: a search ends where neither fits.
+        self.chains = {k[:n] for k in self.names for n in range(1, len(k) + 1)}
+        self.begun = {
+            " ".join(words[:n]) for k in self.names for words in (p.split() for p in k) for n in range(1, len(words) + 1)
+        }
+
+    def _longest(self, lines: list[tuple[int, str]], at: int, done: tuple[str, ...]) -> tuple[int, int, str] | None:
+        """Length, place after it and identifier of the longest known sentence that goes on at a line after ``done``."""
+        best, joined = None, ""
+        for end in range(at, len(lines)):
+            if lines[end][0] != lines[at][0]:
+                break
+            joined = f"{joined} {lines[end][1]}".lstrip()
+            if joined not in self.begun:
+                break
+            chain = (*done, joined)
+            if chain not in self.chains:
+                continue
+            found = [self._longest(lines, end + 1, chain)] if end + 1 < len(lines) else []
+            if chain in self.names:
+                found.append((len(" ".join(chain)), end + 1, self.names[chain]))
+            best = max((x for x in (best, *found) if x), default=None)
+        return best
+
+    def identifiers(self, text: str) -> list[str]:
+        lines = [(k, line) for k, block in enumerate(sentences(text)) for line in block]
+        out, at = [], 0
+        while at < len(lines):
+            found = self._longest(lines, at, ())
+            if found:
+                out.append(found[2])
+            at = found[1] if found else at + 1
+        return out
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lookup = Lookup()
+    for batch in batches:
+        ids = [lookup.identifiers(t) if t else [] for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.string()))], names=["doc_id", "_ids"])
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -128,11 +179,8 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     low, some = F.lower(text), F.lit(False)
     for word in telling_words():
         some = some | F.contains(low, F.lit(word))
-    none = F.array().cast("array<string>")
-    found = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.when(some, identifiers(text)).otherwise(none).alias("_ids"),
-    )
+    prepared = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.when(some, low).alias("_low"))
+    found = prepared.mapInArrow(_looked_up, "doc_id bigint, _ids array<string>")
     ids = F.col("_ids")
     # Every identifier stands between bars of its own, so neighbours can be taken apart.
     rest = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("|"), x, F.lit("|"))), "")

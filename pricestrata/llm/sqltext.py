@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pricestrata.llm import licences as licence_rules
 from pricestrata.llm import rollup, sharding
 
@@ -10,22 +12,41 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _licence_keys() -> dict[str, str]:
+    """Known sentences as text of words between marks: 2 for a piece's end, a space inside it."""
+    found: dict[str, str] = {}
+    for name, sentence in licence_rules.SENTENCES:
+        cut = re.split(r"[.!?:;]+(?:\s+|$)", sentence.lower())
+        words = (" ".join(re.findall("[a-z0-9]+", p)) for p in cut)
+        found.setdefault("\2".join(w for w in words if w), name)
+    return found
+
+
 def licences() -> str:
-    """Sentences by list functions; each rule takes its identifiers in turn."""
-    known = licence_rules.known()
-    keys = ", ".join(_quoted(k) for k in known)
+    """One alternation over the marked text, longest sentence first; each rule takes its identifiers in turn.
+
+    Mark 1 is a stop or a blank line, mark 2 a line end. Both stand twice, so that a sentence takes the mark before it
+    and the next one still finds its own.
+    """
+    known = _licence_keys()
+    longest = sorted(known, key=lambda k: -len(k))
+    gap, end = r"( |\x02\x02)", r"(\x01\x01|\x02\x02)"
+    each = "|".join(k.replace(" ", gap).replace("\2", end) for k in longest)
+    pattern = rf"[\x01\x02]({each})[\x01\x02]".replace("(", "(?:")
+    plain = ", ".join(_quoted(k.replace("\2", " ")) for k in known)
     names = ", ".join(_quoted(v) for v in known.values())
-    stop = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)"
-
-    def ids(pattern: str) -> str:
-        flat = (
-            rf"regexp_replace(regexp_replace(lower(coalesce(text, '')), '{pattern}', chr(1), 'g'), "
-            r"'[^a-z0-9\x01]+', ' ', 'g')"
-        )
-        return (
-            f"list_filter(list_transform(string_split({flat}, chr(1)), lambda s: "
-            f"([{names}])[list_position([{keys}], trim(s, ' '))]), lambda x: x is not null)"
-        )
+    cut = r"[.!?:;]+([ \t\r\f\x0B]+|\n|$)|\n[ \t\r]*\n"
+    marked = (
+        f"regexp_replace(regexp_replace(lower(coalesce(text, '')), '{cut}', chr(1), 'g'), '[ \\t\\r]*\\n[ \\t\\r]*', chr(2), 'g')"
+    )
+    flat = f"regexp_replace({marked}, '[^a-z0-9\\x01\\x02]+', ' ', 'g')"
+    flat = f"regexp_replace({flat}, '[ \\x01\\x02]*\\x01[ \\x01\\x02]*', chr(1) || chr(1), 'g')"
+    flat = f"regexp_replace({flat}, '[ \\x02]*\\x02[ \\x02]*', chr(2) || chr(2), 'g')"
+    found = f"regexp_extract_all(chr(1) || trim(t, ' ') || chr(1), '{pattern}')"
+    ids = (
+        f"list_transform({found}, lambda s: ([{names}])[list_position([{plain}], "
+        r"trim(regexp_replace(s, '[ \x01\x02]+', ' ', 'g'), ' '))])"
+    )
 
     steps, last = [], "start"
     for k, (_, sequence) in enumerate(licence_rules.RULES):
@@ -41,8 +62,8 @@ def licences() -> str:
         f"case when m{k} > 0 then '{name}' end" for k, (name, _) in enumerate(licence_rules.RULES)
     )
     return f"""
-with cuts as (select doc_id, {ids(stop + "|" + chr(92) + "n")} as a, {ids(stop + "|" + chr(92) + "n[ " + chr(92) + "t" + chr(92) + "r]*" + chr(92) + "n")} as b from documents),
-chosen as (select doc_id, case when len(b) > len(a) then b else a end as ids from cuts),
+with flat as (select doc_id, {flat} as t from documents),
+chosen as (select doc_id, {ids} as ids from flat),
 start as (select doc_id, len(ids) as n_sentences, coalesce(array_to_string(ids, ','), '') as sentence_ids,
   coalesce(array_to_string(list_transform(ids, lambda x: '|' || x || '|'), ''), '') as rest from chosen),
 {", ".join(steps)}

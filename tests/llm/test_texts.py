@@ -120,6 +120,46 @@ def test_licence_line_ends_are_read_place_by_place(docs):
     ]
 
 
+def test_licence_lookup_equals_the_comparison_sql(docs):
+    import duckdb
+
+    from pricestrata.llm import sqltext
+
+    rng = random.Random(11)
+    words = [t.split() for _, t in licences.SENTENCES]
+    rows = []
+    for _ in range(600):
+        text = ""
+        for _ in range(rng.randint(1, 7)):
+            w = list(rng.choice(words))
+            if rng.random() < 0.2:
+                del w[rng.randrange(len(w))]
+            if rng.random() < 0.2:
+                w = w[: rng.randint(1, len(w))]
+            gaps = rng.choices([" ", "\n", "\n# ", " \n\t", "\n\n", ", "], [30, 3, 1, 1, 0.2, 0.2], k=len(w))
+            text += "".join(x + g for x, g in zip(w, gaps)) + rng.choice(["\n", "\n\n", " ", ".\n", "; ", "", "\r\n", " And more\n"])
+        rows.append(rng.choice([str, str.upper, str.title])(text))
+    rows += [None, "", "\n", "\x01", licences.SENTENCES[0][1]]
+    frame = docs(rows)
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    wanted = con.execute(sqltext.licences()).fetchall()
+    got = [tuple(r) for r in licences.scan(frame).collect()]
+    assert sorted(got) == sorted(wanted)
+    assert len({r[4] for r in got}) > 10 and sum(r[1] > 1 for r in got) > 100
+
+
+def test_licence_notices_with_inner_stops_and_new_licences(docs):
+    text = dict(licences.SENTENCES)
+    rows = [
+        text["mpl-a"].replace(" ", "\n") + "\n" + text["mpl-b"], text["mpl-a"].replace("v. 2.0", "v. 1.1"),
+        "Notes\n" + text["isc-a"], text["unlicense-a"] + " " + text["unlicense-b"], text["boost-line"].upper(),
+    ]
+    got = {r["doc_id"]: r for r in licences.scan(docs(rows)).collect()}
+    assert [got[i]["licences"] for i in range(5)] == ["MPL-2.0", "", "ISC", "Unlicense", "BSL-1.0"]
+    assert got[0]["n_matches"] == 1 and got[0]["sentence_ids"] == "mpl-a,mpl-b"
+
+
 # --- 2 quality
 
 
