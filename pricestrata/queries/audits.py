@@ -12,6 +12,8 @@ from pricestrata.bind import ctes
 from pricestrata.checks import audit, constraints
 from pricestrata.plans.batch import settle
 from pricestrata.queries import query
+from pricestrata.session import shared_folder
+from pricestrata.sources import tables
 from pricestrata.sources.seeds import categories
 
 c = F.col
@@ -333,3 +335,30 @@ def variant_current_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "typed_price_star",
+    "SRC-01 JON-02",
+    ctes("store_observation", "store_listing", "store_channel", "store_record")
+    + """SELECT CAST(o.observation_id AS VARCHAR) AS observation_key, CAST(o.listing_id AS VARCHAR) AS listing_id, CAST(l.channel_id AS VARCHAR) AS channel_id,
+           c.source_type, e.raw_path, o.current_price, CAST(o.observed_at AS TIMESTAMP) AS observed_at
+         FROM store_observation o JOIN store_listing l ON l.listing_id = o.listing_id
+         JOIN store_channel c ON c.channel_id = l.channel_id LEFT JOIN store_record e ON e.record_id = o.record_id
+         WHERE o.quality_status = 'ACCEPTED'""",
+)
+def typed_price_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables written and read by their declared schemas; the reads take the columns that the join needs."""
+    root = shared_folder(spark, "typed")
+    for name in ("observation", "listing", "channel", "record"):
+        rows = bind.frame(spark, sf_dir, f"store_{name}").withColumnRenamed("observation_id", "observation_key")
+        known = set(tables.schema(name).names)
+        tables.write_table(rows.select(*(x for x in rows.columns if x in known)), root, name)
+    o, l, ch, e = (tables.read_table(spark, root, n) for n in ("observation", "listing", "channel", "record"))
+    facts = o.where("quality_status = 'ACCEPTED'").select(
+        "observation_key", "listing_id", "record_id", "current_price", "observed_at"
+    )
+    return (
+        facts.join(l.select("listing_id", "channel_id"), "listing_id")
+        .join(ch.select("channel_id", "source_type"), "channel_id")
+        .join(e.select("record_id", "raw_path"), "record_id", "left")
+        .drop("record_id")
+    )

@@ -1,4 +1,4 @@
-"""Typed table reads and the partitioned fact sink."""
+"""Typed reads and writes of the stored tables, and the partitioned fact sink."""
 
 from __future__ import annotations
 
@@ -18,6 +18,26 @@ def read_jdbc(spark: SparkSession, name: str, options: dict[str, str]) -> DataFr
     return spark.read.format("jdbc").options(**{"customSchema": columns, **options}).load()
 
 
+def conformed(rows: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a table in their declared types; one that ``rows`` lacks is null, one that is not declared
+    is an error, and so is a value that its type cannot hold."""
+    declared = schema(name)
+    unknown = sorted(set(rows.columns) - set(declared.names))
+    if unknown:
+        raise ValueError(f"{name} declares no column {', '.join(unknown)}")
+    return rows.select(
+        *(
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in declared
+        )
+    )
+
+
+def write_table(rows: DataFrame, root: str, name: str) -> None:
+    """Replace a stored table."""
+    conformed(rows, name).write.mode("overwrite").parquet(f"{root}/{name}")
+
+
 def append_facts(facts: DataFrame, path: str) -> None:
     """Append facts partitioned by day; the day column is what every fact join prunes on."""
     dated = facts.withColumn("observed_date", F.col("observed_at").cast("date"))

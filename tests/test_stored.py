@@ -1,12 +1,15 @@
-"""The inventory of stored files against references, and the audit's own references."""
+"""Stored files against references, and tables by their declared schemas."""
 
 from __future__ import annotations
 
 import gzip
 import hashlib
 
+import pytest
+
 from pricestrata.checks import audit, stored
-from pricestrata.sources import inventory
+from pricestrata.schemas import schema
+from pricestrata.sources import inventory, tables
 
 
 def _sha(body: bytes) -> str:
@@ -52,3 +55,15 @@ def test_references_of_an_audit_and_an_absent_folder(spark, tmp_path):
     faults = stored.file_faults(references, str(tmp_path / "none"))
     assert {tuple(r)[0::4] for r in faults.collect()} == {("a", "FILE_MISSING"), ("b", "FILE_MISSING")}
     assert [r[0] for r in stored.records_with_file_faults(references, faults).collect()] == [1]
+
+
+def test_tables_are_written_and_read_as_declared(spark, tmp_path):
+    rows = spark.sql("SELECT 7 AS listing_id, 'NATIONAL' AS region_scope, 3 AS ingest_seq, DATE'2024-01-02' AS observed_at")
+    for _ in range(2):
+        tables.write_table(rows, str(tmp_path), "current")
+    got = tables.read_table(spark, str(tmp_path), "current")
+    assert got.schema == schema("current") and got.count() == 1
+    row = got.first()
+    assert (row["listing_id"], row["region_code"], row["ingest_seq"], row["observed_at"].day) == ("7", None, 3, 2)
+    with pytest.raises(ValueError, match="declares no column price"):
+        tables.write_table(rows.withColumnRenamed("region_scope", "price"), str(tmp_path), "current")
