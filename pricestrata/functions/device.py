@@ -21,6 +21,7 @@ from pricestrata.functions.text import (
     capacity_token,
     nfkc_array,
     normalize_text,
+    plain,
     squeeze,
     strip,
 )
@@ -101,8 +102,7 @@ def with_category(df: DataFrame, out: str, brand: Column, name: Column) -> DataF
     text, upper = F.col("__name"), F.col("__upper")
     rules = [(brand == b, _category(b, text, upper)) for b in vocab.NAME_RULES]
     return (
-        df.withColumn("__name", normalize_text(name))
-        .withColumn("__upper", F.upper("__name"))
+        plain(plain(df.withColumn("__name", normalize_text(name))).withColumn("__upper", F.upper("__name")))
         .withColumn(out, ordered_case(rules, F.lit(None).cast("string")))
         .drop("__name", "__upper")
     )

@@ -65,6 +65,12 @@ def with_normalized_entries(df: DataFrame, column: str, out: str) -> DataFrame:
     )
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """The same rows with plain columns: later steps name a column instead of repeating the text that
+    computes it, which the optimizer would otherwise copy into every use."""
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def squeeze(col: Column) -> Column:
     """Collapse white space to single spaces and trim."""
     return F.trim(F.regexp_replace(col, WS + "+", " "))

@@ -452,10 +452,8 @@ bind.VIEWS["discovery_docs"] = (
            WHEN 5 THEN 'DISCOVERY_EMPTY' ELSE 'NO_APPROVED_PRODUCT' END FROM r WHERE category_code IS NULL OR NOT whole""",
 )
 def json_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = bind.settled(bind.frame(spark, sf_dir, "discovery_docs"))
-    objects = envelopes.walk_objects(docs, "doc_id", "body", "prdId").join(
-        docs.select("doc_id", "brand"), "doc_id"
-    )
+    docs = bind.dealt_frame(spark, sf_dir, "discovery_docs", "part", "p_partkey", "p_size", "p_name")
+    objects = envelopes.walk_objects(docs.where(c("doc_id").isNotNull()), "doc_id", "body", "prdId", ("brand",))
     return envelopes.discovered_products(objects, c("brand"), "prdId", ["prdName", "briefName"])
 
 

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -17,7 +17,7 @@ from pricestrata.functions.device import (
     availability_from_inventory,
     with_category,
 )
-from pricestrata.functions.text import nfkc, normalize_text, squeeze
+from pricestrata.functions.text import nfkc, normalize_text, plain, squeeze
 from pricestrata.sources.pages import read_nodes
 
 c = F.col
@@ -371,12 +371,14 @@ def json_after_marker(html: Column, marker: str) -> Column:
     return read(html)
 
 
-def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFrame:
+def walk_objects(docs: DataFrame, key: str, body: str, id_field: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every object at any depth that carries ``id_field``, in document order, as JSON text.
 
-    A document that cannot be read, or holds no such object, gives one row with its error.
+    A document that cannot be read, or holds no such object, gives one row with its error. ``carry``
+    names text columns of the document that its rows keep.
     """
-    key_type = dict(docs.dtypes)[key]
+    kinds = dict(docs.dtypes)
+    held = "".join(f", {n} {kinds[n]}" for n in carry)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def visit(value: object, found: list[str]) -> None:
@@ -391,29 +393,29 @@ def walk_objects(docs: DataFrame, key: str, body: str, id_field: str) -> DataFra
                     stack.extend(reversed(node))
 
         def table(rows: list[tuple]) -> pd.DataFrame:
-            made = pd.DataFrame(rows, columns=[key, "position", "object", "error"])
+            made = pd.DataFrame(rows, columns=[key, "position", "object", "error", *carry])
             return made.astype({"position": "Int32"})
 
         for frame in frames:
             rows: list[tuple] = []
-            for name, text in zip(frame[key], frame[body], strict=True):
+            for name, text, *more in zip(frame[key], frame[body], *[frame[n] for n in carry], strict=True):
                 found: list[str] = []
                 try:
                     visit(json.loads(text), found)
                 except (TypeError, ValueError, RecursionError):
-                    rows.append((name, None, None, "JSON_UNREADABLE"))
+                    rows.append((name, None, None, "JSON_UNREADABLE", *more))
                     continue
                 if not found:
-                    rows.append((name, None, None, "DISCOVERY_EMPTY"))
-                rows.extend((name, i, item, None) for i, item in enumerate(found))
+                    rows.append((name, None, None, "DISCOVERY_EMPTY", *more))
+                rows.extend((name, i, item, None, *more) for i, item in enumerate(found))
                 if len(rows) >= 20_000:
                     yield table(rows)
                     rows = []
             if rows:
                 yield table(rows)
 
-    return docs.select(key, body).mapInPandas(
-        run, f"{key} {key_type}, position int, object string, error string"
+    return docs.select(key, body, *carry).mapInPandas(
+        run, f"{key} {kinds[key]}, position int, object string, error string{held}"
     )
 
 
@@ -425,13 +427,16 @@ def discovered_products(
     A document without an approved product keeps one row with its error and no product.
     """
     names = [F.get_json_object("object", f"$.{f}") for f in name_fields]
-    named = F.coalesce(*[F.when(n != "", n) for n in names])
-    rows = objects.select(
+    # Steps with plain columns: an object is read once per field, and names are not read again in every rule.
+    fields = plain(objects.select(
         key, "position", "error", brand.alias("brand"),
         squeeze(F.get_json_object("object", f"$.{id_field}")).alias("product_id"),
-        nfkc(named).alias("name"),
-    )
-    judged = with_category(rows, "category_code", c("brand"), c("name"))
+        *[n.alias(f"name_{i}") for i, n in enumerate(names)],
+    ))
+    shown = [c(f"name_{i}") for i in range(len(names))]
+    named = plain(fields.withColumn("name", F.coalesce(*[F.when(n != "", n) for n in shown])))
+    rows = plain(named.select(key, "position", "error", "brand", "product_id", nfkc(c("name")).alias("name")))
+    judged = plain(with_category(rows, "category_code", c("brand"), c("name")))
     approved = F.coalesce(sku_ok(c("product_id")) & c("category_code").isNotNull(), F.lit(False))
     # Objects that are not approved fall into one group of their document, which becomes its
     # error row unless the document has an approved product.
@@ -440,16 +445,12 @@ def discovered_products(
         .groupBy(key, "product_id")
         .agg(F.min(F.struct("position", "name", "category_code")).alias("first"), F.max("error").alias("error"))
     )
-    good = firsts.where(c("product_id").isNotNull())
-    bad = firsts.where(c("product_id").isNull()).join(good.select(key).distinct(), key, "left_anti")
-    none = F.lit(None)
-    return good.select(
-        key, "product_id", "first.position", squeeze(c("first.name")).alias("name"),
-        "first.category_code", none.cast("string").alias("error"),
-    ).unionByName(
-        bad.select(
-            key, "product_id", none.cast("int").alias("position"), none.cast("string").alias("name"),
-            none.cast("string").alias("category_code"),
-            F.coalesce("error", F.lit("NO_APPROVED_PRODUCT")).alias("error"),
-        )
+    # The products of one document. Documents are read once, so both kinds of rows come from one pass.
+    good = c("product_id").isNotNull()
+    any_good = F.coalesce(c(key).isNotNull() & F.max(good).over(Window.partitionBy(key)), F.lit(False))
+    return firsts.withColumn("any_good", any_good).where(good | ~c("any_good")).select(
+        key, "product_id", F.when(good, c("first.position")).alias("position"),
+        F.when(good, squeeze(c("first.name"))).alias("name"),
+        F.when(good, c("first.category_code")).alias("category_code"),
+        F.when(~good, F.coalesce("error", F.lit("NO_APPROVED_PRODUCT"))).alias("error"),
     )

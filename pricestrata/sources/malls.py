@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pricestrata.functions import device, vocab
 from pricestrata.functions.identity import canonical_json, json_hash, sorted_map
 from pricestrata.functions.money import MONEY
-from pricestrata.functions.text import normalize_text, squeeze, with_normalized_entries
+from pricestrata.functions.text import normalize_text, plain, squeeze, with_normalized_entries
 from pricestrata.functions.urls import host
 from pricestrata.sources import envelopes, pages, sheets
 from pricestrata.sources.seeds import city_commodities
@@ -53,12 +53,6 @@ def _none() -> Column:
     return F.lit(None).cast("string")
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    """The same rows with plain columns: later steps name a column instead of repeating the text that
-    computes it, which the optimizer would otherwise copy into every use."""
-    return df.select(F.inline(F.array(F.struct("*"))))
-
-
 def _first(dimensions: Column, labels: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_element_at(dimensions, F.lit(x)) for x in labels])
 
@@ -182,7 +176,7 @@ def product_listings(brand: str, channel: str, skus: DataFrame, docs: DataFrame)
         rows, "p", c("current_text"), c("original_text"), F.coalesce("original_label", F.lit(original)),
         F.lit(current), c("availability"),
     )
-    rows = _plain(rows.withColumn("key", F.coalesce("sku_id", canonical_json(sorted_map(c("dimensions"))))))
+    rows = plain(rows.withColumn("key", F.coalesce("sku_id", canonical_json(sorted_map(c("dimensions"))))))
     own = F.when(c("sku_no").isNull(), "NO_SKU").otherwise(
         F.coalesce(
             c("error"),
@@ -205,10 +199,10 @@ def product_listings(brand: str, channel: str, skus: DataFrame, docs: DataFrame)
     rows = rows.withColumn("doc_error", F.min(fault).over(whole)["own"])
     rows = rows.withColumn("first", c("place") == F.min("place").over(whole)).where("doc_error IS NULL OR first")
     fields, rest = _specification(brand)
-    rows = _plain(rows.withColumns({f"f_{n}": x for n, x in fields.items()}).withColumn("spec_attributes", rest))
+    rows = plain(rows.withColumns({f"f_{n}": x for n, x in fields.items()}).withColumn("spec_attributes", rest))
     fields = {n: c(f"f_{n}") for n in fields}
     rows = with_normalized_entries(rows, "spec_attributes", "entries")
-    rows = _plain(device.with_specification(rows, "s", fields, c("entries")))
+    rows = plain(device.with_specification(rows, "s", fields, c("entries")))
     good = c("doc_error").isNull()
     none = _none()
     return rows.select(

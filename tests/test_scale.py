@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricestrata import bind
 from pricestrata.functions import vocab
 from pricestrata.queries import load
-from pricestrata.sources import pages
+from pricestrata.sources import envelopes, pages
 
 SF_DIR = "/root/testdata/sf0.001"
 _HEAD = "".join(f"<td>{h}</td>" for h in vocab.MARKET_HEADERS)
@@ -50,3 +50,19 @@ def test_documents_are_made_of_dealt_rows(spark):
     load()
     made = bind.dealt_frame(spark, SF_DIR, "market_pages", "orders", "o_orderkey", "o_custkey", "o_orderdate")
     assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_discovery_reads_documents_once_and_joins_nothing(spark):
+    """Documents were read three times, and joined to their brands and to the ids of good ones."""
+    body = '{"list":[{"prdId":"1","prdName":"HUAWEI Mate 60"},{"prdId":"x","prdName":"HUAWEI Mate 60"}]}'
+    docs = spark.createDataFrame(
+        [(1, "HUAWEI", body), (2, "HUAWEI", "{"), (3, "HUAWEI", "{}"), (4, "VIVO", body), (5, None, body)],
+        "doc_id bigint, brand string, body string",
+    )
+    objects = envelopes.walk_objects(docs, "doc_id", "body", "prdId", ("brand",))
+    found = envelopes.discovered_products(objects, F.col("brand"), "prdId", ["prdName", "briefName"])
+    assert "Join" not in _plan(found) and _plan(found).count("MapInPandas") == 1
+    assert sorted((r.doc_id, r.product_id, r.position, r.error) for r in found.collect()) == [
+        (1, "1", 0, None), (2, None, None, "JSON_UNREADABLE"), (3, None, None, "DISCOVERY_EMPTY"),
+        (4, None, None, "NO_APPROVED_PRODUCT"), (5, None, None, "NO_APPROVED_PRODUCT"),
+    ]
