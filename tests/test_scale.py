@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pricestrata import bind
 from pricestrata.functions import vocab
+from pricestrata.plans import replay
 from pricestrata.queries import load
-from pricestrata.sources import envelopes, pages
+from pricestrata.sources import envelopes, pages, sheets
 
 SF_DIR = "/root/testdata/sf0.001"
 _HEAD = "".join(f"<td>{h}</td>" for h in vocab.MARKET_HEADERS)
@@ -66,3 +67,38 @@ def test_discovery_reads_documents_once_and_joins_nothing(spark):
         (1, "1", 0, None), (2, None, None, "JSON_UNREADABLE"), (3, None, None, "DISCOVERY_EMPTY"),
         (4, None, None, "NO_APPROVED_PRODUCT"), (5, None, None, "NO_APPROVED_PRODUCT"),
     ]
+
+
+def test_sheets_are_shuffled_by_sheet_once(spark):
+    """Cells were shuffled for labels, columns and faults, and sheets times commodities joined to what they state."""
+    label = [(1, i, 0, name, None) for i, name in enumerate(vocab.SHEET_LABELS, 1)]
+    entry = vocab.CITY_COMMODITIES[0]
+    cells = [(1, i, 2, v, "0.00_ ") for i, v in enumerate([*entry[1:5], "3.25"], 1)]
+    frame = spark.createDataFrame(
+        [*label, *cells, (2, 1, 1, "x", None)], "doc_id bigint, row_no int, col_no int, value string, number_format string"
+    )
+    found = sheets.sheet_prices(frame)
+    assert "Join" not in _plan(found)
+    rows = {(r.doc_id, r.commodity_code): r for r in found.collect()}
+    assert len(rows) == 2 * len(vocab.CITY_COMMODITIES)
+    assert (rows[1, entry[0]].matches, str(rows[1, entry[0]].price), rows[1, entry[0]].row_error) == (1, "3.25", None)
+    assert rows[1, entry[0]].error_code == "COMMODITY_MAPPING_MISSING"
+    assert {r.error_code for k, r in rows.items() if k[0] == 2} == {"DATASET_STRUCTURE_CHANGED"}
+
+
+def test_absences_match_by_row_and_never_by_null(spark):
+    """Facts and manifests were shuffled by all their ids, with the hashes that only the record needs."""
+    records = spark.range(1, 4).select(
+        F.col("id").alias("record_id"), F.lit(404).alias("http_status"), F.lit("SUCCEEDED").alias("validation_status"),
+        F.lit("SKIPPED").alias("parse_status"), *[F.lit("u").alias(n) for n in ("request_url", "final_url", "unit_url")],
+        F.lit("h").alias("raw_hash"), F.lit("2024-02-01").cast("timestamp_ntz").alias("fetched_at"),
+    )
+    promised = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (2, 1, None), (3, 1, 1)], "record_id bigint, listing_id int, revision_id int")
+    facts = spark.createDataFrame([(1, 1, 1), (2, 1, None), (3, 1, 2)], promised.schema).withColumns({
+        "price_type": F.lit("AVAILABILITY_ONLY"), "availability": F.lit("OFF_SHELF"), "quality_status": F.lit("ACCEPTED"),
+        "current_price": F.lit(None).cast("decimal(18,2)"), "original_price": F.lit(None).cast("decimal(18,2)"),
+        "source_hash": F.lit("h"), "observed_at": F.lit("2024-02-01").cast("timestamp_ntz"),
+    })
+    found = replay.check_absences(records, facts, promised)
+    assert "FullOuter" not in _plan(found)
+    assert {r.record_id: r.consistent for r in found.collect()} == {1: True, 2: False, 3: False}
