@@ -15,7 +15,7 @@ from pricestrata.operators import facts as fact_ops
 from pricestrata.operators import rules
 from pricestrata.operators.policy import evaluate
 from pricestrata.operators.quality import spread_distrust
-from pricestrata.session import shared_folder
+from pricestrata.session import settle
 from pricestrata.sources import malls
 from pricestrata.sources.pages import market_candidates, market_rows
 from pricestrata.sources.seeds import commodities
@@ -28,13 +28,6 @@ MARKET_CHANNEL = "MOFCOM_FRESH_WHOLESALE"
 MARKET_CATEGORY = "FRESH_MONITORED_COMMODITY"
 
 
-def settle(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: later steps start from the written table."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def arrival(doc_id: Column, row_no: Column) -> Column:
     """One number in the order (document, row). Rows of a page beyond 2**20 are an error."""
     fits = (row_no >= 0) & (row_no < 1 << 20)

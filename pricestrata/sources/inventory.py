@@ -3,27 +3,76 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricestrata.session import path_exists
-from pricestrata.sources.evidence import read_files
+from pricestrata.session import dealt, path_exists, settle
 
 DIGESTS = "relative_path string, body_hash string, size bigint, error string"
+ENTRIES = "relative_path string, length bigint"
 _CHUNK = 1 << 20
+#: Names that a listing hands back at once.
+_NAMES = 10_000
+
+
+def _open(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder if re.match(r"[a-z0-9]+:", folder) else f"file://{folder}")
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """(relative_path, length) of all files below a folder; the scan lists them, opens none
-    and leaves out empty ones."""
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], "relative_path string, length bigint")
-    return read_files(spark, folder, "length")
+    """(relative_path, length) of all files below a folder; tasks list its folders, level by level, open no file
+    and leave out empty and hidden ones, as Spark's file sources do."""
+    found = spark.createDataFrame([], ENTRIES)
+    if path_exists(spark, folder):
+        level = spark.createDataFrame([("",)], "relative_path string")
+        while not level.isEmpty():
+            # Written once: a level is read for its files and for the folders of the next one.
+            listed = settle(dealt(level).mapInArrow(_lister(folder), ENTRIES), "listing")
+            found = found.unionByName(listed.where("length > 0"))
+            level = listed.where("length IS NULL").select("relative_path")
+    return found
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _entries(store, path: str) -> Iterator[tuple[str, int | None]]:
+    """Names in a folder with their lengths, null for folders; a local folder is read as a stream."""
+    from pyarrow import fs
+
+    if store.type_name == "local":
+        with os.scandir(path) as entries:
+            for entry in entries:
+                yield entry.name, None if entry.is_dir() else entry.stat().st_size
+    else:
+        for info in store.get_file_info(fs.FileSelector(path)):
+            yield info.base_name, None if info.type == fs.FileType.Directory else info.size
+
+
+def _lister(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _open(folder)
+        for batch in batches:
+            for above in batch.column(0).to_pylist():
+                names = (x for x in _entries(store, f"{root}/{above}") if not _hidden(x[0]))
+                while part := list(islice(names, _NAMES)):
+                    paths = [f"{above}/{name}" if above else name for name, _ in part]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(paths, pa.string()), pa.array([length for _, length in part], pa.int64())],
+                        names=["relative_path", "length"],
+                    )
+
+    return run
 
 
 def _digest(lines) -> tuple[str | None, int | None, str | None]:
@@ -59,9 +108,7 @@ def digests(paths: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder if re.match(r"[a-z0-9]+:", folder) else f"file://{folder}")
+        store, root = _open(folder)
         for batch in batches:
             rows = []
             for name in batch.column(0).to_pylist():
@@ -77,4 +124,5 @@ def digests(paths: DataFrame, folder: str) -> DataFrame:
                 ]),
             )
 
-    return paths.select("relative_path").where(F.col("relative_path").isNotNull()).mapInArrow(run, DIGESTS)
+    # Short rows that stand for whole files: a small table of them is one part.
+    return dealt(paths.select("relative_path").where(F.col("relative_path").isNotNull())).mapInArrow(run, DIGESTS)

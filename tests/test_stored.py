@@ -10,6 +10,7 @@ import pytest
 from pricestrata.checks import audit, stored
 from pricestrata.schemas import schema
 from pricestrata.sources import inventory, tables
+from pricestrata.sources.evidence import read_files
 
 
 def _sha(body: bytes) -> str:
@@ -67,3 +68,19 @@ def test_tables_are_written_and_read_as_declared(spark, tmp_path):
     assert (row["listing_id"], row["region_code"], row["ingest_seq"], row["observed_at"].day) == ("7", None, 3, 2)
     with pytest.raises(ValueError, match="declares no column price"):
         tables.write_table(rows.withColumnRenamed("region_scope", "price"), str(tmp_path), "current")
+
+
+def test_folders_are_listed_by_tasks_and_digests_are_dealt(spark, tmp_path):
+    """The driver listed all files, its scan took 32 files a task, and the bodies of a small table were read by one task."""
+    for name, body in {
+        "a": b"x", "d/b": b"xy", "d/e/c d": b"z", "d/empty": b"", "_hidden": b"x", ".part/x": b"x", "_k=1/f": b"xyz", "g._COPYING_": b"x",
+    }.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_bytes(body)
+    for folder in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        held = inventory.inventory(spark, folder)
+        assert {tuple(r) for r in held.collect()} == {("a", 1), ("d/b", 2), ("d/e/c d", 1), ("_k=1/f", 3)}
+        assert {tuple(r) for r in held.collect()} == {tuple(r) for r in read_files(spark, folder, "length").collect()}
+    assert "binaryFile" not in held._jdf.queryExecution().executedPlan().toString()
+    one = spark.createDataFrame([("a",)], "relative_path string").coalesce(1)
+    assert inventory.digests(one, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
