@@ -17,6 +17,7 @@ from pricestrata.functions.identity import canonical_json, json_hash, sorted_map
 from pricestrata.functions.money import MONEY
 from pricestrata.functions.text import normalize_text, plain, squeeze, with_normalized_entries
 from pricestrata.functions.urls import host
+from pricestrata.session import settle
 from pricestrata.sources import envelopes, pages, sheets
 from pricestrata.sources.seeds import city_commodities
 
@@ -78,7 +79,8 @@ def _snapshots(docs: DataFrame, brand: str, stock: str | None = None) -> DataFra
 
 def oppo(docs: DataFrame) -> DataFrame:
     rendered = _is(docs, SNAPSHOT_TAG)
-    rows = envelopes.detail_batch_rows(docs.where(~rendered), OPPO_TAG)
+    # Written once: the coverage of a document is taken from its rows, twice.
+    rows = settle(envelopes.detail_batch_rows(docs.where(~rendered), OPPO_TAG), "responses")
     gaps = envelopes.detail_batch_coverage(rows.where(c("row_error").isNull())).select("doc_id", c("error").alias("gap"))
     state = device.availability_from_text("OPPO", c("stock_text"))
     batch = rows.join(gaps, "doc_id", "left").select(
