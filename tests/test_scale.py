@@ -8,7 +8,7 @@ from pricestrata import bind
 from pricestrata.functions import vocab
 from pricestrata.plans import replay
 from pricestrata.queries import load
-from pricestrata.sources import envelopes, pages, sheets
+from pricestrata.sources import envelopes, evidence, evidence_source, malls, pages, sheets
 
 SF_DIR = "/root/testdata/sf0.001"
 _HEAD = "".join(f"<td>{h}</td>" for h in vocab.MARKET_HEADERS)
@@ -102,3 +102,24 @@ def test_absences_match_by_row_and_never_by_null(spark):
     found = replay.check_absences(records, facts, promised)
     assert "FullOuter" not in _plan(found)
     assert {r.record_id: r.consistent for r in found.collect()} == {1: True, 2: False, 3: False}
+
+
+def test_files_of_a_channel_are_dealt_over_folders(spark, tmp_path):
+    """All files of a channel were in one folder, whose writers waited for each other."""
+    docs = spark.range(50).select(
+        F.col("id").alias("record_id"), F.lit("X").alias("channel"), F.lit("1").alias("product_id"), F.lit("PHONE").alias("category_code"),
+        F.lit("u").alias("page_url"), F.lit("2024-03-05").alias("source_date"),
+        F.lit("2024-03-05").cast("timestamp_ntz").alias("observed_at"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("body"),
+    )
+    evidence.store(docs, str(tmp_path))
+    assert len([x for x in (tmp_path / "files" / "X").iterdir() if x.is_dir()]) > 25
+    found = evidence_source.read(spark, str(tmp_path), "X").select("doc_id", "body", "fault").collect()
+    assert {tuple(r) for r in found} == {(i, f"b{i}", None) for i in range(50)}
+
+
+def test_responses_are_parsed_once(spark):
+    """The coverage of a document parsed its responses again, for what came back and for what was advertised."""
+    body = f'{{"schema":"{malls.OPPO_TAG}","responses":[{{"spuId":"1","skuId":"7","seoTitle":"OPPO","price":"5"}}]}}'
+    found = malls.oppo(spark.createDataFrame([(1, body), (2, "{")], "doc_id bigint, body string"))
+    assert "responses" not in _plan(found)
+    assert {(r.doc_id, r.sku_id, r.error) for r in found.collect()} == {(1, "7", None), (2, None, "EVIDENCE_NOT_JSON")}
