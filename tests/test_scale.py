@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pricestrata import bind
 from pricestrata.functions import vocab
-from pricestrata.plans import replay
+from pricestrata.plans import batch, commits, replay
 from pricestrata.queries import load
 from pricestrata.sources import envelopes, evidence, evidence_source, malls, pages, sheets
 
@@ -46,6 +46,22 @@ def test_market_pages_keep_faults_of_repeated_and_missing_keys(spark):
     assert [(r.doc_id, r.market_id) for r in pages.market_candidates(rows).collect()] == [(1, "7")]
 
 
+def test_batches_of_pages_are_joined_with_fixed_values_only(spark, tmp_path):
+    """All pages were broadcast on the way to every output of a document batch and of a commit."""
+    commodity = vocab.WHOLESALE_COMMODITIES[0][1]
+    docs = spark.createDataFrame(
+        [(i, commodity, _page(m).replace("commdityid=5", f"commdityid={commodity}")) for i, m in ((1, 7), (2, 7), (3, 8))],
+        "doc_id bigint, commodity_id string, html string",
+    ).withColumns({
+        "page_url": F.lit("https://cif.mofcom.gov.cn/cif/seach.fhtml"), "source_date": F.lit("2024-03-01").cast("date"),
+    })
+    rows = batch.judge_documents(batch.parse(batch.MARKET_CHANNEL, docs))
+    assert _plan(rows).count("Join ") == 3  # regions, commodities, categories
+    root, judged = str(tmp_path / "store"), batch.settle(rows, "judged")
+    assert commits.apply_batch(spark, root, "a", judged, "a") and not commits.apply_batch(spark, root, "a", judged, "a")
+    assert [commits.read(spark, root, n).count() for n in ("observation", "listing", "current", "rejected")] == [2, 2, 2, 0]
+
+
 def test_documents_are_made_of_dealt_rows(spark):
     """A table in one file with one row group was one task of all page work."""
     load()
