@@ -20,6 +20,8 @@ ENTRIES = "relative_path string, length bigint"
 _CHUNK = 1 << 20
 #: Names that a listing hands back at once.
 _NAMES = 10_000
+#: Bytes of files that are held before they are handed back.
+_HELD = 16 << 20
 
 
 def _open(folder: str):
@@ -42,6 +44,34 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+def contents(paths: DataFrame, folder: str) -> DataFrame:
+    """(relative_path, content) of the files that ``paths`` (relative_path) names, opened by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _open(folder)
+        for batch in batches:
+            names: list[str] = []
+            found: list[bytes] = []
+            held = 0
+            for name in batch.column(0).to_pylist():
+                with store.open_input_file(f"{root}/{name}") as f:
+                    found.append(f.read())
+                names.append(name)
+                held += len(found[-1])
+                if held >= _HELD:
+                    yield _contents(names, found)
+                    names, found, held = [], [], 0
+            if names:
+                yield _contents(names, found)
+
+    def _contents(names: list[str], found: list[bytes]) -> pa.RecordBatch:
+        arrays = [pa.array(names, pa.string()), pa.array(found, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["relative_path", "content"])
+
+    # Short rows that stand for whole files: a small table of them is one part.
+    return dealt(paths.select("relative_path")).mapInArrow(run, "relative_path string, content binary")
+
+
 def _hidden(name: str) -> bool:
     return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
 

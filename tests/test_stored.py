@@ -84,3 +84,15 @@ def test_folders_are_listed_by_tasks_and_digests_are_dealt(spark, tmp_path):
     assert "binaryFile" not in held._jdf.queryExecution().executedPlan().toString()
     one = spark.createDataFrame([("a",)], "relative_path string").coalesce(1)
     assert inventory.digests(one, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_contents_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The file source listed all files in the driver before their contents were read."""
+    files = {"a": b"x", "d/b": b"xy" * 9, "d/e/c d": b"z", "_hidden": b"x", "d/empty": b""}
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_bytes(body)
+    for folder in (str(tmp_path), f"file:{tmp_path}"):
+        held = read_files(spark, folder)
+        assert {r.relative_path: bytes(r.content) for r in held.collect()} == {n: files[n] for n in ("a", "d/b", "d/e/c d")}
+        assert "binaryFile" not in held._jdf.queryExecution().executedPlan().toString()
