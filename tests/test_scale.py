@@ -139,3 +139,40 @@ def test_responses_are_parsed_once(spark):
     found = malls.oppo(spark.createDataFrame([(1, body), (2, "{")], "doc_id bigint, body string"))
     assert "responses" not in _plan(found)
     assert {(r.doc_id, r.sku_id, r.error) for r in found.collect()} == {(1, "7", None), (2, None, "EVIDENCE_NOT_JSON")}
+
+
+def test_plain_pages_do_without_the_parser_and_give_what_it_gives():
+    """Every page went through the parser, tag by tag, which took most of a batch."""
+    def parsed(html: str) -> list:
+        reader = pages._TableReader()
+        reader.feed(html)
+        reader.close()
+        return reader.tables
+
+    assert pages._plain_tables(_page(7)) == parsed(_page(7)) and pages._plain_tables(_page(7)) is not None
+    plain = [
+        "", "a &lt; b", "<table ID=goaler><TR><td class='x'> 1&nbsp;</TD><th>2<b>3</b>4</th></tr></table><td>5</td>",
+        "<table><tr><td>1<table id=''><td>2</td><tr><td>3</td></table>4<td>5</table>6", "<tr><td>1</td></tr>",
+        """<!-- a-b --><table id><tr><td>x<a href=" q?a=1&amp;b=2&copy=3 " href="'v'">y</a><a href='"q'><a>z<!-- <b --></td></tr>""",
+        "<script>x = 1</script><table><tr><td><style>td {}</style>&amp;<title>a&amp;b</title></td ></tr>",
+    ]
+    odd = [
+        "<table><tr><td>1 < 2</td></tr>", "<table><tr><td/>x</td><td", "<script>if (a<b) x</script>", "<table id='a'id='b'>",
+        "<table><tr><td>x</td y=1>z</tr>", "<table><tr><td><?pi?>x<xmp><td></xmp>", "<table><tr><td a = 'x'>1",
+    ]
+    for html in plain + odd:
+        assert pages.page_tables(html) == parsed(html), html
+        assert html not in odd or pages._plain_tables(html) is None, html
+    assert sum(pages._plain_tables(html) is not None for html in plain) >= 6
+
+
+def test_tables_of_pages_keep_their_levels(spark):
+    rows = spark.createDataFrame([(1, "<table id=a><tr></tr><tr><td>x<a href=u>y</a></td></tr></table><table>"), (2, None), (3, "x")], "k int, html string")
+    got = {r.k: [(t.id, [[(x.text, x.links) for x in row.cells] for row in t.rows]) for t in r.tables] for r in pages.read_tables(rows, "html").collect()}
+    assert got == {1: [("a", [[], [(" x y", ["u"])]]), (None, [])], 2: [], 3: []}
+
+
+def test_page_addresses_are_taken_apart_once(spark):
+    """Every row of a page took the address of its page apart again, and its link once for each parameter."""
+    plan = _plan(pages.market_rows(_pages(spark, [(1, _page(7))])))
+    assert "page_origin" in plan.split("Generate")[1]
