@@ -176,3 +176,9 @@ def test_page_addresses_are_taken_apart_once(spark):
     """Every row of a page took the address of its page apart again, and its link once for each parameter."""
     plan = _plan(pages.market_rows(_pages(spark, [(1, _page(7))])))
     assert "page_origin" in plan.split("Generate")[1]
+
+
+def test_page_rows_are_not_merged_into_few_tasks(spark):
+    """Rows of pages are few bytes, so that the tasks that judge them were merged down to about one a core."""
+    rows = pages.market_rows(_pages(spark, [(1, _page(7))]))
+    assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
